@@ -1,67 +1,88 @@
-"""Exact equal-share bands of a column without a global sort."""
+"""Exact equal-share bands of several columns without a global sort."""
 
 from __future__ import annotations
 
-from typing import Any
+from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 RANGES = 256
+_NUMBER = "decimal(20,2)"
 
 
-def band_edges(df: DataFrame, column: str, bands: int, ranges: int = RANGES) -> list[Any]:
-    """Largest value of each share but the last, when rows are split into ``bands`` by value.
+def band_edges(
+    df: DataFrame, measures: dict[str, Column], bands: int, ranges: int = RANGES
+) -> dict[str, list[Decimal]]:
+    """Per measure, the largest value of each share but the last of ``bands`` equal ones.
 
-    Rows collapse into one row per distinct value with its count, so repeated values cost
-    nothing. Approximate quantiles of the distinct values cut them into ``ranges`` parts of
-    about equal size. A running count inside each part plus the totals of the parts before
-    it is the exact running count over all values; the approximation only affects how
-    evenly the work is spread. What reaches the driver is one number per part and
-    ``bands - 1`` edges.
+    Rows collapse into one row per distinct value with its count, so a value shared by a
+    third of the rows costs one row. Approximate quantiles of the distinct values cut them
+    into ``ranges`` parts of about equal size. A running count inside each part, plus the
+    totals of the parts before it, is the exact running count over all values; the
+    approximation only affects how evenly the work is spread. The driver gets one number
+    per part and ``bands - 1`` edges per measure.
     """
+    entries = F.array(
+        *(
+            F.struct(F.lit(name).alias("measure"), column.cast(_NUMBER).alias("value"))
+            for name, column in measures.items()
+        )
+    )
     counted = (
-        df.where(F.col(column).isNotNull())
-        .groupBy(F.col(column).alias("value"))
+        df.select(F.explode(entries).alias("e"))
+        .select("e.*")
+        .where(F.col("value").isNotNull())
+        .groupBy("measure", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    as_number = F.col("value")
-    if dict(counted.dtypes)["value"] == "date":
-        as_number = F.unix_date("value")
-    counted = counted.withColumn("position", as_number.cast("double"))
+    steps = F.array(*(F.lit(i / ranges) for i in range(1, ranges)))
+    cuts = {
+        row["measure"]: sorted(set(row["cuts"]))
+        for row in counted.groupBy("measure")
+        .agg(F.percentile_approx(F.col("value").cast("double"), steps).alias("cuts"))
+        .collect()
+    }
+    if not cuts:
+        return {name: [] for name in measures}
 
-    steps = F.percentile_approx("position", F.array(*(F.lit(i / ranges) for i in range(1, ranges))))
-    cuts = counted.agg(steps.alias("cuts")).first()["cuts"] or []
-    cuts = sorted(set(cuts))
-    # Number of cuts below the position; binary-free but bounded by ``ranges`` and JVM-side.
-    part = F.size(F.filter(F.lit(cuts) if cuts else F.array(), lambda c: c < F.col("position")))
+    known_cuts = F.create_map(*(x for name, c in cuts.items() for x in (F.lit(name), F.lit(c))))
+    position = F.col("value").cast("double")
+    part = F.size(F.filter(F.element_at(known_cuts, F.col("measure")), lambda cut: cut < position))
     parted = counted.withColumn("part", part)
 
-    totals = dict(
-        (r["part"], r["n"]) for r in parted.groupBy("part").agg(F.sum("n").alias("n")).collect()
-    )
-    below, seen = {}, 0
-    for key in sorted(totals):
-        below[key] = seen
-        seen += totals[key]
-    if not seen:
-        return []
+    totals = parted.groupBy("measure", "part").agg(F.sum("n").alias("n")).collect()
+    before: dict[str, dict[int, int]] = {name: {} for name in measures}
+    seen = dict.fromkeys(measures, 0)
+    for row in sorted(totals, key=lambda r: (r["measure"], r["part"])):
+        before[row["measure"]][row["part"]] = seen[row["measure"]]
+        seen[row["measure"]] += row["n"]
 
-    offset = F.element_at(
-        F.create_map(*(F.lit(x) for pair in below.items() for x in pair)), F.col("part")
+    offsets = F.create_map(
+        *(
+            F.lit(x)
+            for name, parts in before.items()
+            for number, offset in parts.items()
+            for x in (f"{name}/{number}", offset)
+        )
     )
-    running = F.sum("n").over(Window.partitionBy("part").orderBy("value"))
-    cumulated = parted.select("value", "n", (running + offset).alias("upto"))
-    wanted = [-(-k * seen // bands) for k in range(1, bands)]
-    edges = cumulated.select(
-        *(F.when(F.col("upto") >= w, F.col("value")).alias(f"e{i}") for i, w in enumerate(wanted))
-    ).agg(*(F.min(f"e{i}").alias(f"e{i}") for i in range(len(wanted))))
-    return list(edges.first())
+    running = F.sum("n").over(Window.partitionBy("measure", "part").orderBy("value"))
+    upto = running + F.element_at(offsets, F.concat_ws("/", "measure", "part"))
+    reached = parted.select("measure", "value", upto.alias("upto"))
+
+    def edge(name: str, k: int) -> Column:
+        wanted = -(-k * seen[name] // bands)
+        return F.min(F.when((F.col("measure") == name) & (F.col("upto") >= wanted), F.col("value")))
+
+    named = [(name, k) for name in measures for k in range(1, bands)]
+    found = reached.agg(*(edge(name, k).alias(f"{name}_{k}") for name, k in named)).first()
+    return {name: [found[f"{name}_{k}"] for k in range(1, bands)] for name in measures}
 
 
-def band(column: Column, edges: list[Any]) -> Column:
+def band(column: Column, edges: list[Decimal]) -> Column:
     """1 plus the number of edges below the value; NULL stays NULL."""
+    value = column.cast(_NUMBER)
     score = F.lit(1)
     for edge in edges:
-        score = score + F.when(column > F.lit(edge), 1).otherwise(0)
+        score = score + F.when(value > F.lit(edge), 1).otherwise(0)
     return F.when(column.isNotNull(), score)

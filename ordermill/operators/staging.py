@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.money import cents, from_cents
 from ..functions.text import joined_distinct
 
 
@@ -87,7 +88,7 @@ def stg_orders_payments(staged_payments: DataFrame) -> DataFrame:
         _keyed(staged_payments, "order_id")
         .groupBy("order_id")
         .agg(
-            F.sum("payment_value").cast("decimal(18,2)").alias("payment_total"),
+            from_cents(F.sum(cents(F.col("payment_value")))).alias("payment_total"),
             F.max("payment_installments").alias("max_installments"),
             F.count(F.lit(1)).alias("payment_count"),
             joined_distinct(F.col("payment_type")).alias("payment_types"),

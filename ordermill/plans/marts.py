@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates
-from ..functions.money import AMOUNT, mean, order_amount, rounded_mean
+from ..functions.money import cents, from_cents, mean, order_amount, rounded_mean_of_cents
 
 # Default end points of the calendar and the name for an unknown category.
 CALENDAR_START = date(2016, 1, 1)
@@ -111,16 +111,21 @@ def fact_payments(staged_orders: DataFrame, order_payments: DataFrame) -> DataFr
     )
 
 
-def revenue_by_day_product_customer(fact: DataFrame) -> DataFrame:
-    """Facts summed per day, product and customer before any dimension is joined."""
+def _triples_in_cents(fact: DataFrame) -> DataFrame:
     return fact.groupBy("order_date_id", "product_id", "customer_id").agg(
         F.count_distinct("order_id").alias("total_orders"),
-        F.sum("price").alias("gross_revenue"),
-        F.sum("freight_value").alias("freight_cost"),
-        F.sum(order_amount()).alias("total_revenue"),
+        F.sum(cents(F.col("price"))).alias("gross_revenue"),
+        F.sum(cents(F.col("freight_value"))).alias("freight_cost"),
+        F.sum(cents(order_amount())).alias("total_revenue"),
     )
 
 
+def revenue_by_day_product_customer(fact: DataFrame) -> DataFrame:
+    """Facts summed per day, product and customer before any dimension is joined."""
+    amounts = ("gross_revenue", "freight_cost", "total_revenue")
+    return _triples_in_cents(fact).withColumns({c: from_cents(F.col(c)) for c in amounts})
+
+
 def mart_revenue_daily(
     fact: DataFrame, days: DataFrame, products: DataFrame, customers: DataFrame
 ) -> DataFrame:
@@ -132,17 +137,19 @@ def mart_revenue_daily(
     travel through the shuffle.
     """
     grouped = (
-        revenue_by_day_product_customer(fact)
+        _triples_in_cents(fact)
         .join(products.select("product_id", "product_category"), "product_id")
         .join(customers.select("customer_id", "customer_state"), "customer_id")
         .groupBy("order_date_id", "product_category", "customer_state")
         .agg(
-            F.sum("gross_revenue").cast(AMOUNT).alias("gross_revenue"),
-            F.sum("freight_cost").cast(AMOUNT).alias("freight_cost"),
-            F.sum("total_revenue").cast(AMOUNT).alias("total_revenue"),
+            from_cents(F.sum("gross_revenue")).alias("gross_revenue"),
+            from_cents(F.sum("freight_cost")).alias("freight_cost"),
+            from_cents(F.sum("total_revenue")).alias("total_revenue"),
             F.sum("total_orders").alias("total_orders"),
             F.count_distinct("customer_id").alias("unique_customers"),
-            rounded_mean(F.sum("gross_revenue"), F.count("gross_revenue")).alias("avg_order_value"),
+            rounded_mean_of_cents(F.sum("gross_revenue"), F.count("gross_revenue")).alias(
+                "avg_order_value"
+            ),
         )
     )
     day_columns = days.select(F.col("date_id").alias("date_day"), "year", "month", "quarter", "day")

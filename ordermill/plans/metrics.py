@@ -186,16 +186,15 @@ def rfm_segments(fact: DataFrame, customers: DataFrame, bands: int = 5) -> DataF
         )
     )
     newest = measured.agg(F.max("last_order_day")).first()[0]
-    scores = {
-        label: band(F.col(column), band_edges(measured, column, bands)).alias(label)
-        for label, column in (
-            ("r_score", "last_order_day"), ("f_score", "frequency"), ("m_score", "monetary")
-        )
+    measures = {
+        "r_score": F.unix_date("last_order_day"),
+        "f_score": F.col("frequency"),
+        "m_score": F.col("monetary"),
     }
+    edges = band_edges(measured, measures, bands)
     return measured.select(
         "customer_unique_id",
         F.date_diff(F.lit(newest), F.col("last_order_day")).alias("recency_days"),
-        "frequency", "monetary", *scores.values(),
-    ).withColumn(
-        "segment", F.concat(*(F.col(label).cast("string") for label in scores))
-    )
+        "frequency", "monetary",
+        *(band(column, edges[name]).alias(name) for name, column in measures.items()),
+    ).withColumn("segment", F.concat(*(F.col(name).cast("string") for name in measures)))

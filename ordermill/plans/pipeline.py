@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, SparkSession
 
 from ..operators import incremental, quality
 from ..operators.staging import STAGING, stage, stg_orders_payments
-from ..sources.catalog import MARTS_LAYER, publish_table, publish_view, table_in
+from ..sources.catalog import (
+    MARTS_LAYER, RAW_LAYER, publish_table, publish_view, source, store_raw, table_in,
+)
 from . import marts
 from .checks import MARTS_CHECKS, STAGING_CHECKS
 
@@ -20,6 +22,12 @@ FACT_KEYS = {"fact_order_items": ["order_id", "order_item_id"], "fact_payments":
 PARALLEL_MODELS = 4
 
 
+def load_raw(spark: SparkSession, raw: dict[str, DataFrame], layer: str = RAW_LAYER) -> dict[str, DataFrame]:
+    """Store the raw tables and give them back as declared sources."""
+    _together(spark, [lambda n=n, df=df: store_raw(df, n, layer) for n, df in raw.items()])
+    return {name: source(spark, name, layer) for name in raw}
+
+
 def staging_models(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     models = {name: stage(raw[table], name) for name, (_, table) in STAGING.items() if table in raw}
     if "stg_payments" in models:

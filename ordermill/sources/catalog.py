@@ -48,6 +48,11 @@ def publish_table(df: DataFrame, table: str, sort_by: list[str] | None = None) -
     return df.sparkSession.table(table)
 
 
+def store_raw(df: DataFrame, name: str, layer: str = RAW_LAYER) -> None:
+    """Replace a raw table; the rebalance hint gives evenly sized files."""
+    df.hint("rebalance").write.mode("overwrite").format("parquet").saveAsTable(table_in(layer, name))
+
+
 def refresh_statistics(spark: SparkSession, table: str) -> None:
     spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
 
