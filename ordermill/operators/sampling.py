@@ -9,8 +9,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import clone_id, seeded_digest
 
-# Up to this many rows a bounded top-n is cheapest; beyond it the digest ranges are used.
-TOP_N_LIMIT = 100_000
+# A top-n gathers up to n rows of every partition in one task, so it is used for small n only;
+# beyond this the digest ranges are used.
+TOP_N_LIMIT = 1_000
 
 # Status that can be cloned, and the offsets of the five new timestamps.
 CLONED_STATUS = "delivered"

@@ -62,8 +62,8 @@ def labelled(events: DataFrame) -> DataFrame:
     ).withColumn("event_date", F.to_date("event_timestamp"))
 
 
-def ingest(spark: SparkSession, source: str, target: str, checkpoint: str) -> int:
-    """Take in all files not seen before and stop; returns the rows added.
+def ingest(spark: SparkSession, source: str, target: str, checkpoint: str) -> None:
+    """Take in all files not seen before and stop.
 
     The checkpoint is the ledger of processed files. Good and quarantined rows go to one
     file sink, partitioned by state and event day, so both are committed together.
@@ -79,7 +79,6 @@ def ingest(spark: SparkSession, source: str, target: str, checkpoint: str) -> in
         .start()
     )
     query.awaitTermination()
-    return sum(p["numInputRows"] for p in query.recentProgress)
 
 
 def stream_table(spark: SparkSession, target: str) -> DataFrame:
