@@ -137,65 +137,63 @@ def store_fact(df: DataFrame, table: str, day_column: str, sort_by: list[str]) -
     refresh_statistics(df.sparkSession, table)
 
 
+def _in_months(months: set[str | None]) -> Column:
+    known = F.col("part_month").isin(*(m for m in months if m is not None))
+    return known | F.col("part_month").isNull() if None in months else known
+
+
 def apply_batch(
     spark: SparkSession, table: str, batch: DataFrame, keys: list[str], day_column: str, sort_by: list[str]
 ) -> None:
     """Delete-and-insert on a table written by ``store_fact``.
 
-    Only months that hold a replaced key or receive a row are rewritten. The new contents
-    of those months are first stored in the shared folder, then put in place from there, so
-    no partition is read while it is overwritten and a failed swap can be repeated. A
-    batch with other columns than the table leads to a full rewrite instead.
+    Only months that hold a replaced key or receive a row are rewritten. The batch and the
+    rows that stay in those months are first stored in the shared folder, then put in place
+    from there, so no partition is read while it is overwritten and a failed swap can be
+    repeated. A batch with other columns than the table leads to a full rewrite instead.
     """
     target = spark.table(table)
     columns = [c for c in target.columns if c != "part_month"]
-    staging = fresh_path(spark, "batch")
+    staying_path, arriving_path = fresh_path(spark, "staying"), fresh_path(spark, "arriving")
 
     if set(columns) != set(batch.columns):
         whole = delete_insert(sync_columns(target.select(*columns), batch), batch, keys)
-        whole.write.parquet(staging)
-        store_fact(spark.read.parquet(staging), table, day_column, sort_by)
+        whole.write.parquet(staying_path)
+        store_fact(spark.read.parquet(staying_path), table, day_column, sort_by)
         return
 
-    arriving_path = fresh_path(spark, "arriving")
     batch.select(*columns).withColumn("part_month", month_of(day_column)).write.parquet(arriving_path)
     arriving = spark.read.parquet(arriving_path)
     replaced = arriving.select(*keys).distinct()
 
-    # One value per stored month, as many as the partition listing the driver already holds.
-    hit = {
-        r[0]
-        for r in target.join(replaced, keys, "left_semi").select("part_month").distinct().collect()
-    }
-    known = sorted(m for m in hit if m is not None)
-    in_hit = F.col("part_month").isin(known) if known else F.lit(False)
-    if None in hit:
-        in_hit = in_hit | F.col("part_month").isNull()
-
-    # Months that only receive rows keep their stored rows too.
-    receiving = {r[0] for r in arriving.select("part_month").distinct().collect()}
-    also = sorted(m for m in receiving - hit if m is not None)
-    touched = in_hit | (F.col("part_month").isin(also) if also else F.lit(False))
-    if None in receiving:
-        touched = touched | F.col("part_month").isNull()
-
-    kept = target.where(touched).join(replaced, keys, "left_anti")
-    kept.select(*columns, "part_month").unionByName(arriving).write.parquet(staging)
+    # One value per month, no more than the partition listing the driver already holds.
+    losing = target.join(replaced, keys, "left_semi").select("part_month", F.lit(True).alias("loses"))
+    gaining = arriving.select("part_month", F.lit(False).alias("loses"))
+    months = losing.unionByName(gaining).distinct().collect()
+    touched = {m.part_month for m in months}
+    only_losing = touched - {m.part_month for m in months if not m.loses}
+
+    staying = target.where(_in_months(touched)).join(replaced, keys, "left_anti")
+    staying.select(*target.columns).write.parquet(staying_path)
 
     # A session of its own, so that only this write overwrites just the partitions it fills.
     swap = spark.newSession()
     swap.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    staged = swap.read.parquet(staging).select(*target.columns)
     (
-        staged.hint("rebalance", "part_month")
+        swap.read.parquet(staying_path, arriving_path)
+        .select(*target.columns)
+        .hint("rebalance", "part_month")
         .sortWithinPartitions("part_month", *sort_by)
         .write.mode("overwrite")
         .insertInto(table)
     )
-    filled = {r[0] for r in staged.select("part_month").distinct().collect()}
-    for month in sorted(m for m in hit - filled if m is not None):
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (part_month = '{month}')")
-    if None in hit - filled:
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (part_month = NULL)")
+
+    # A month that only lost rows may be empty now, and an empty one is not overwritten.
+    if only_losing:
+        stayed = spark.read.parquet(staying_path).where(_in_months(only_losing))
+        left = {r.part_month for r in stayed.select("part_month").distinct().collect()}
+        for month in only_losing - left:
+            value = "NULL" if month is None else f"'{month}'"
+            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (part_month = {value})")
     spark.catalog.refreshTable(table)
     refresh_statistics(spark, table)

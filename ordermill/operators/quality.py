@@ -21,10 +21,9 @@ def not_null(df: DataFrame, column: str) -> DataFrame:
 def unique(df: DataFrame, column: str) -> DataFrame:
     """Values that occur more than once, with their number of rows; NULLs do not count."""
     return (
-        df.where(F.col(column).isNotNull())
-        .groupBy(column)
-        .agg(F.count(F.lit(1)).alias("copies"))
-        .where(F.col("copies") > 1)
+        df.groupBy(column)
+        .agg(F.count(column).alias("copies"))
+        .where("copies > 1")
     )
 
 
@@ -92,36 +91,25 @@ def _failing(check: Check) -> Column | None:
     return None
 
 
+def _labels(check: Check) -> list[str]:
+    return [f"'{check.model}' AS model", f"'{check.column}' AS column_name", f"'{check.name}' AS check_name"]
+
+
 def _row_level(model: str, df: DataFrame, checks: list[Check]) -> DataFrame:
     counts = df.agg(*(F.count_if(_failing(c)).alias(f"c{i}") for i, c in enumerate(checks)))
-    entry = F.explode(
-        F.array(
-            *(
-                F.struct(
-                    F.lit(c.column).alias("column_name"),
-                    F.lit(c.name).alias("check_name"),
-                    F.col(f"c{i}").alias("failures"),
-                )
-                for i, c in enumerate(checks)
-            )
-        )
+    entries = ", ".join(f"'{c.column}', '{c.name}', c{i}" for i, c in enumerate(checks))
+    return counts.selectExpr(
+        f"'{model}' AS model",
+        f"stack({len(checks)}, {entries}) AS (column_name, check_name, failures)",
     )
-    return counts.select(entry.alias("e")).select(F.lit(model).alias("model"), "e.*")
 
 
 def _across_rows(check: Check, models: dict[str, DataFrame]) -> DataFrame:
     df = models[check.model]
     if check.kind == "unique":
-        failures = unique(df, check.column).agg(F.count(F.lit(1)).alias("failures"))
-    else:
-        orphans = relationships(df, check.column, models[check.parent], check.parent_column)
-        failures = orphans.agg(F.coalesce(F.sum("rows"), F.lit(0)).cast("bigint").alias("failures"))
-    return failures.select(
-        F.lit(check.model).alias("model"),
-        F.lit(check.column).alias("column_name"),
-        F.lit(check.name).alias("check_name"),
-        "failures",
-    )
+        return unique(df, check.column).selectExpr(*_labels(check), "count(*) AS failures")
+    orphans = relationships(df, check.column, models[check.parent], check.parent_column)
+    return orphans.selectExpr(*_labels(check), "coalesce(sum(rows), 0L) AS failures")
 
 
 def report(models: dict[str, DataFrame], checks: list[Check]) -> DataFrame:

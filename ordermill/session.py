@@ -18,6 +18,8 @@ def build_session(app_name: str = "ordermill", master: str | None = None, **conf
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.ui.enabled": "false",
+        # Call sites of every expression are for debugging and slow plan building down.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
     settings.update(conf)
     builder = SparkSession.builder.appName(app_name)

@@ -6,7 +6,7 @@ in the declared schema; only the columns a query asks for are read.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Declared, so that opening a table does not read its files.
@@ -37,75 +37,55 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _load(spark, sf_dir, "documents")
 
 
-def _text(name: str) -> Column:
-    return F.col(name).cast("string")
-
-
-def _money(name: str) -> Column:
-    return F.col(name).cast("decimal(10,2)")
-
-
 def orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    bought = F.col("o_orderdate")
-    status = (
-        F.when(F.col("o_orderstatus") == "F", "delivered")
-        .when(F.col("o_orderstatus") == "O", "shipped")
-        .when(F.col("o_orderstatus") == "P", "processing")
-        .otherwise(F.col("o_orderstatus"))
-    )
-    transit = F.make_dt_interval(
-        (F.col("o_custkey") % 25 - 3).cast("int"), (F.col("o_orderkey") % 24).cast("int")
-    )
-    return _load(spark, sf_dir, "orders").select(
-        _text("o_orderkey").alias("order_id"),
-        _text("o_custkey").alias("customer_id"),
-        status.alias("order_status"),
-        bought.alias("order_purchase_timestamp"),
-        (bought + F.expr("interval 1 hour")).alias("order_approved_at"),
-        (bought + F.expr("interval 1 day")).alias("order_delivered_carrier_date"),
-        F.when(F.col("o_orderstatus") == "F", bought + transit).alias("order_delivered_customer_date"),
-        (bought + F.expr("interval 10 days")).alias("order_estimated_delivery_date"),
+    return _load(spark, sf_dir, "orders").selectExpr(
+        "cast(o_orderkey AS STRING) AS order_id",
+        "cast(o_custkey AS STRING) AS customer_id",
+        """CASE o_orderstatus WHEN 'F' THEN 'delivered' WHEN 'O' THEN 'shipped'
+           WHEN 'P' THEN 'processing' ELSE o_orderstatus END AS order_status""",
+        "o_orderdate AS order_purchase_timestamp",
+        "o_orderdate + interval 1 hour AS order_approved_at",
+        "o_orderdate + interval 1 day AS order_delivered_carrier_date",
+        """CASE WHEN o_orderstatus = 'F' THEN o_orderdate + make_dt_interval(
+               cast(o_custkey % 25 - 3 AS INT), cast(o_orderkey % 24 AS INT))
+           END AS order_delivered_customer_date""",
+        "o_orderdate + interval 10 days AS order_estimated_delivery_date",
     )
 
 
 def order_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    freight = (_money("l_extendedprice") * _money("l_tax")).cast("decimal(10,2)")
-    return _load(spark, sf_dir, "lineitem").select(
-        _text("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("order_item_id"),
-        _text("l_partkey").alias("product_id"),
-        _text("l_suppkey").alias("seller_id"),
-        F.col("l_shipdate").alias("shipping_limit_date"),
-        _money("l_extendedprice").alias("price"),
-        freight.alias("freight_value"),
+    return _load(spark, sf_dir, "lineitem").selectExpr(
+        "cast(l_orderkey AS STRING) AS order_id",
+        "l_linenumber AS order_item_id",
+        "cast(l_partkey AS STRING) AS product_id",
+        "cast(l_suppkey AS STRING) AS seller_id",
+        "l_shipdate AS shipping_limit_date",
+        "cast(l_extendedprice AS DECIMAL(10,2)) AS price",
+        """cast(cast(l_extendedprice AS DECIMAL(10,2)) * cast(l_tax AS DECIMAL(10,2))
+           AS DECIMAL(10,2)) AS freight_value""",
     )
 
 
 def payments(spark: SparkSession, sf_dir: str) -> DataFrame:
-    method = (
-        F.when(F.col("l_returnflag") == "A", "boleto")
-        .when(F.col("l_returnflag") == "N", "credit_card")
-        .when(F.col("l_returnflag") == "R", "voucher")
-        .otherwise(F.col("l_returnflag"))
-    )
-    return _load(spark, sf_dir, "lineitem").select(
-        _text("l_orderkey").alias("order_id"),
-        F.col("l_linenumber").alias("payment_sequential"),
-        method.alias("payment_type"),
-        F.col("l_linenumber").alias("payment_installments"),
-        _money("l_extendedprice").alias("payment_value"),
+    return _load(spark, sf_dir, "lineitem").selectExpr(
+        "cast(l_orderkey AS STRING) AS order_id",
+        "l_linenumber AS payment_sequential",
+        """CASE l_returnflag WHEN 'A' THEN 'boleto' WHEN 'N' THEN 'credit_card'
+           WHEN 'R' THEN 'voucher' ELSE l_returnflag END AS payment_type""",
+        "l_linenumber AS payment_installments",
+        "cast(l_extendedprice AS DECIMAL(10,2)) AS payment_value",
     )
 
 
 def reviews(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _load(spark, sf_dir, "events").select(
-        _text("event_id").alias("review_id"),
-        _text("event_id").alias("order_id"),
-        (F.col("event_id") % 5 + 1).cast("int").alias("review_score"),
-        F.col("event_type").alias("review_comment_title"),
-        F.col("props").alias("review_comment_message"),
-        F.col("ts").alias("review_creation_date"),
-        (F.col("ts") + F.expr("interval 1 day")).alias("review_answer_timestamp"),
+    return _load(spark, sf_dir, "events").selectExpr(
+        "cast(event_id AS STRING) AS review_id",
+        "cast(event_id AS STRING) AS order_id",
+        "cast(event_id % 5 + 1 AS INT) AS review_score",
+        "event_type AS review_comment_title",
+        "props AS review_comment_message",
+        "ts AS review_creation_date",
+        "ts + interval 1 day AS review_answer_timestamp",
     )
 
 
@@ -114,29 +94,28 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         _load(spark, sf_dir, "customer")
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select(
-            _text("c_custkey").alias("customer_id"),
-            F.col("c_name").alias("customer_unique_id"),
-            _text("c_nationkey").alias("customer_zip_code_prefix"),
-            F.col("c_mktsegment").alias("customer_city"),
-            F.col("n_name").alias("customer_state"),
+        .selectExpr(
+            "cast(c_custkey AS STRING) AS customer_id",
+            "c_name AS customer_unique_id",
+            "cast(c_nationkey AS STRING) AS customer_zip_code_prefix",
+            "c_mktsegment AS customer_city",
+            "n_name AS customer_state",
         )
     )
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Parts of one brand have no category, so the fallback for it is used."""
-    size = F.col("p_size")
-    return _load(spark, sf_dir, "part").select(
-        _text("p_partkey").alias("product_id"),
-        F.when(F.col("p_brand") != "Brand#1", F.col("p_name")).alias("product_category_name"),
-        F.length("p_name").alias("product_name_lenght"),
-        F.length("p_type").alias("product_description_lenght"),
-        (size % 7).alias("product_photos_qty"),
-        size.cast("decimal(10,2)").alias("product_weight_g"),
-        size.cast("decimal(10,2)").alias("product_length_cm"),
-        (size % 10 + 1).cast("decimal(10,2)").alias("product_height_cm"),
-        (size % 5 + 1).cast("decimal(10,2)").alias("product_width_cm"),
+    return _load(spark, sf_dir, "part").selectExpr(
+        "cast(p_partkey AS STRING) AS product_id",
+        "CASE WHEN p_brand <> 'Brand#1' THEN p_name END AS product_category_name",
+        "length(p_name) AS product_name_lenght",
+        "length(p_type) AS product_description_lenght",
+        "p_size % 7 AS product_photos_qty",
+        "cast(p_size AS DECIMAL(10,2)) AS product_weight_g",
+        "cast(p_size AS DECIMAL(10,2)) AS product_length_cm",
+        "cast(p_size % 10 + 1 AS DECIMAL(10,2)) AS product_height_cm",
+        "cast(p_size % 5 + 1 AS DECIMAL(10,2)) AS product_width_cm",
     )
 
 
@@ -144,12 +123,12 @@ def category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per part name, except names starting with ``small``, which stay untranslated."""
     return (
         _load(spark, sf_dir, "part")
-        .where(~F.col("p_name").startswith("small"))
-        .select(F.col("p_name").alias("product_category_name"))
+        .where("NOT startswith(p_name, 'small')")
+        .selectExpr("p_name AS product_category_name")
         .distinct()
-        .withColumn(
-            "product_category_name_english",
-            F.regexp_replace(F.upper("product_category_name"), " ", "_"),
+        .selectExpr(
+            "product_category_name",
+            "replace(upper(product_category_name), ' ', '_') AS product_category_name_english",
         )
     )
 
@@ -159,11 +138,11 @@ def sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         _load(spark, sf_dir, "supplier")
         .join(nation, F.col("s_nationkey") == F.col("n_nationkey"))
-        .select(
-            _text("s_suppkey").alias("seller_id"),
-            _text("s_nationkey").alias("seller_zip_code_prefix"),
-            F.col("s_name").alias("seller_city"),
-            F.col("n_name").alias("seller_state"),
+        .selectExpr(
+            "cast(s_suppkey AS STRING) AS seller_id",
+            "cast(s_nationkey AS STRING) AS seller_zip_code_prefix",
+            "s_name AS seller_city",
+            "n_name AS seller_state",
         )
     )
 
@@ -171,43 +150,35 @@ def sellers(spark: SparkSession, sf_dir: str) -> DataFrame:
 def geolocation(spark: SparkSession, sf_dir: str) -> DataFrame:
     nation = _load(spark, sf_dir, "nation")
     region = _load(spark, sf_dir, "region")
-    degrees = F.col("c_acctbal").cast("decimal(12,8)")
     return (
         _load(spark, sf_dir, "customer")
-        .withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(10,2)"))
         .join(nation, F.col("c_nationkey") == F.col("n_nationkey"))
         .join(region, F.col("n_regionkey") == F.col("r_regionkey"))
-        .select(
-            _text("c_nationkey").alias("geolocation_zip_code_prefix"),
-            degrees.alias("geolocation_lat"),
-            (-degrees).cast("decimal(12,8)").alias("geolocation_lng"),
-            F.col("c_mktsegment").alias("geolocation_city"),
-            F.col("r_name").alias("geolocation_state"),
+        .selectExpr(
+            "cast(c_nationkey AS STRING) AS geolocation_zip_code_prefix",
+            "cast(cast(c_acctbal AS DECIMAL(10,2)) AS DECIMAL(12,8)) AS geolocation_lat",
+            "cast(-cast(c_acctbal AS DECIMAL(10,2)) AS DECIMAL(12,8)) AS geolocation_lng",
+            "c_mktsegment AS geolocation_city",
+            "r_name AS geolocation_state",
         )
     )
 
 
 def order_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ten event fields; two events per order, so joins on the order fan out."""
-    user = F.col("user_id")
-    method = (
-        F.when(user % 4 == 0, "credit_card")
-        .when(user % 4 == 1, "voucher")
-        .when(user % 4 == 2, "debit_card")
-        .otherwise("boleto")
-    )
-    freight = (user % 80).cast("decimal(10,2)")
-    return _load(spark, sf_dir, "events").select(
-        F.expr("event_id div 2").cast("string").alias("order_id"),
-        F.concat(F.lit("NATION_"), user % 25).alias("customer_state"),
-        F.concat(F.lit("product_"), user % 8).alias("product"),
-        _money("value").alias("price"),
-        freight.alias("freight_value"),
-        (_money("value") + freight).cast("decimal(10,2)").alias("total_amount"),
-        method.alias("payment_type"),
-        F.col("event_type").alias("order_status"),
-        (F.col("event_id") % 5 + 1).cast("int").alias("review_score"),
-        F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created_at"),
+    return _load(spark, sf_dir, "events").selectExpr(
+        "cast(event_id div 2 AS STRING) AS order_id",
+        "concat('NATION_', user_id % 25) AS customer_state",
+        "concat('product_', user_id % 8) AS product",
+        "cast(value AS DECIMAL(10,2)) AS price",
+        "cast(user_id % 80 AS DECIMAL(10,2)) AS freight_value",
+        """cast(cast(value AS DECIMAL(10,2)) + cast(user_id % 80 AS DECIMAL(10,2))
+           AS DECIMAL(10,2)) AS total_amount""",
+        """CASE user_id % 4 WHEN 0 THEN 'credit_card' WHEN 1 THEN 'voucher'
+           WHEN 2 THEN 'debit_card' ELSE 'boleto' END AS payment_type""",
+        "event_type AS order_status",
+        "cast(event_id % 5 + 1 AS INT) AS review_score",
+        "date_format(ts, \"yyyy-MM-dd'T'HH:mm:ss'Z'\") AS created_at",
     )
 
 
