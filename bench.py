@@ -40,6 +40,8 @@ def main() -> None:
             "spark.sql.shuffle.partitions": cpus,
             # Files of a size that fits this small data, so that writes use all cores.
             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4m",
+            # Let the larger tables be shuffled over all cores here too, as they are at scale.
+            "spark.sql.autoBroadcastJoinThreshold": "1m",
             "spark.driver.memory": "12g",
             "spark.ui.showConsoleProgress": "false",
             "spark.sql.warehouse.dir": f"{scratch}/warehouse",

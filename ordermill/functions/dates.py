@@ -2,10 +2,18 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def moment(value: datetime) -> Column:
+    """Literal without zone. A plain datetime literal would be shifted by the session zone."""
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def calendar_day(ts: Column) -> Column:
     return F.to_date(ts)
 
@@ -30,5 +38,9 @@ def whole_days(start: Column, end: Column) -> Column:
 
 
 def utc_wall_time(text: Column) -> Column:
-    """Zone-marked ISO text as a UTC timestamp without zone, whatever the session zone."""
-    return F.convert_timezone(None, F.lit("UTC"), text.cast("timestamp").cast("timestamp_ntz"))
+    """Zone-marked ISO text as a UTC timestamp without zone, whatever the session zone.
+
+    Counted from the epoch, so hours that a local clock repeats are no trouble.
+    """
+    seconds = F.unix_micros(text.cast("timestamp")).cast("decimal(20,0)") * F.lit(Decimal("0.000001"))
+    return moment(datetime(1970, 1, 1)) + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))

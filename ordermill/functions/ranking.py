@@ -7,76 +7,75 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-RANGES = 256
+# A part of the value range aims at this many distinct values; more than MOST_PARTS are not made.
+VALUES_PER_PART = 200_000
+MOST_PARTS = 1024
 _NUMBER = "decimal(20,2)"
 
 
+def _nested(lists: list[list], suffix: str, element: str) -> Column:
+    """Array of arrays as a literal, written as one expression."""
+    inner = (f"cast(array({', '.join(f'{x}{suffix}' for x in values)}) AS array<{element}>)" for values in lists)
+    return F.expr(f"array({', '.join(inner)})")
+
+
 def band_edges(
-    df: DataFrame, measures: dict[str, Column], bands: int, ranges: int = RANGES
+    df: DataFrame, measures: dict[str, Column], bands: int, values_per_part: int = VALUES_PER_PART
 ) -> dict[str, list[Decimal]]:
     """Per measure, the largest value of each share but the last of ``bands`` equal ones.
 
     Rows collapse into one row per distinct value with its count, so a value shared by a
     third of the rows costs one row. Approximate quantiles of the distinct values cut them
-    into ``ranges`` parts of about equal size. A running count inside each part, plus the
-    totals of the parts before it, is the exact running count over all values; the
-    approximation only affects how evenly the work is spread. The driver gets one number
-    per part and ``bands - 1`` edges per measure.
+    into parts of about equal size. A running count inside each part, plus the totals of the
+    parts before it, is the exact running count over all values; the approximation only
+    affects how evenly the work is spread. The driver gets one number per part and
+    ``bands - 1`` edges per measure.
     """
+    names = list(measures)
     entries = F.array(
         *(
-            F.struct(F.lit(name).alias("measure"), column.cast(_NUMBER).alias("value"))
-            for name, column in measures.items()
+            F.struct(F.lit(i).alias("measure"), measures[name].cast(_NUMBER).alias("value"))
+            for i, name in enumerate(names)
         )
     )
     counted = (
         df.select(F.explode(entries).alias("e"))
-        .select("e.*")
-        .where(F.col("value").isNotNull())
-        .groupBy("measure", "value")
+        .selectExpr("e.measure", "e.value", "cast(e.value AS DOUBLE) AS position")
+        .where("value IS NOT NULL")
+        .groupBy("measure", "value", "position")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    steps = F.array(*(F.lit(i / ranges) for i in range(1, ranges)))
-    cuts = {
-        row["measure"]: sorted(set(row["cuts"]))
-        for row in counted.groupBy("measure")
-        .agg(F.percentile_approx(F.col("value").cast("double"), steps).alias("cuts"))
-        .collect()
-    }
-    if not cuts:
-        return {name: [] for name in measures}
-
-    known_cuts = F.create_map(*(x for name, c in cuts.items() for x in (F.lit(name), F.lit(c))))
-    position = F.col("value").cast("double")
-    part = F.size(F.filter(F.element_at(known_cuts, F.col("measure")), lambda cut: cut < position))
-    parted = counted.withColumn("part", part)
-
-    totals = parted.groupBy("measure", "part").agg(F.sum("n").alias("n")).collect()
-    before: dict[str, dict[int, int]] = {name: {} for name in measures}
-    seen = dict.fromkeys(measures, 0)
-    for row in sorted(totals, key=lambda r: (r["measure"], r["part"])):
-        before[row["measure"]][row["part"]] = seen[row["measure"]]
-        seen[row["measure"]] += row["n"]
-
-    offsets = F.create_map(
-        *(
-            F.lit(x)
-            for name, parts in before.items()
-            for number, offset in parts.items()
-            for x in (f"{name}/{number}", offset)
-        )
+
+    steps = F.expr(f"array({', '.join(f'{i / MOST_PARTS}D' for i in range(1, MOST_PARTS))})")
+    spread = counted.groupBy("measure").agg(
+        F.count(F.lit(1)).alias("distinct_values"), F.percentile_approx("position", steps).alias("cuts")
+    )
+    cuts: list[list[float]] = [[] for _ in names]
+    for row in spread.collect():
+        parts = min(MOST_PARTS, -(-row["distinct_values"] // values_per_part))
+        chosen = {row["cuts"][MOST_PARTS * k // parts - 1] for k in range(1, parts)}
+        cuts[row["measure"]] = sorted(chosen)
+
+    parted = counted.withColumn("cuts", _nested(cuts, "D", "double")[F.col("measure")]).selectExpr(
+        "measure", "value", "n", "size(filter(cuts, cut -> cut < position)) AS part"
     )
+    totals = [[0] * (len(c) + 1) for c in cuts]
+    for row in parted.groupBy("measure", "part").agg(F.sum("n").alias("n")).collect():
+        totals[row["measure"]][row["part"]] = row["n"]
+    before = [[sum(t[:i]) for i in range(len(t))] for t in totals]
+
     running = F.sum("n").over(Window.partitionBy("measure", "part").orderBy("value"))
-    upto = running + F.element_at(offsets, F.concat_ws("/", "measure", "part"))
+    upto = running + _nested(before, "L", "bigint")[F.col("measure")][F.col("part")]
     reached = parted.select("measure", "value", upto.alias("upto"))
 
-    def edge(name: str, k: int) -> Column:
-        wanted = -(-k * seen[name] // bands)
-        return F.min(F.when((F.col("measure") == name) & (F.col("upto") >= wanted), F.col("value")))
+    def edge(i: int, k: int) -> Column:
+        wanted = -(-k * sum(totals[i]) // bands)
+        return F.min(F.when((F.col("measure") == i) & (F.col("upto") >= wanted), F.col("value")))
 
-    named = [(name, k) for name in measures for k in range(1, bands)]
-    found = reached.agg(*(edge(name, k).alias(f"{name}_{k}") for name, k in named)).first()
-    return {name: [found[f"{name}_{k}"] for k in range(1, bands)] for name in measures}
+    found = reached.agg(
+        *(edge(i, k).alias(f"e{i}_{k}") for i in range(len(names)) for k in range(1, bands))
+    ).first()
+    return {name: [found[f"e{i}_{k}"] for k in range(1, bands)] for i, name in enumerate(names)}
 
 
 def band(column: Column, edges: list[Decimal]) -> Column:

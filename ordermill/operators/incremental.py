@@ -12,6 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.dates import moment
 from ..session import fresh_path
 from ..sources.catalog import refresh_statistics
 
@@ -24,12 +25,12 @@ def watermark(target: DataFrame, column: str) -> date:
     return target.agg(F.max(column)).first()[0] or BEFORE_EVERYTHING
 
 
-def not_before(source: DataFrame, moment: str, day: date) -> DataFrame:
+def not_before(source: DataFrame, column: str, day: date) -> DataFrame:
     """Source rows from the start of the day on, that day included; NULL is left out.
 
     The bound is a timestamp literal on the stored column, so it reaches the file scan.
     """
-    return source.where(F.col(moment) >= F.lit(datetime.combine(day, time.min)).cast("timestamp_ntz"))
+    return source.where(F.col(column) >= moment(datetime.combine(day, time.min)))
 
 
 def delete_insert(target: DataFrame, batch: DataFrame, keys: list[str]) -> DataFrame:

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.dates import moment
 from ..functions.text import clone_id, seeded_digest
 
 # A top-n gathers up to n rows of every partition in one task, so it is used for small n only;
@@ -63,11 +64,10 @@ def clone_orders(
     chosen = sample_rows(orders.where(F.col("order_status") == CLONED_STATUS), "order_id", n, seed)
     id_map = chosen.select("order_id", clone_id(seed, F.col("order_id")).alias("new_id"))
 
-    moment = F.lit(now).cast("timestamp_ntz")
     new_orders = chosen.withColumns(
         {
             "order_id": clone_id(seed, F.col("order_id")),
-            **{name: moment + F.expr(offset) for name, offset in TIMELINE.items()},
+            **{name: moment(now) + F.expr(offset) for name, offset in TIMELINE.items()},
         }
     )
 

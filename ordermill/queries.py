@@ -8,6 +8,7 @@ from datetime import date, datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .functions.dates import moment
 from .operators import incremental, quality, sampling, staging
 from .plans import checks, gold, marts, metrics, pipeline
 from .session import fresh_path, settle
@@ -111,7 +112,7 @@ def revenue_by_day_product_customer(spark: SparkSession, sf: str) -> DataFrame:
 def _first_load(spark: SparkSession, sf: str) -> DataFrame:
     """Orders known at the first load."""
     orders = _staged(spark, sf, "stg_orders")
-    return orders.where(F.col("purchased_at") <= F.lit(FIRST_LOAD_UNTIL).cast("timestamp_ntz"))
+    return orders.where(F.col("purchased_at") <= moment(FIRST_LOAD_UNTIL))
 
 
 def fact_order_items_incremental(spark: SparkSession, sf: str) -> DataFrame:

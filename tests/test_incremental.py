@@ -103,6 +103,16 @@ def test_bound_reaches_the_scan(spark, tmp_path):
     assert "GreaterThanOrEqual(purchased_at" in plan._jdf.queryExecution().executedPlan().toString()
 
 
+def test_bound_does_not_depend_on_the_session_zone(spark):
+    orders = _orders(spark, ("a", "2020-01-01T00:00"), ("b", "2019-12-31T23:59"))
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Tokyo")
+        found = rows(incremental.not_before(orders, "purchased_at", date(2020, 1, 1)), "order_id")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+    assert found == [("a",)]
+
+
 def test_column_sync_follows_the_batch(spark, layer):
     table = f"{layer}.fact_order_items"
     orders = _orders(spark, ("a", "2020-01-01T10:00"), ("b", "2020-02-02T10:00"))
