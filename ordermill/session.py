@@ -18,6 +18,9 @@ def build_session(app_name: str = "ordermill", master: str | None = None, **conf
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
         "spark.ui.enabled": "false",
+        # A full build has more than the default 100 stages; without room for all of them each
+        # build compiles its code anew.
+        "spark.sql.codegen.cache.maxEntries": "2000",
         # Call sites of every expression are for debugging and slow plan building down.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
     }
