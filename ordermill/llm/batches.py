@@ -128,7 +128,7 @@ def shingle_sets(w: Words) -> list[np.ndarray]:
             sets.append(np.unique(value[bounds[i] : bounds[i + 1]]))
         elif n:
             short = w.value[firsts[i] : firsts[i + 1]] * _PLACE[:n]
-            sets.append(mixed(np.array([short.sum(dtype=np.uint64) + np.uint64(n) * _STEP])))
+            sets.append(mixed(short.sum(keepdims=True) + np.array([n], np.uint64) * _STEP))
         else:
             sets.append(value[:0])
     return sets

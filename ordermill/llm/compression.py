@@ -20,6 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .batches import SHINGLE, mixed, raw, slices, windows, words
+from .shipping import ready
 
 CHUNK_BYTES = 4096
 LEVEL = 3
@@ -119,6 +120,7 @@ def _measured(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def measure(docs: DataFrame) -> DataFrame:
     """Counts, ratios and the bands' verdict of every row's whole text."""
+    ready(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     return narrow.mapInArrow(_measured, SCHEMA)
 

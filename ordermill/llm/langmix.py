@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .batches import slices
+from .shipping import ready
 
 GRAM_BITS = 16
 MOST_LANGUAGES = 512  # bound of the broadcast model: languages times 2**GRAM_BITS floats
@@ -98,6 +99,7 @@ class Model:
 
 def fit(training: DataFrame) -> Model:
     """Model of all rows of ``training`` (text, lang); only sums per language and trigram reach the driver."""
+    ready(training.sparkSession)
     rows = training.select(F.col("text").cast("string"), F.col("lang").cast("string")).dropna()
     languages = sorted(r[0] for r in rows.select("lang").distinct().limit(MOST_LANGUAGES + 1).collect())
     if len(languages) > MOST_LANGUAGES:
@@ -163,6 +165,7 @@ def mixtures(model: Model, row: np.ndarray, gram: np.ndarray, rows: int):
 
 def identify(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, lang_pred, score, and ``languages``: the chosen set as an array of (lang, share), largest first."""
+    ready(docs.sparkSession)
     languages, likelihood = model.languages, model.likelihood
     shared = docs.sparkSession.sparkContext.broadcast((languages, likelihood))
 

@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import compression, hosts, langmix
+from ..session import fresh_path
+from . import (
+    compression,
+    decontaminate,
+    feistel,
+    fuzzylines,
+    hosts,
+    langmix,
+    licenses,
+    minhash,
+    packing,
+    tokenbin,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -19,6 +31,10 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_hyperminhash(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.classes(_table(spark, sf, "documents"))
+
+
 def op2_host_reputation(spark: SparkSession, sf: str) -> DataFrame:
     """Verdict on every page; a labelled page is bad if its text is toxic or of low quality."""
     pages = _table(spark, sf, "pages")
@@ -37,14 +53,51 @@ def op3_language_mixture(spark: SparkSession, sf: str) -> DataFrame:
     return found.select("doc_id", langmix.held_out().alias("held_out"), "lang_pred", "score")
 
 
+def op4_token_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Every document written to token files and read back by the index."""
+    folder = tokenbin.write(_table(spark, sf, "documents"), fresh_path(spark, "tokens"))
+    read = tokenbin.checksums(spark, folder, tokenbin.keys_of(spark, folder))
+    return read.select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
+def op5_length_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    return packing.pack(_table(spark, sf, "documents"))
+
+
 def op6_compression_bands(spark: SparkSession, sf: str) -> DataFrame:
     return compression.judge(_table(spark, sf, "documents"))
 
 
+def op7_feistel_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
+    done = feistel.pseudonymise(_table(spark, sf, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_replaced", "kinds", "text")
+
+
+def op8_simhash_windows(spark: SparkSession, sf: str) -> DataFrame:
+    found = decontaminate.contaminated(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+    return found.drop("sum")
+
+
+def op9_license_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf, "documents")).drop("matches")
+
+
+def op10_fuzzy_lines(spark: SparkSession, sf: str) -> DataFrame:
+    done = fuzzylines.dedup(_table(spark, sf, "documents").select("doc_id", "text"))
+    return done.select("doc_id", "n_lines", "n_removed", "text")
+
+
 QUERIES: dict[str, Query] = {
+    "op1_hyperminhash": op1_hyperminhash,
     "op2_host_reputation": op2_host_reputation,
     "op3_language_mixture": op3_language_mixture,
+    "op4_token_files": op4_token_files,
+    "op5_length_buckets": op5_length_buckets,
     "op6_compression_bands": op6_compression_bands,
+    "op7_feistel_pseudonyms": op7_feistel_pseudonyms,
+    "op8_simhash_windows": op8_simhash_windows,
+    "op9_license_blocks": op9_license_blocks,
+    "op10_fuzzy_lines": op10_fuzzy_lines,
 }
 
 ORACLES: dict[str, str] = {}
