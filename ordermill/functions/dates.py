@@ -44,3 +44,17 @@ def utc_wall_time(text: Column) -> Column:
     """
     seconds = F.unix_micros(text.cast("timestamp")).cast("decimal(20,0)") * F.lit(Decimal("0.000001"))
     return moment(datetime(1970, 1, 1)) + F.make_dt_interval(secs=seconds.cast("decimal(18,6)"))
+
+
+# Fixed value: how an ISO time ends that says its zone.
+_ZONE = r":\d{2}(\.\d+)?\s*([Zz]|[+-]\d{2}(:?\d{2})?)$"
+
+
+def event_moment(text: Column) -> Column:
+    """Time of an event as a UTC timestamp without zone; NULL if the text is no time.
+
+    Text with a zone is brought to UTC, text without one is taken as it stands.
+    """
+    micros = F.unix_micros(text.try_cast("timestamp")).cast("decimal(20,0)") * F.lit(Decimal("0.000001"))
+    zoned = moment(datetime(1970, 1, 1)) + F.make_dt_interval(secs=micros.cast("decimal(18,6)"))
+    return F.when(F.rlike(text, F.lit(_ZONE)), zoned).otherwise(text.try_cast("timestamp_ntz"))

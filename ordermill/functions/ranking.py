@@ -6,11 +6,10 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# A part of the value range aims at this many distinct values; more than MOST_PARTS are not made.
+# A part of the value range aims at this many distinct values.
 VALUES_PER_PART = 200_000
-MOST_PARTS = 1024
-_NUMBER = "decimal(20,2)"
 
 
 def _nested(lists: list[list], suffix: str, element: str) -> Column:
@@ -19,6 +18,14 @@ def _nested(lists: list[list], suffix: str, element: str) -> Column:
     return F.expr(f"array({', '.join(inner)})")
 
 
+def _common_number(df: DataFrame, measures: dict[str, Column]) -> str:
+    """Decimal type that holds every measure without rounding."""
+    kinds = [f.dataType for f in df.select(*(m.alias(n) for n, m in measures.items())).schema.fields]
+    if not all(isinstance(k, (T.DecimalType, T.IntegralType)) for k in kinds):
+        raise TypeError("bands need exact numbers: integers or decimals")
+    return f"decimal(38,{max(k.scale if isinstance(k, T.DecimalType) else 0 for k in kinds)})"
+
+
 def band_edges(
     df: DataFrame, measures: dict[str, Column], bands: int, values_per_part: int = VALUES_PER_PART
 ) -> dict[str, list[Decimal]]:
@@ -32,9 +39,10 @@ def band_edges(
     ``bands - 1`` edges per measure.
     """
     names = list(measures)
+    number = _common_number(df, measures)
     entries = F.array(
         *(
-            F.struct(F.lit(i).alias("measure"), measures[name].cast(_NUMBER).alias("value"))
+            F.struct(F.lit(i).alias("measure"), measures[name].cast(number).alias("value"))
             for i, name in enumerate(names)
         )
     )
@@ -46,15 +54,15 @@ def band_edges(
         .agg(F.count(F.lit(1)).alias("n"))
     )
 
-    steps = F.expr(f"array({', '.join(f'{i / MOST_PARTS}D' for i in range(1, MOST_PARTS))})")
-    spread = counted.groupBy("measure").agg(
-        F.count(F.lit(1)).alias("distinct_values"), F.percentile_approx("position", steps).alias("cuts")
-    )
     cuts: list[list[float]] = [[] for _ in names]
-    for row in spread.collect():
-        parts = min(MOST_PARTS, -(-row["distinct_values"] // values_per_part))
-        chosen = {row["cuts"][MOST_PARTS * k // parts - 1] for k in range(1, parts)}
-        cuts[row["measure"]] = sorted(chosen)
+    # As many parts as the values need, so that a part stays of the same size however many there are.
+    for row in counted.groupBy("measure").count().collect():
+        parts = -(-row["count"] // values_per_part)
+        if parts > 1:
+            steps = F.expr(f"array({', '.join(f'{k / parts}D' for k in range(1, parts))})")
+            own = counted.where(F.col("measure") == row["measure"])
+            found = own.agg(F.percentile_approx("position", steps, F.lit(max(10_000, 20 * parts)))).first()[0]
+            cuts[row["measure"]] = sorted(set(found))
 
     parted = counted.withColumn("cuts", _nested(cuts, "D", "double")[F.col("measure")]).selectExpr(
         "measure", "value", "n", "size(filter(cuts, cut -> cut < position)) AS part"
@@ -80,8 +88,7 @@ def band_edges(
 
 def band(column: Column, edges: list[Decimal]) -> Column:
     """1 plus the number of edges below the value; NULL stays NULL."""
-    value = column.cast(_NUMBER)
     score = F.lit(1)
     for edge in edges:
-        score = score + F.when(value > F.lit(edge), 1).otherwise(0)
+        score = score + F.when(column > F.lit(edge), 1).otherwise(0)
     return F.when(column.isNotNull(), score)

@@ -19,8 +19,3 @@ def joined_distinct(column: Column, separator: str = ",") -> Column:
 def seeded_digest(seed: str, key: Column) -> Column:
     """Hex digest of seed and key: repeatable, and evenly spread over its values."""
     return F.sha2(F.concat(F.lit(seed), key), 256)
-
-
-def clone_id(seed: str, key: Column) -> Column:
-    """Marked new identifier: a fixed prefix and eight digest bytes."""
-    return F.concat(F.lit("fake_"), F.substring(seeded_digest(seed, key), 1, 16))

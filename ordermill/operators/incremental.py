@@ -13,7 +13,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.dates import moment
-from ..session import fresh_path
+from ..session import settle
+from ..sources import versions
 from ..sources.catalog import refresh_statistics
 
 # Fixed value: the watermark of an empty target.
@@ -66,19 +67,15 @@ def upsert(target: DataFrame, batch: DataFrame, keys: list[str], updated: list[s
     one statement. Rows with a NULL key match nothing and are inserted as they are.
     """
     complete = _all_present(keys)
+    row = F.struct(*batch.columns)
     once = (
         batch.where(complete)
         .groupBy(*keys)
-        .agg(
-            F.count(F.lit(1)).alias("_copies"),
-            F.any_value(F.struct(*[c for c in batch.columns if c not in keys])).alias("_new"),
-        )
+        .agg(F.count(F.lit(1)).alias("_copies"), F.any_value(row).alias("_new"))
         .withColumn(
             "_new",
             F.when(F.col("_copies") == 1, F.col("_new")).otherwise(
-                F.raise_error(F.lit("a key occurs twice in the batch")).cast(
-                    batch.select(F.struct(*[c for c in batch.columns if c not in keys])).schema[0].dataType
-                )
+                F.raise_error(F.lit("a key occurs twice in the batch")).cast(batch.select(row).schema[0].dataType)
             ),
         )
     )
@@ -108,8 +105,8 @@ def insert_if_absent(target: DataFrame, batch: DataFrame, keys: list[str]) -> Da
     one_each = (
         batch.where(complete)
         .groupBy(*keys)
-        .agg(F.min(F.struct(*others)).alias("_row"))
-        .select(*keys, "_row.*")
+        .agg(F.min(F.struct(*others, *keys)).alias("_row"))
+        .select("_row.*")
         .select(*batch.columns)
     )
     added = one_each.join(target.select(*keys), keys, "left_anti").select(*batch.columns)
@@ -120,22 +117,55 @@ def month_of(column: str) -> Column:
     return F.date_format(column, "yyyy-MM")
 
 
-def store_fact(df: DataFrame, table: str, day_column: str, sort_by: list[str]) -> None:
-    """Write a fact partitioned by month, sorted inside files so their statistics prune.
+def _laid_out(df: DataFrame, sort_by: list[str]) -> DataFrame:
+    """By month, sorted inside files so that their statistics prune.
 
     The rebalance hint splits a month that is far larger than others over several tasks and
     joins small ones.
     """
-    (
-        df.withColumn("part_month", month_of(day_column))
-        .hint("rebalance", "part_month")
-        .sortWithinPartitions("part_month", *sort_by)
-        .write.mode("overwrite")
-        .partitionBy("part_month")
-        .format("parquet")
-        .saveAsTable(table)
-    )
-    refresh_statistics(df.sparkSession, table)
+    return df.hint("rebalance", "part_month").sortWithinPartitions("part_month", *sort_by)
+
+
+def _columns_of(df: DataFrame) -> str:
+    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
+
+
+def _index(table: str) -> str:
+    return f"{table}_months"
+
+
+def _enter_months(table: str, rows: DataFrame, key: str, fresh: bool) -> None:
+    """Months in which a key has stood, bucketed by the key, so that looking keys up moves the keys only."""
+    found = rows.select(key, "part_month").distinct()
+    if fresh:
+        buckets = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        found.write.mode("overwrite").bucketBy(buckets, key).format("parquet").saveAsTable(_index(table))
+    else:
+        found.write.insertInto(_index(table))
+
+
+def months_of(spark: SparkSession, table: str, keys: DataFrame, key: str) -> DataFrame:
+    """Months that may hold rows of the keys: a superset, read from the index without a shuffle of it."""
+    return spark.table(_index(table)).join(keys.select(key).distinct(), key, "left_semi").select("part_month").distinct()
+
+
+def store_fact(df: DataFrame, table: str, day_column: str, sort_by: list[str]) -> None:
+    """Replace a fact, partitioned by month; the old contents stay until the new ones are complete."""
+    spark = df.sparkSession
+    monthly = df.withColumn("part_month", month_of(day_column))
+    version = versions.write(_laid_out(monthly, sort_by), table, partitioned=True)
+    versions.place(spark, table, version, _columns_of(monthly), None, partitioned=True)
+    _enter_months(table, spark.table(table), sort_by[0], fresh=True)
+    refresh_statistics(spark, table)
+
+
+def stored_watermark(spark: SparkSession, table: str, column: str) -> date:
+    """Newest day of a fact, read from its newest month only."""
+    listed = [r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
+    months = [m for m in listed if m not in ("__HIVE_DEFAULT_PARTITION__", "null")]
+    if not months:
+        return BEFORE_EVERYTHING
+    return watermark(spark.table(table).where(F.col("part_month") == max(months)), column)
 
 
 def _in_months(months: set[str | None]) -> Column:
@@ -143,58 +173,48 @@ def _in_months(months: set[str | None]) -> Column:
     return known | F.col("part_month").isNull() if None in months else known
 
 
+def _shape(df: DataFrame) -> dict:
+    return {f.name: f.dataType for f in df.schema.fields if f.name != "part_month"}
+
+
 def apply_batch(
     spark: SparkSession, table: str, batch: DataFrame, keys: list[str], day_column: str, sort_by: list[str]
 ) -> None:
     """Delete-and-insert on a table written by ``store_fact``.
 
-    Only months that hold a replaced key or receive a row are rewritten. The batch and the
-    rows that stay in those months are first stored in the shared folder, then put in place
-    from there, so no partition is read while it is overwritten and a failed swap can be
-    repeated. A batch with other columns than the table leads to a full rewrite instead.
+    Only months that may hold a replaced key or receive a row are written anew, once, beside the old ones, and the
+    catalog is then pointed at them, see ``versions``. A run that failed before that can be
+    finished by ``versions.resume``. A batch with other columns or types than the table leads to a new version
+    of all months.
     """
+    versions.resume(spark, table)
     target = spark.table(table)
-    columns = [c for c in target.columns if c != "part_month"]
-    staying_path, arriving_path = fresh_path(spark, "staying"), fresh_path(spark, "arriving")
-
-    if set(columns) != set(batch.columns):
-        whole = delete_insert(sync_columns(target.select(*columns), batch), batch, keys)
-        whole.write.parquet(staying_path)
-        store_fact(spark.read.parquet(staying_path), table, day_column, sort_by)
+    if _shape(target) != _shape(batch):
+        whole = delete_insert(sync_columns(target.drop("part_month"), batch), batch, keys)
+        store_fact(whole, table, day_column, sort_by)
         return
 
-    batch.select(*columns).withColumn("part_month", month_of(day_column)).write.parquet(arriving_path)
-    arriving = spark.read.parquet(arriving_path)
+    columns = target.columns
+    arriving = settle(batch.withColumn("part_month", month_of(day_column)).select(*columns))
     replaced = arriving.select(*keys).distinct()
-
     # One value per month, no more than the partition listing the driver already holds.
-    losing = target.join(replaced, keys, "left_semi").select("part_month", F.lit(True).alias("loses"))
-    gaining = arriving.select("part_month", F.lit(False).alias("loses"))
-    months = losing.unionByName(gaining).distinct().collect()
-    touched = {m.part_month for m in months}
-    only_losing = touched - {m.part_month for m in months if not m.loses}
-
-    staying = target.where(_in_months(touched)).join(replaced, keys, "left_anti")
-    staying.select(*target.columns).write.parquet(staying_path)
-
-    # A session of its own, so that only this write overwrites just the partitions it fills.
-    swap = spark.newSession()
-    swap.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    (
-        swap.read.parquet(staying_path, arriving_path)
-        .select(*target.columns)
-        .hint("rebalance", "part_month")
-        .sortWithinPartitions("part_month", *sort_by)
-        .write.mode("overwrite")
-        .insertInto(table)
-    )
+    months = months_of(spark, table, replaced, sort_by[0]).union(arriving.select("part_month")).distinct()
+    touched = {m.part_month for m in months.collect()}
+    if not touched:
+        return
+
+    staying = target.where(_in_months(touched)).join(replaced, keys, "left_anti").select(*columns)
+    version = versions.write(_laid_out(staying.unionByName(arriving), sort_by), table, partitioned=True)
+    _enter_months(table, arriving, sort_by[0], fresh=False)
+    versions.place(spark, table, version, _columns_of(target), sorted(touched, key=str), partitioned=True)
+    for month in touched - {None}:
+        if spark.catalog.tableExists(table) and not spark.table(table).where(F.col("part_month") == month).isEmpty():
+            spark.sql(f"ANALYZE TABLE {table} PARTITION (part_month = '{month}') COMPUTE STATISTICS")
+
 
-    # A month that only lost rows may be empty now, and an empty one is not overwritten.
-    if only_losing:
-        stayed = spark.read.parquet(staying_path).where(_in_months(only_losing))
-        left = {r.part_month for r in stayed.select("part_month").distinct().collect()}
-        for month in only_losing - left:
-            value = "NULL" if month is None else f"'{month}'"
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (part_month = {value})")
-    spark.catalog.refreshTable(table)
+def store_keyed(df: DataFrame, table: str) -> None:
+    """Replace a table without partitions by the result of a keyed write that read it."""
+    spark = df.sparkSession
+    version = versions.write(df.hint("rebalance"), table, partitioned=False)
+    versions.place(spark, table, version, _columns_of(df), None, partitioned=False)
     refresh_statistics(spark, table)

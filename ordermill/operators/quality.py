@@ -1,7 +1,7 @@
 """Declarative data checks.
 
 A check gives the failing rows, so an empty result passes. ``report`` counts failures for
-a whole layer: all row-level checks of one table share a single scan.
+a whole layer: all checks of one table share a single pass over it.
 """
 
 from __future__ import annotations
@@ -91,25 +91,40 @@ def _failing(check: Check) -> Column | None:
     return None
 
 
-def _labels(check: Check) -> list[str]:
-    return [f"'{check.model}' AS model", f"'{check.column}' AS column_name", f"'{check.name}' AS check_name"]
-
+def _across_rows(check: Check, column: DataFrame, models: dict[str, DataFrame]) -> DataFrame:
+    """One count from (value, rows) of the tested column."""
+    if check.kind == "unique":
+        return column.agg(F.count_if(F.col(check.column).isNotNull() & (F.col("rows") > 1)).alias("failures"))
+    known = models[check.parent].select(F.col(check.parent_column).alias(check.column))
+    orphans = column.where(F.col(check.column).isNotNull()).join(known, check.column, "left_anti")
+    return orphans.agg(F.coalesce(F.sum("rows"), F.lit(0)).alias("failures"))
 
-def _row_level(model: str, df: DataFrame, checks: list[Check]) -> DataFrame:
-    counts = df.agg(*(F.count_if(_failing(c)).alias(f"c{i}") for i, c in enumerate(checks)))
-    entries = ", ".join(f"'{c.column}', '{c.name}', c{i}" for i, c in enumerate(checks))
-    return counts.selectExpr(
-        f"'{model}' AS model",
-        f"stack({len(checks)}, {entries}) AS (column_name, check_name, failures)",
-    )
 
+def _model_report(model: str, df: DataFrame, own: list[Check], models: dict[str, DataFrame]) -> list[DataFrame]:
+    """All checks of one model from one pass over it.
 
-def _across_rows(check: Check, models: dict[str, DataFrame]) -> DataFrame:
-    df = models[check.model]
-    if check.kind == "unique":
-        return unique(df, check.column).selectExpr(*_labels(check), "count(*) AS failures")
-    orphans = relationships(df, check.column, models[check.parent], check.parent_column)
-    return orphans.selectExpr(*_labels(check), "coalesce(sum(rows), 0L) AS failures")
+    Rows collapse to one per combination of the columns that are tested across rows, with the failures of
+    the row-level checks counted; the same shuffle then serves every check.
+    """
+    simple = [c for c in own if _failing(c) is not None]
+    tested = list(dict.fromkeys(c.column for c in own if _failing(c) is None))
+    counts = [F.count_if(_failing(c)).alias(f"c{i}") for i, c in enumerate(simple)]
+    base = df.groupBy(*tested).agg(F.count(F.lit(1)).alias("rows"), *counts)
+    parts = []
+    if simple:
+        sums = base.agg(*(F.coalesce(F.sum(f"c{i}"), F.lit(0)).alias(f"c{i}") for i in range(len(simple))))
+        entries = ", ".join(f"'{c.column}', '{c.name}', c{i}" for i, c in enumerate(simple))
+        parts.append(sums.selectExpr(
+            f"'{model}' AS model", f"stack({len(simple)}, {entries}) AS (column_name, check_name, failures)"
+        ))
+    for check in own:
+        if _failing(check) is None:
+            column = base if tested == [check.column] else base.groupBy(check.column).agg(F.sum("rows").alias("rows"))
+            failed = _across_rows(check, column, models)
+            parts.append(failed.selectExpr(
+                f"'{model}' AS model", f"'{check.column}' AS column_name", f"'{check.name}' AS check_name", "failures"
+            ))
+    return parts
 
 
 def report(models: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
@@ -117,10 +132,8 @@ def report(models: dict[str, DataFrame], checks: list[Check]) -> DataFrame:
     parts = []
     for model, df in models.items():
         own = [c for c in checks if c.model == model]
-        simple = [c for c in own if _failing(c) is not None]
-        if simple:
-            parts.append(_row_level(model, df, simple))
-        parts.extend(_across_rows(c, models) for c in own if _failing(c) is None)
+        if own:
+            parts.extend(_model_report(model, df, own, models))
     return reduce(DataFrame.unionByName, parts)
 
 

@@ -1,77 +1,47 @@
-"""Exact-size samples and referentially intact clones of orders."""
+"""Exact-size samples by key, and the rows of other tables that belong to them."""
 
 from __future__ import annotations
 
-from datetime import datetime
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import moment
-from ..functions.text import clone_id, seeded_digest
-
-# A top-n gathers up to n rows of every partition in one task, so it is used for small n only;
-# beyond this the digest ranges are used.
-TOP_N_LIMIT = 1_000
-
-# Status that can be cloned, and the offsets of the five new timestamps.
-CLONED_STATUS = "delivered"
-TIMELINE = {
-    "order_purchase_timestamp": "interval 0 hour",
-    "order_approved_at": "interval 1 hour",
-    "order_delivered_carrier_date": "interval 1 day",
-    "order_delivered_customer_date": "interval 3 days",
-    "order_estimated_delivery_date": "interval 7 days",
-}
+from ..functions.text import seeded_digest
 
 
-def sample_rows(df: DataFrame, key: str, n: int, seed: str, top_n_limit: int = TOP_N_LIMIT) -> DataFrame:
-    """``n`` rows without replacement: those with the smallest seeded digests of the key."""
-    digest = seeded_digest(seed, F.col(key))
-    if n <= top_n_limit:
-        return df.orderBy(digest, key).limit(n)
-    return _sample_by_ranges(df.withColumn("_digest", digest), key, n)
-
-
-def _sample_by_ranges(df: DataFrame, key: str, n: int) -> DataFrame:
-    """The same rows for large ``n``, without gathering them in one task.
+def sample_rows(df: DataFrame, key: str, n: int, seed: str) -> DataFrame:
+    """``n`` rows without replacement: those with the smallest seeded digests of the key; NULL keys come last.
 
     Digests are spread evenly, so their first four digits cut the rows into 65,536 similar
     ranges. Whole ranges are taken until the next one would exceed ``n``; only from that one
-    range is a part taken.
+    range is a part taken, so no task gathers the sample.
     """
-    ranged = df.withColumn("_range", F.substring("_digest", 1, 4))
+    digest = F.coalesce(seeded_digest(seed, F.col(key)), F.lit("g"))
+    ranged = df.withColumn("_digest", digest).withColumn("_range", F.substring("_digest", 1, 4))
     taken, last = 0, None
+    # One count per range: 65,537 rows at most.
     for row in ranged.groupBy("_range").count().orderBy("_range").collect():
         if taken + row["count"] > n:
             last = row["_range"]
             break
         taken += row["count"]
     if last is None:
-        return ranged.drop("_digest", "_range")
+        return df
     whole = ranged.where(F.col("_range") < last)
-    part = ranged.where(F.col("_range") == last).orderBy("_digest", key).limit(n - taken)
+    part = ranged.where(F.col("_range") == last).orderBy("_digest").limit(n - taken)
     return whole.unionByName(part).drop("_digest", "_range")
 
 
-def clone_orders(
-    orders: DataFrame, items: DataFrame, payments: DataFrame, n: int, seed: str, now: datetime
-) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Copies of ``n`` delivered orders with their items and payments under new ids.
+def key_map(chosen: DataFrame, key: str, seed: str) -> DataFrame:
+    """Each key once, with a repeatable surrogate for it."""
+    keys = chosen.where(F.col(key).isNotNull()).select(key).distinct()
+    return keys.withColumn("surrogate", F.substring(seeded_digest(seed, F.col(key)), 1, 16))
 
-    Fewer than ``n`` delivered orders give as many copies as there are.
-    """
-    chosen = sample_rows(orders.where(F.col("order_status") == CLONED_STATUS), "order_id", n, seed)
-    id_map = chosen.select("order_id", clone_id(seed, F.col("order_id")).alias("new_id"))
 
-    new_orders = chosen.withColumns(
-        {
-            "order_id": clone_id(seed, F.col("order_id")),
-            **{name: moment(now) + F.expr(offset) for name, offset in TIMELINE.items()},
-        }
-    )
+def rows_of(df: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
+    """Rows whose key is among the chosen ones; a key that is chosen twice does not repeat them."""
+    return df.join(chosen.select(key), key, "left_semi")
 
-    def rekeyed(df: DataFrame) -> DataFrame:
-        return df.join(id_map, "order_id").withColumn("order_id", F.col("new_id")).select(*df.columns)
 
-    return new_orders, rekeyed(items), rekeyed(payments)
+def under_surrogates(df: DataFrame, names: DataFrame, key: str) -> DataFrame:
+    """Rows with the key looked up in a map in which it is unique; rows without an entry are left out."""
+    return df.join(names, key).withColumn(key, F.col("surrogate")).select(*df.columns)

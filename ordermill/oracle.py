@@ -7,6 +7,8 @@ from __future__ import annotations
 
 import re
 
+from .schemas import RAW
+
 _BLOCKS = {
     "raw_orders": """
         SELECT o_orderkey::VARCHAR AS order_id, o_custkey::VARCHAR AS customer_id,
@@ -46,7 +48,7 @@ _BLOCKS = {
         FROM customer JOIN nation ON c_nationkey = n_nationkey""",
     "raw_products": """
         SELECT p_partkey::VARCHAR AS product_id,
-               CASE WHEN p_brand <> 'Brand#1' THEN p_name END AS product_category_name,
+               p_name AS product_category_name,
                length(p_name)::INTEGER AS product_name_lenght,
                length(p_type)::INTEGER AS product_description_lenght,
                (p_size % 7)::INTEGER AS product_photos_qty,
@@ -57,7 +59,7 @@ _BLOCKS = {
     "raw_category_translation": """
         SELECT DISTINCT p_name AS product_category_name,
                replace(upper(p_name), ' ', '_') AS product_category_name_english
-        FROM part WHERE p_name NOT LIKE 'small%'""",
+        FROM part""""",
     "raw_sellers": """
         SELECT s_suppkey::VARCHAR AS seller_id, s_nationkey::VARCHAR AS seller_zip_code_prefix,
                s_name AS seller_city, n_name AS seller_state
@@ -180,7 +182,7 @@ _BLOCKS = {
         FROM fact_order_items f JOIN stg_customers c ON f.customer_id = c.customer_id
         GROUP BY customer_unique_id""",
     "chosen": """
-        SELECT *, 'fake_' || substr(sha256('clone' || order_id), 1, 16) AS new_id
+        SELECT *, substr(sha256('clone' || order_id), 1, 16) AS new_id
         FROM raw_orders WHERE order_status = 'delivered'
         ORDER BY sha256('clone' || order_id), order_id LIMIT 100""",
     "all_counts": """
@@ -196,6 +198,11 @@ _BLOCKS = {
 }
 
 
+def _line(table: str) -> str:
+    """A raw row as text, absent values as a dash."""
+    return "concat_ws('|', " + ", ".join(f"coalesce({c}::VARCHAR, '-')" for c in RAW[table].names) + ")"
+
+
 def _statement(body: str, **own: str) -> str:
     """Body with every building block it needs, directly or through others, in order."""
     blocks = _BLOCKS | own
@@ -490,7 +497,7 @@ ORACLES: dict[str, str] = {
     "currency_convert": _statement("""
         SELECT "year", "month", total_orders, gross_revenue,
                gross_revenue::DOUBLE * (1.0::DOUBLE / 5.4::DOUBLE) AS gross_revenue_usd FROM monthly"""),
-    "dq_not_null": _statement("SELECT product_id FROM stg_products WHERE product_category_name IS NULL"),
+    "dq_not_null": _statement("SELECT order_id, order_status FROM stg_orders WHERE delivered_at IS NULL"),
     "dq_unique": _statement("""
         SELECT order_id, count(*) AS copies FROM stg_order_items
         WHERE order_id IS NOT NULL GROUP BY order_id HAVING count(*) > 1"""),
@@ -512,11 +519,9 @@ ORACLES: dict[str, str] = {
     "required_tables": _statement("""
         SELECT table_name, true AS present, "rows" FROM all_counts
         UNION ALL SELECT 'streaming_orders', false, NULL"""),
-    "csv_load": _statement("""
-        SELECT r.order_id, order_item_id, product_id, price, freight_value, shipping_limit_date,
-               review_id, review_score, review_comment_title, review_comment_message,
-               review_creation_date
-        FROM raw_reviews r JOIN raw_order_items i ON r.order_id = i.order_id"""),
+    "csv_load": _statement(
+        " UNION ALL ".join(f"SELECT '{name}' AS table_name, {_line(name)} AS line FROM raw_{name}" for name in RAW)
+    ),
     "csv_text_fidelity": """
         SELECT doc_id::VARCHAR AS review_id, source AS order_id, lang AS review_comment_title,
                "text" AS review_comment_message FROM documents""",
@@ -529,30 +534,17 @@ ORACLES: dict[str, str] = {
         SELECT year(review_created_at)::INTEGER AS "year", month(review_created_at)::INTEGER AS "month",
                day(review_created_at)::INTEGER AS "day", count(*) AS reviews,
                sum(review_score)::BIGINT AS score_total FROM stg_reviews GROUP BY 1, 2, 3"""),
-    "pipeline_build": _statement("""
-        SELECT 'dim_date' AS table_name, count(*) AS "rows" FROM day_list
-        UNION ALL SELECT 'dim_customers', count(*) FROM stg_customers
-        UNION ALL SELECT 'dim_sellers', count(*) FROM stg_sellers
-        UNION ALL SELECT 'dim_products', count(*) FROM dim_products
-        UNION ALL SELECT 'dim_geolocation', count(DISTINCT geolocation_zip_code_prefix) FROM stg_geolocation
-        UNION ALL SELECT 'fact_order_items', count(*) FROM fact_order_items
-        UNION ALL SELECT 'fact_payments', count(*) FROM fact_payments
-        UNION ALL SELECT 'mart_revenue_daily', count(*) FROM mart_revenue_daily"""),
     "stream_ingest": _statement("""
         SELECT *, strptime(created_at, '%Y-%m-%dT%H:%M:%SZ')::TIMESTAMP AS event_timestamp
         FROM order_events"""),
     "stream_quarantine": _statement("""
-        SELECT order_id, CASE WHEN order_status = 'error' AND payment_type IN ('boleto', 'voucher')
+        SELECT order_id, CASE WHEN order_status IN ('error', 'click') AND payment_type IN ('boleto', 'voucher')
                               THEN 'quarantined' ELSE 'good' END AS state
         FROM order_events"""),
     "stream_enrich": _statement("SELECT * FROM enriched"),
     "clone_orders": _statement("""
-        SELECT new_id AS order_id, customer_id, order_status,
-               TIMESTAMP '2030-01-15 09:30:00' AS order_purchase_timestamp,
-               TIMESTAMP '2030-01-15 10:30:00' AS order_approved_at,
-               TIMESTAMP '2030-01-16 09:30:00' AS order_delivered_carrier_date,
-               TIMESTAMP '2030-01-18 09:30:00' AS order_delivered_customer_date,
-               TIMESTAMP '2030-01-22 09:30:00' AS order_estimated_delivery_date
+        SELECT new_id AS order_id, customer_id, order_status, order_purchase_timestamp, order_approved_at,
+               order_delivered_carrier_date, order_delivered_customer_date, order_estimated_delivery_date
         FROM chosen"""),
     "clone_order_items": _statement("""
         SELECT new_id AS order_id, order_item_id, product_id, seller_id, shipping_limit_date,
@@ -561,5 +553,25 @@ ORACLES: dict[str, str] = {
     "clone_payments": _statement("""
         SELECT new_id AS order_id, payment_sequential, payment_type, payment_installments, payment_value
         FROM raw_payments p JOIN chosen c ON p.order_id = c.order_id"""),
+    "sampled_items": _statement("""
+        SELECT * FROM raw_order_items WHERE order_id IN (SELECT order_id FROM chosen)"""),
     "sample_rows": _statement("SELECT order_id, order_status FROM chosen"),
 }
+
+_STORED = {
+    name: ORACLES[name]
+    for name in (
+        "dim_date", "dim_customers", "dim_sellers", "dim_products", "dim_geolocation", "fact_order_items",
+        "fact_payments", "mart_revenue_daily",
+    )
+} | {"streaming_orders": ORACLES["stream_ingest"]}
+# The build has a fixed calendar; averages are left out of checksums, as engines write them differently.
+_STORED["dim_date"] = _STORED["dim_date"].replace("min(o_orderdate)::DATE", "DATE '1995-01-01'").replace(
+    "max(o_orderdate)::DATE", "DATE '2002-12-31'").replace("AS d FROM orders)", "AS d)")
+_STORED["dim_geolocation"] = f"SELECT zip_code_prefix, city, state FROM ({_STORED['dim_geolocation']})"
+ORACLES["pipeline_build"] = " UNION ALL ".join(
+    f"""SELECT '{name}' AS table_name, count(*) AS "rows",
+               sum(('0x' || substr(md5(concat_ws('|', *COLUMNS(*))), 1, 8))::BIGINT)::BIGINT AS checksum
+        FROM ({statement})"""
+    for name, statement in _STORED.items()
+)

@@ -10,6 +10,7 @@ def _key(model: str, column: str) -> list[Check]:
     return [Check(model, column, "not_null"), Check(model, column, "unique")]
 
 
+# The checks that the layers declare.
 STAGING_CHECKS: list[Check] = [
     *_key("stg_orders", "order_id"),
     Check("stg_orders", "customer_id", "not_null"),

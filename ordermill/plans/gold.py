@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import utc_wall_time
+from ..functions.dates import event_moment, utc_wall_time
 from ..functions.money import AMOUNT, mean, order_amount
 
 
@@ -21,32 +21,37 @@ def order_analytics_gold(fact: DataFrame, customers: DataFrame, products: DataFr
     )
 
 
-def enrich_with_events(gold: DataFrame, events: DataFrame) -> DataFrame:
-    """Gold rows of orders seen in the stream, one row per item and event.
+def enrich_with_events(gold: DataFrame, events: DataFrame, *more: str) -> DataFrame:
+    """Gold rows of orders seen in the stream, one row per item and event; ``more`` event columns follow.
 
     Works for a batch of events and for a stream of them.
     """
-    seen = events.select("order_id", "order_status", "review_score", "created_at")
+    seen = events.select("order_id", "order_status", "review_score", "created_at", *more)
     return seen.join(gold, "order_id").select(
         "order_id", "customer_state", "product_category_name", "total_order_amount",
         F.col("order_status").alias("status_on_s3"),
         F.col("review_score").alias("streaming_review_score"),
-        F.col("created_at").alias("streaming_arrival_time"),
+        F.col("created_at").alias("streaming_arrival_time"), *more,
     )
 
 
 def newest_first(enriched: DataFrame) -> DataFrame:
-    return enriched.orderBy(F.desc_nulls_last("streaming_arrival_time"))
+    """By event time; the order inside one second keeps that second from landing in one task."""
+    return enriched.orderBy(
+        event_moment(F.col("streaming_arrival_time")).desc_nulls_last(), "order_id", "status_on_s3", "total_order_amount"
+    )
 
 
 def latest_event_per_order(events: DataFrame, tie_break: str = "order_status") -> DataFrame:
-    """Newest event of each order; equal times are decided by ``tie_break``, larger first.
+    """Newest event of each order by real time; equal times are decided by ``tie_break``, larger first.
+
+    An event whose time does not parse counts as the oldest.
 
     A maximum over structs is combined map-side, so an order with very many events never
     gathers in one task the way a ranking window would.
     """
     others = [c for c in events.columns if c not in ("order_id", "created_at", tie_break)]
-    ranked = F.struct("created_at", tie_break, *others)
+    ranked = F.struct(event_moment(F.col("created_at")).alias("_at"), tie_break, *others, "created_at")
     return (
         events.where(F.col("order_id").isNotNull())
         .groupBy("order_id")

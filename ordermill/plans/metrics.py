@@ -131,27 +131,22 @@ def revenue_by_state(fact: DataFrame, customers: DataFrame) -> DataFrame:
 def seller_revenue_rating(fact: DataFrame, reviews: DataFrame) -> DataFrame:
     """Revenue and mean rating per seller.
 
-    A review rates its order and so every seller in it, once. Revenue and ratings are
-    brought to one row per seller each before they meet.
+    A review rates its order and so every seller in it, once. Items are summed per seller and order,
+    so the fact is read once and each score meets one row per seller in the order.
     """
-    revenue = fact.groupBy("seller_id").agg(_revenue())
+    in_order = fact.groupBy("seller_id", "order_id").agg(F.sum("price").alias("price"))
     per_order = reviews.groupBy("order_id").agg(
         F.sum("review_score").alias("score"), F.count("review_score").alias("reviews")
     )
-    ratings = (
-        fact.select("seller_id", "order_id")
-        .distinct()
-        .join(per_order, "order_id")
+    return (
+        in_order.join(per_order, "order_id", "left")
         .groupBy("seller_id")
         .agg(
+            _revenue(),
             mean(F.sum("score"), F.sum("reviews")).alias("avg_review_score"),
-            F.sum("reviews").alias("review_count"),
+            F.coalesce(F.sum("reviews"), F.lit(0)).cast("bigint").alias("review_count"),
         )
     )
-    return revenue.join(ratings, "seller_id", "left").select(
-        "seller_id", "revenue", "avg_review_score",
-        F.coalesce("review_count", F.lit(0)).cast("bigint").alias("review_count"),
-    )
 
 
 def payment_preference(payments: DataFrame) -> DataFrame:

@@ -8,17 +8,23 @@ from datetime import date
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import types as T
 
 from ..operators import incremental, quality
 from ..operators.staging import STAGING, stage, stg_orders_payments
+from ..schemas import ORDER_EVENT
 from ..sources.catalog import (
-    MARTS_LAYER, RAW_LAYER, publish_table, publish_view, source, store_raw, table_in,
+    MARTS_LAYER, RAW_LAYER, REQUIRED_RAW_TABLES, STAGING_LAYER, create_if_absent, layer_for, publish_table,
+    publish_view, require_tables, source, store_raw, table_in,
 )
+from ..streaming import ingest
 from . import marts
 from .checks import MARTS_CHECKS, STAGING_CHECKS
 
 # Keys of the incremental facts.
 FACT_KEYS = {"fact_order_items": ["order_id", "order_item_id"], "fact_payments": ["order_id"]}
+STREAM_TABLE = "streaming_orders"
+STREAM_SCHEMA = T.StructType([*ORDER_EVENT.fields, T.StructField("loaded_at", T.TimestampType())])
 PARALLEL_MODELS = 4
 
 
@@ -35,9 +41,24 @@ def staging_models(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
     return models
 
 
-def build_staging(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """Register the staging models as views; they hold no data of their own."""
-    return {name: publish_view(df, name) for name, df in staging_models(raw).items()}
+def build_staging(raw: dict[str, DataFrame], layer: str = STAGING_LAYER) -> dict[str, DataFrame]:
+    """Register the staging models as views under the name of their layer; they hold no data of their own."""
+    return {name: publish_view(df, f"{layer}__{name}") for name, df in staging_models(raw).items()}
+
+
+def load_stream(spark: SparkSession, source: str, target: str, checkpoint: str, layer: str = RAW_LAYER) -> list:
+    """Take new event files in and append their good rows to the stream table of the raw layer.
+
+    Returns the files that could not be read. The table is created if it is absent.
+    """
+    table = table_in(layer, STREAM_TABLE)
+    create_if_absent(spark, table, STREAM_SCHEMA)
+    before = set(ingest.batches(spark, target))
+    failed = ingest.ingest(spark, source, target, checkpoint)
+    new = [b for b in ingest.batches(spark, target) if b not in before]
+    if new:
+        ingest.stream_table(spark, target, new).select(*STREAM_SCHEMA.names).write.insertInto(table)
+    return failed
 
 
 def _together(spark: SparkSession, tasks: list[Callable[[], object]]) -> None:
@@ -59,7 +80,7 @@ def refresh_fact(
     if full_refresh or not spark.catalog.tableExists(table):
         incremental.store_fact(build(orders), table, "order_date_id", keys)
         return
-    newest = incremental.watermark(spark.table(table), "order_date_id")
+    newest = incremental.stored_watermark(spark, table, "order_date_id")
     batch = build(incremental.not_before(orders, "purchased_at", newest))
     incremental.apply_batch(spark, table, batch, keys, "order_date_id", keys)
 
@@ -118,9 +139,22 @@ def run(
     first_day: date = marts.CALENDAR_START,
     last_day: date = marts.CALENDAR_END,
     full_refresh: bool = False,
+    staging_layer: str | None = None,
+    raw_layer: str | None = None,
+    stream: tuple[str, str, str] | None = None,
 ) -> dict[str, DataFrame]:
-    """Build everything; failing staging checks stop the run before the marts are touched."""
-    staged = build_staging(raw)
+    """Build everything; failing staging checks stop the run before the marts are touched.
+
+    With a raw layer, its tables must be there before anything else happens. ``stream`` (source, target and
+    checkpoint of the events) is then loaded into that layer before the staging views are made.
+    """
+    if raw_layer is not None:
+        if stream:
+            create_if_absent(spark, table_in(raw_layer, STREAM_TABLE), STREAM_SCHEMA)
+        require_tables(spark, REQUIRED_RAW_TABLES if stream else tuple(raw), raw_layer)
+        if stream:
+            load_stream(spark, *stream, raw_layer)
+    staged = build_staging(raw, layer_for(staging_layer, STAGING_LAYER))
     quality.gate(quality.report(staged, STAGING_CHECKS))
     stored = build_marts(spark, staged, layer, first_day, last_day, full_refresh)
     checked = {c.model for c in MARTS_CHECKS}

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import date, datetime
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,10 +20,17 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # The given orders lie in these years; the default calendar starts later.
 FIRST_DAY, LAST_DAY = date(1995, 1, 1), date(2002, 12, 31)
-# Scenario values: last day of a first load, clone parameters, one API response.
+# Scenario values: last day of a first load, the orders sampled, one API response.
 FIRST_LOAD_UNTIL = datetime(2000, 1, 1)
-CLONES, CLONE_SEED, CLONE_TIME = 100, "clone", datetime(2030, 1, 15, 9, 30)
-RATE_RESPONSE = '{"result": "success", "base_code": "USD", "rates": {"USD": 1, "BRL": 5.4, "VND": 25400}}'
+SAMPLED_STATUS, SAMPLE_SIZE, SAMPLE_SEED = "delivered", 100, "clone"
+STREAM_COLUMNS = (
+    "order_id", "customer_state", "product", "price", "freight_value", "total_amount",
+    "payment_type", "order_status", "review_score", "created_at", "event_timestamp",
+)
+RATE_RESPONSES = (
+    '{"result": "success", "time_last_update_unix": 1704067200, "rates": {"USD": 1, "BRL": 5.4, "VND": 25400}}',
+    '{"result": "success", "time_last_update_unix": 1703980800, "rates": {"USD": 1, "BRL": 4.9, "VND": 25300}}',
+)
 
 
 def _staged(spark: SparkSession, sf: str, model: str) -> DataFrame:
@@ -172,21 +180,28 @@ def keyed_upsert(spark: SparkSession, sf: str) -> DataFrame:
         F.col("customer_city").alias("seller_city"),
         F.col("customer_state").alias("seller_state"),
     )
-    return incremental.upsert(target, batch, ["seller_id"], ["seller_city"])
+    table = f"{_fresh_layer(spark, 'marts')}.sellers"
+    incremental.store_keyed(target, table)
+    incremental.store_keyed(incremental.upsert(spark.table(table), batch, ["seller_id"], ["seller_city"]), table)
+    return spark.table(table)
 
 
 def insert_if_absent(spark: SparkSession, sf: str) -> DataFrame:
     """Review scores per order stay; orders without one get their smallest item number."""
     target = _staged(spark, sf, "stg_reviews").select("order_id", F.col("review_score").alias("n"))
     batch = _staged(spark, sf, "stg_order_items").select("order_id", F.col("order_item_id").alias("n"))
-    return incremental.insert_if_absent(target, batch, ["order_id"])
+    table = f"{_fresh_layer(spark, 'marts')}.scores"
+    incremental.store_keyed(target, table)
+    incremental.store_keyed(incremental.insert_if_absent(spark.table(table), batch, ["order_id"]), table)
+    return spark.table(table)
 
 
 def full_refresh(spark: SparkSession, sf: str) -> DataFrame:
-    layer = _fresh_layer(spark, "marts")
-    table = f"{layer}.dim_customers"
-    catalog.publish_table(_dim_customers(spark, sf), table)
-    return catalog.publish_table(_dim_customers(spark, sf), table)
+    """The first contents, without states, are replaced as a whole."""
+    table = f"{_fresh_layer(spark, 'marts')}.dim_customers"
+    customers = _dim_customers(spark, sf)
+    catalog.publish_table(customers.withColumn("customer_state", F.lit("none")), table)
+    return catalog.publish_table(customers, table)
 
 
 def append_only(spark: SparkSession, sf: str) -> DataFrame:
@@ -270,8 +285,8 @@ def rfm_segments(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def currency_convert(spark: SparkSession, sf: str) -> DataFrame:
-    response = spark.createDataFrame([(RATE_RESPONSE,)], "body STRING")
-    rate = rates.latest_rate(rates.parse_rates(response))
+    responses = spark.createDataFrame([(r,) for r in RATE_RESPONSES], "body STRING")
+    rate = rates.latest_rate(rates.parse_rates(responses))
     monthly = monthly_revenue(spark, sf)
     return rates.convert(monthly, "gross_revenue", rate, "gross_revenue_usd")
 
@@ -280,8 +295,8 @@ def currency_convert(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def dq_not_null(spark: SparkSession, sf: str) -> DataFrame:
-    """Products without a category."""
-    return quality.not_null(_staged(spark, sf, "stg_products"), "product_category_name").select("product_id")
+    """Orders without a delivery time."""
+    return quality.not_null(_staged(spark, sf, "stg_orders"), "delivered_at").select("order_id", "order_status")
 
 
 def dq_unique(spark: SparkSession, sf: str) -> DataFrame:
@@ -349,22 +364,19 @@ def required_tables(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def csv_load(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw tables out to CSV and back in as tables; the reviews hold quoted text."""
+    """All nine raw tables out to CSV and back in as tables: every row as text, with its table."""
     layer, folder = _fresh_layer(spark, "raw"), fresh_path(spark, "csv")
-    wanted = ("order_items", "reviews", "customers")
-    paths = {name: f"{folder}/{name}" for name in wanted}
+    paths = csv.paths_below(folder)
     for name, path in paths.items():
         csv.write_csv(star.raw(spark, sf, name), path)
     csv.load_tables(spark, paths, layer)
-    return (
-        spark.table(f"{layer}.reviews")
-        .join(spark.table(f"{layer}.order_items"), "order_id")
-        .select(
-            "order_id", "order_item_id", "product_id", "price", "freight_value", "shipping_limit_date",
-            "review_id", "review_score", "review_comment_title", "review_comment_message",
-            "review_creation_date",
-        )
-    )
+
+    def as_text(name: str) -> DataFrame:
+        columns = [c for c in spark.table(f"{layer}.{name}").columns if c != "loaded_at"]
+        values = (F.coalesce(F.col(c).cast("string"), F.lit("-")) for c in columns)
+        return spark.table(f"{layer}.{name}").select(F.lit(name).alias("table_name"), F.concat_ws("|", *values).alias("line"))
+
+    return reduce(DataFrame.unionByName, map(as_text, paths))
 
 
 def csv_text_fidelity(spark: SparkSession, sf: str) -> DataFrame:
@@ -416,10 +428,25 @@ def partitioned_sink(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def pipeline_build(spark: SparkSession, sf: str) -> DataFrame:
-    """Raw load, staging, gate, marts, gate; row counts of what the marts layer holds."""
-    raw = pipeline.load_raw(spark, _all_raw(spark, sf), _fresh_layer(spark, "raw"))
-    stored = pipeline.run(spark, raw, _fresh_layer(spark, "marts"), FIRST_DAY, LAST_DAY)
-    return metrics.table_counts(stored)
+    """Raw load, stream, staging, gate, marts, gate: rows and a checksum of the contents of every stored table."""
+    raw_layer = _fresh_layer(spark, "raw")
+    raw = pipeline.load_raw(spark, _all_raw(spark, sf), raw_layer)
+    events = (_event_files(spark, sf), fresh_path(spark, "stream"), fresh_path(spark, "ledger"))
+    stored = pipeline.run(
+        spark, raw, _fresh_layer(spark, "marts"), FIRST_DAY, LAST_DAY, staging_layer=f"{raw_layer}_staging",
+        raw_layer=raw_layer, stream=events,
+    )
+    stored["streaming_orders"] = spark.table(f"{raw_layer}.streaming_orders").select(*STREAM_COLUMNS)
+
+    def summed(name: str, df: DataFrame) -> DataFrame:
+        columns = [c for c, kind in df.dtypes if c != "part_month" and kind != "double"]
+        line = F.concat_ws("|", *(F.col(c).cast("string") for c in columns))
+        digest = F.conv(F.substring(F.md5(line), 1, 8), 16, 10).cast("bigint")
+        return df.agg(
+            F.lit(name).alias("table_name"), F.count(F.lit(1)).alias("rows"), F.sum(digest).alias("checksum")
+        ).select("table_name", "rows", "checksum")
+
+    return reduce(DataFrame.unionByName, (summed(*table) for table in stored.items()))
 
 
 # Streaming
@@ -428,7 +455,8 @@ def pipeline_build(spark: SparkSession, sf: str) -> DataFrame:
 def _event_files(spark: SparkSession, sf: str, broken: bool = False) -> str:
     """Event lines as JSON files for card payments, as gzipped text for the others.
 
-    With ``broken``, zipped lines of error events are cut off and a blank line follows each.
+    With ``broken``, zipped lines of error events are cut off and a blank line follows each, and
+    clicks have a time that is none.
     """
     path = fresh_path(spark, "events")
     events = star.order_events(spark, sf)
@@ -437,7 +465,8 @@ def _event_files(spark: SparkSession, sf: str, broken: bool = False) -> str:
     line = F.to_json(F.struct(*events.columns))
     if broken:
         cut = F.concat(F.regexp_replace(line, '"created_at.*', ""), F.lit("\n"))
-        line = F.when(F.col("order_status") == "error", cut).otherwise(line)
+        unclear = F.regexp_replace(line, '"created_at":"[^"]*"', '"created_at":"yesterday"')
+        line = F.when(F.col("order_status") == "error", cut).when(F.col("order_status") == "click", unclear).otherwise(line)
     zipped = events.where(~by_card).select(line.alias("value"))
     zipped.write.option("compression", "gzip").text(f"{path}/zipped")
     return path
@@ -449,10 +478,7 @@ def stream_ingest(spark: SparkSession, sf: str) -> DataFrame:
     target, ledger = fresh_path(spark, "stream"), fresh_path(spark, "ledger")
     for _ in range(2):
         ingest.ingest(spark, files, target, ledger)
-    return ingest.stream_table(spark, target).select(
-        "order_id", "customer_state", "product", "price", "freight_value", "total_amount",
-        "payment_type", "order_status", "review_score", "created_at", "event_timestamp",
-    )
+    return ingest.stream_table(spark, target).select(*STREAM_COLUMNS)
 
 
 def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
@@ -468,38 +494,50 @@ def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def stream_enrich(spark: SparkSession, sf: str) -> DataFrame:
-    """The enrichment as a stream joined with the stored gold table."""
+    """Events taken in, then joined with the stored gold table; a second run has nothing to do."""
     files = _event_files(spark, sf)
-    target, ledger = fresh_path(spark, "stream"), fresh_path(spark, "ledger")
-    enrich.enrich_stream(spark, files, settle(_gold(spark, sf)), target, ledger)
-    return spark.read.parquet(target)
+    events, ledger, target = (fresh_path(spark, name) for name in ("stream", "ledger", "enriched"))
+    gold_table = settle(_gold(spark, sf))
+    for _ in range(2):
+        ingest.ingest(spark, files, events, ledger)
+        enrich.enrich_new(spark, events, gold_table, target)
+    return enrich.enriched(spark, target)
 
 
 # Sampling
 
 
-def _clones(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame, DataFrame]:
-    return sampling.clone_orders(
-        star.raw(spark, sf, "orders"), star.raw(spark, sf, "order_items"),
-        star.raw(spark, sf, "payments"), CLONES, CLONE_SEED, CLONE_TIME,
-    )
+def _sampled(spark: SparkSession, sf: str) -> DataFrame:
+    delivered = star.raw(spark, sf, "orders").where(F.col("order_status") == SAMPLED_STATUS)
+    return sampling.sample_rows(delivered, "order_id", SAMPLE_SIZE, SAMPLE_SEED)
+
+
+def _extract(spark: SparkSession, sf: str, table: str) -> DataFrame:
+    """Rows of a table that belong to the sampled orders, under surrogate order ids."""
+    chosen = _sampled(spark, sf)
+    belonging = sampling.rows_of(star.raw(spark, sf, table), chosen, "order_id")
+    return sampling.under_surrogates(belonging, sampling.key_map(chosen, "order_id", SAMPLE_SEED), "order_id")
 
 
 def clone_orders(spark: SparkSession, sf: str) -> DataFrame:
-    return _clones(spark, sf)[0]
+    return _extract(spark, sf, "orders")
 
 
 def clone_order_items(spark: SparkSession, sf: str) -> DataFrame:
-    return _clones(spark, sf)[1]
+    return _extract(spark, sf, "order_items")
 
 
 def clone_payments(spark: SparkSession, sf: str) -> DataFrame:
-    return _clones(spark, sf)[2]
+    return _extract(spark, sf, "payments")
+
+
+def sampled_items(spark: SparkSession, sf: str) -> DataFrame:
+    """Items of the sampled orders under their own ids."""
+    return sampling.rows_of(star.raw(spark, sf, "order_items"), _sampled(spark, sf), "order_id")
 
 
 def sample_rows(spark: SparkSession, sf: str) -> DataFrame:
-    orders = _staged(spark, sf, "stg_orders").where(F.col("order_status") == sampling.CLONED_STATUS)
-    return sampling.sample_rows(orders, "order_id", CLONES, CLONE_SEED).select("order_id", "order_status")
+    return _sampled(spark, sf).select("order_id", "order_status")
 
 
 QUERIES: dict[str, Query] = {
@@ -567,4 +605,5 @@ QUERIES: dict[str, Query] = {
     "clone_order_items": clone_order_items,
     "clone_payments": clone_payments,
     "sample_rows": sample_rows,
+    "sampled_items": sampled_items,
 }

@@ -68,6 +68,7 @@ ORDER_EVENT: T.StructType = _table(
     customer_id=_TEXT, product_id=_TEXT, seller_id=_TEXT, event_timestamp=_MOMENT,
 )
 
+# What a status and a score may be.
 ORDER_STATUSES = (
     "delivered", "shipped", "canceled", "invoiced",
     "processing", "unavailable", "created", "approved",

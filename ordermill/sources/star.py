@@ -105,10 +105,9 @@ def customers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Parts of one brand have no category, so the fallback for it is used."""
     return _load(spark, sf_dir, "part").selectExpr(
         "cast(p_partkey AS STRING) AS product_id",
-        "CASE WHEN p_brand <> 'Brand#1' THEN p_name END AS product_category_name",
+        "p_name AS product_category_name",
         "length(p_name) AS product_name_lenght",
         "length(p_type) AS product_description_lenght",
         "p_size % 7 AS product_photos_qty",
@@ -120,10 +119,9 @@ def products(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def category_translation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row per part name, except names starting with ``small``, which stay untranslated."""
+    """One row per part name."""
     return (
         _load(spark, sf_dir, "part")
-        .where("NOT startswith(p_name, 'small')")
         .selectExpr("p_name AS product_category_name")
         .distinct()
         .selectExpr(

@@ -1,26 +1,43 @@
-"""Stream of events joined with the stored gold table."""
+"""Events of new batches joined with the stored gold table."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..plans.gold import enrich_with_events
-from .ingest import CORRUPT, read_events
-
-
-def enrich_stream(
-    spark: SparkSession, source: str, gold: DataFrame, target: str, checkpoint: str
-) -> None:
-    """Enrich every new event with the gold rows of its order, append and stop."""
-    good = read_events(spark, source).where(F.col(CORRUPT).isNull())
-    query = (
-        enrich_with_events(gold, good)
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+from . import ledger
+from .ingest import batches, stream_table
+
+_DONE = "batch_id STRING, output STRING"
+
+
+def enrich_new(spark: SparkSession, events: str, gold: DataFrame, target: str) -> int:
+    """Joins the gold rows with the good events of all batches not enriched before; returns the number of batches.
+
+    One join per run, however many batches have come in, so the gold table is read once. The
+    result is stored by event day and counts when its batches are entered in the log.
+    """
+    done = {r.batch_id for r in ledger.entries(spark, f"{target}/_enriched", _DONE).collect()}
+    new = [b for b in batches(spark, events) if b not in done]
+    if not new:
+        return 0
+    seen = stream_table(spark, events, new)
+    output = uuid.uuid4().hex
+    (
+        enrich_with_events(gold, seen, "event_date")
+        .hint("rebalance", "event_date")
+        .write.partitionBy("event_date")
+        .parquet(f"{target}/output={output}")
     )
-    query.awaitTermination()
+    ledger.append(spark, f"{target}/_enriched", [(b, output) for b in new], _DONE)
+    return len(new)
+
+
+def enriched(spark: SparkSession, target: str) -> DataFrame:
+    """All rows enriched so far."""
+    done = ledger.entries(spark, f"{target}/_enriched", _DONE)
+    paths = [f"{target}/output={r[0]}" for r in done.select("output").distinct().collect()]
+    return spark.read.option("basePath", target).parquet(*paths).drop("output", "event_date")

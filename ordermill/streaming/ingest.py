@@ -1,110 +1,193 @@
-"""Order events from JSON-Lines files to Parquet, exactly once per file."""
+"""Order events from JSON-Lines files to Parquet, exactly once per file.
+
+A run takes in every file that no earlier run has: it stores the events of a group of files under a batch
+number of its own, then enters files and number in the ledger. Readers see only batches in the ledger,
+so a run that ends early leaves nothing behind that counts. A file that cannot be read does not stop the
+others: its group is halved until it stands alone, its error is recorded, and the next run tries it again.
+"""
 
 from __future__ import annotations
 
+import uuid
+
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.query import StreamingQuery
 
-from ..functions.dates import utc_wall_time
+from ..functions.dates import event_moment
 from ..schemas import ORDER_EVENT
+from ..sources.errors import cause
+from . import ledger
 
 # Fixed value: file names that count as event files; gzip is recognised by its suffix.
 EVENT_FILES = "*.{json,gz}"
 
 CORRUPT = "_corrupt_record"
 GOOD, QUARANTINED = "good", "quarantined"
-# Bounds the work of one batch; a long backlog is taken in several.
+# Default bound of one batch; a long backlog is taken in several.
 MAX_BYTES_PER_BATCH = 64 * 1024**3
 
-_SCHEMA = T.StructType([*ORDER_EVENT.fields, T.StructField(CORRUPT, T.StringType())])
-_OPTIONS = {
-    "pathGlobFilter": EVENT_FILES,
-    "recursiveFileLookup": "true",
-    "mode": "PERMISSIVE",
-    "columnNameOfCorruptRecord": CORRUPT,
-}
+# Times are read as text, so that one that does not parse costs its row and not the run.
+_AS_SENT = [T.StructField(f.name, T.StringType()) if f.name == "event_timestamp" else f for f in ORDER_EVENT.fields]
+_SCHEMA = T.StructType([*_AS_SENT, T.StructField(CORRUPT, T.StringType())])
+_LISTED = {"pathGlobFilter": EVENT_FILES, "recursiveFileLookup": "true"}
+_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+
+_FILES = "file STRING, batch_id STRING, loaded_at TIMESTAMP"
+_FAILURES = "file STRING, error STRING, failed_at TIMESTAMP"
+
 
+def read_events(spark: SparkSession, paths: list[str]) -> DataFrame:
+    """Events as sent; blank lines vanish, unreadable ones keep their text."""
+    return spark.read.schema(_SCHEMA).options(**_OPTIONS).json(paths)
+
+
+def labelled(events: DataFrame) -> DataFrame:
+    """Events with their state, event time and day, and load time.
 
-def read_events(spark: SparkSession, path: str) -> DataFrame:
-    """Stream of events; blank lines vanish, unreadable ones keep their text."""
+    A line that is no JSON object, has a field of the wrong type or a time that does not parse
+    is quarantined with its text; the other lines of its file are not affected.
+    """
+    sent, made = F.col("event_timestamp"), F.col("created_at")
+    unread = (sent.isNotNull() & event_moment(sent).isNull()) | (made.isNotNull() & event_moment(made).isNull())
+    line = F.when(unread, F.to_json(F.struct(*ORDER_EVENT.names)))
     return (
-        spark.readStream.schema(_SCHEMA)
-        .options(**_OPTIONS, maxBytesPerTrigger=MAX_BYTES_PER_BATCH)
-        .json(path)
+        events.withColumn(CORRUPT, F.coalesce(CORRUPT, line))
+        .withColumns(
+            {
+                "record_state": F.when(F.col(CORRUPT).isNull(), GOOD).otherwise(QUARANTINED),
+                "event_timestamp": F.when(F.col(CORRUPT).isNull(), F.coalesce(event_moment(sent), event_moment(made))),
+                "loaded_at": F.current_timestamp(),
+            }
+        )
+        .withColumn("event_date", F.to_date("event_timestamp"))
     )
 
 
-def read_events_batch(spark: SparkSession, path: str) -> DataFrame:
-    """The same files as a batch table."""
-    return spark.read.schema(_SCHEMA).options(**_OPTIONS).json(path)
+def _listing(spark: SparkSession, source: str) -> DataFrame:
+    """Event files below ``source`` with their sizes, whatever their age; contents are not read."""
+    try:
+        return spark.read.format("binaryFile").options(**_LISTED).load(source).select(F.col("path").alias("file"), "length")
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "file STRING, length BIGINT")
 
 
-def _event_time() -> Column:
-    return F.coalesce(
-        F.col("event_timestamp"),
-        utc_wall_time(F.when(F.col(CORRUPT).isNull(), F.col("created_at"))),
-    )
+def _groups(files: list, most_bytes: int) -> list[list[str]]:
+    groups, size = [], 0
+    for row in files:
+        if not groups or size + row["length"] > most_bytes:
+            groups.append([])
+            size = 0
+        groups[-1].append(row["file"])
+        size += row["length"]
+    return groups
 
 
-def labelled(events: DataFrame) -> DataFrame:
-    """Events with their state, event time and day, and load time.
+def ingest(
+    spark: SparkSession, source: str, target: str, checkpoint: str, max_bytes: int = MAX_BYTES_PER_BATCH
+) -> list[tuple[str, str]]:
+    """Take in all files not seen before; returns the files that could not be read, with their errors.
 
-    A line that is no JSON object, or has a field of the wrong type, is quarantined; the
-    other lines of its file are not affected.
+    ``checkpoint`` holds the ledger of files and the failures. Good and quarantined rows go to one
+    sink, partitioned by batch, state and event day, so both count at the same moment.
+    """
+    known = ledger.entries(spark, f"{checkpoint}/files", _FILES)
+    # One row per new file, as a file stream would also list them.
+    new = _listing(spark, source).join(known, "file", "left_anti").orderBy("file").collect()
+    failed = []
+    waiting = _groups(new, max_bytes)[::-1]
+    while waiting:
+        group = waiting.pop()
+        batch = uuid.uuid4().hex
+        try:
+            _store(labelled(read_events(spark, group)), f"{target}/batch_id={batch}")
+        except Exception as error:  # whatever the reader meets in a file
+            if len(group) == 1:
+                failed.append((group[0], cause(error)))
+            else:
+                waiting += [group[len(group) // 2 :], group[: len(group) // 2]]
+            continue
+        now = spark.sql("SELECT current_timestamp()").first()[0]
+        ledger.append(spark, f"{checkpoint}/files", [(f, batch, now) for f in group], _FILES)
+        ledger.append(spark, f"{target}/_batches", [(batch,)], "batch_id STRING")
+    if failed:
+        now = spark.sql("SELECT current_timestamp()").first()[0]
+        ledger.append(spark, f"{checkpoint}/failures", [(*f, now) for f in failed], _FAILURES)
+    return failed
+
+
+def follow(
+    spark: SparkSession, source: str, target: str, checkpoint: str, max_bytes: int = MAX_BYTES_PER_BATCH, **trigger
+) -> StreamingQuery:
+    """The same sink fed by a file stream, for sources whose files are known to be whole.
+
+    The query's checkpoint is the ledger of files. A batch that is repeated after a failure has the same
+    number and so replaces its first attempt. Files count as new whatever their age.
     """
-    return events.withColumns(
-        {
-            "record_state": F.when(F.col(CORRUPT).isNull(), GOOD).otherwise(QUARANTINED),
-            "event_timestamp": _event_time(),
-            "loaded_at": F.current_timestamp(),
-        }
-    ).withColumn("event_date", F.to_date("event_timestamp"))
+    events = (
+        spark.readStream.schema(_SCHEMA)
+        .options(**_OPTIONS, **_LISTED, maxBytesPerTrigger=max_bytes, maxFileAge="36500d")
+        .json(source)
+    )
 
+    def store(batch: DataFrame, number: int) -> None:
+        name = f"stream-{number:09d}"
+        _store(labelled(batch), f"{target}/batch_id={name}", mode="overwrite")
+        ledger.append(batch.sparkSession, f"{target}/_batches", [(name,)], "batch_id STRING")
 
-def ingest(spark: SparkSession, source: str, target: str, checkpoint: str) -> None:
-    """Take in all files not seen before and stop.
+    query = events.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    return query.trigger(**(trigger or {"availableNow": True})).start()
 
-    The checkpoint is the ledger of processed files. Good and quarantined rows go to one
-    file sink, partitioned by state and event day, so both are committed together.
-    """
-    query = (
-        labelled(read_events(spark, source))
-        .writeStream.format("parquet")
-        .outputMode("append")
-        .option("path", target)
-        .option("checkpointLocation", checkpoint)
-        .partitionBy("record_state", "event_date")
-        .trigger(availableNow=True)
-        .start()
+
+def _store(events: DataFrame, path: str, mode: str = "errorifexists") -> None:
+    """A few files per state and day: the hint splits a large day over tasks and joins small ones."""
+    (
+        events.hint("rebalance", "record_state", "event_date")
+        .write.mode(mode).partitionBy("record_state", "event_date")
+        .parquet(path)
     )
-    query.awaitTermination()
 
 
-def stream_table(spark: SparkSession, target: str) -> DataFrame:
-    """Good events taken in so far; only their partitions are read."""
+def failures(spark: SparkSession, checkpoint: str) -> DataFrame:
+    """Every failed attempt to read a file."""
+    return ledger.entries(spark, f"{checkpoint}/failures", _FAILURES)
+
+
+def batches(spark: SparkSession, target: str) -> list[str]:
+    """Batches that count, oldest runs included."""
+    return sorted(r[0] for r in ledger.entries(spark, f"{target}/_batches", "batch_id STRING").distinct().collect())
+
+
+def _stored(spark: SparkSession, target: str, fields: list[T.StructField], chosen: list[str]) -> DataFrame:
     schema = T.StructType(
         [
-            *ORDER_EVENT.fields,
+            *fields,
             T.StructField("loaded_at", T.TimestampType()),
+            T.StructField("batch_id", T.StringType()),
             T.StructField("record_state", T.StringType()),
             T.StructField("event_date", T.DateType()),
         ]
     )
-    stored = spark.read.schema(schema).parquet(target)
-    return stored.where(F.col("record_state") == GOOD).drop("record_state")
+    if not chosen:
+        return spark.createDataFrame([], schema)
+    paths = [f"{target}/batch_id={b}" for b in chosen]
+    return spark.read.schema(schema).option("basePath", target).parquet(*paths)
+
+
+def stream_table(spark: SparkSession, target: str, only: list[str] | None = None) -> DataFrame:
+    """Good events taken in so far, or those of some batches; only their partitions are read."""
+    chosen = batches(spark, target) if only is None else only
+    stored = _stored(spark, target, ORDER_EVENT.fields, chosen)
+    return stored.where(F.col("record_state") == GOOD).drop("record_state", "batch_id")
 
 
 def quarantine(spark: SparkSession, target: str) -> DataFrame:
     """Text of the lines that could not be taken in."""
-    schema = T.StructType(
-        [
-            T.StructField(CORRUPT, T.StringType()),
-            T.StructField("loaded_at", T.TimestampType()),
-            T.StructField("record_state", T.StringType()),
-        ]
-    )
-    stored = spark.read.schema(schema).parquet(target)
+    stored = _stored(spark, target, [T.StructField(CORRUPT, T.StringType())], batches(spark, target))
     return stored.where(F.col("record_state") == QUARANTINED).select(
         F.col(CORRUPT).alias("line"), "loaded_at"
     )

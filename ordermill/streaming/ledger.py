@@ -1,0 +1,21 @@
+"""Commit logs: small append-only tables that say which stored batches count."""
+
+from __future__ import annotations
+
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+
+
+def entries(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """All entries of a log; none if it does not exist yet."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def append(spark: SparkSession, path: str, rows: list[tuple], schema: str) -> None:
+    """One file per call, which appears as a whole or not at all."""
+    spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(path)

@@ -124,3 +124,17 @@ def test_unified_orders_have_both_sources(spark):
     assert found == [
         ("Batch", "o2", "2024-01-02 00:00:00", "7.00"), ("Streaming", "o1", "2024-01-01 10:00:00", "3.00")
     ]
+
+
+def test_latest_event_is_by_real_time(spark):
+    events = spark.createDataFrame(
+        [
+            ("f", "early", "2024-01-01T10:00:00Z"), ("f", "late", "2024-01-01T10:00:00.500Z"),
+            ("o", "early", "2024-01-01T10:00:00+02:00"), ("o", "late", "2024-01-01T09:00:00Z"),
+            ("n", "known", "2024-01-01T10:00:00Z"), ("n", "zz", "someday"), ("n", "zzz", None),
+        ],
+        "order_id STRING, order_status STRING, created_at STRING",
+    )
+    latest = gold.latest_event_per_order(events)
+    assert latest.columns == events.columns
+    assert rows(latest, "order_id", "order_status") == [("f", "late"), ("n", "known"), ("o", "late")]

@@ -1,13 +1,16 @@
 from __future__ import annotations
 
+import os
 from datetime import date
 
 import pytest
 from helpers import at, money, raw_rows, rows
 from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
 
 from ordermill.operators import incremental, staging
 from ordermill.plans import marts, pipeline
+from ordermill.sources import versions
 
 KEYS = ["order_id", "order_item_id"]
 
@@ -149,3 +152,78 @@ def test_insert_if_absent_keeps_existing_rows(spark):
     target = spark.createDataFrame([("a", 1)], "k STRING, v INT")
     batch = spark.createDataFrame([("a", 9), ("b", 5), ("b", 4)], "k STRING, v INT")
     assert rows(incremental.insert_if_absent(target, batch, ["k"])) == [("a", 1), ("b", 4)]
+
+
+def test_a_run_that_fails_before_the_swap_can_be_finished(spark, layer, monkeypatch):
+    table = f"{layer}.fact_order_items"
+    orders = _orders(spark, ("a", "2020-01-01T10:00"), ("b", "2020-02-02T10:00"))
+    _refresh(spark, table, orders, _items(spark, ("a", 1, "1"), ("b", 1, "2")))
+    with monkeypatch.context() as broken:
+        def fail(*_):
+            raise OSError("lost")
+
+        broken.setattr(versions, "_point", fail)
+        with pytest.raises(OSError):
+            _refresh(spark, table, orders, _items(spark, ("a", 1, "1"), ("b", 1, "9"), ("b", 2, "8")))
+    assert _prices(spark, table) == [("a", 1, "1.00"), ("b", 1, "2.00")]
+    assert len(versions.versions(spark, table)) == 2
+    assert len(versions.resume(spark, table)) == 1 and versions.resume(spark, table) == []
+    assert _prices(spark, table) == [("a", 1, "1.00"), ("b", 1, "9.00"), ("b", 2, "8.00")]
+
+
+def test_nothing_is_left_that_no_row_is_read_from(spark, layer):
+    table = f"{layer}.fact_order_items"
+    orders = _orders(spark, ("a", "2020-01-01T10:00"), ("b", "2020-02-02T10:00"))
+    for price in ("1", "2", "3"):
+        _refresh(spark, table, orders, _items(spark, ("a", 1, "1"), ("b", 1, price)))
+    folders = {f.rsplit("/", 1)[0].rsplit("_versions/", 1)[1] for f in spark.table(table).inputFiles()}
+    home = versions.home(spark, table).removeprefix("file:")
+    stored = {f"{v}/{p}" for v in versions.versions(spark, table) for p in os.listdir(f"{home}/{v}") if "=" in p}
+    assert stored == folders and len(folders) == 2
+
+
+def test_keys_are_looked_up_without_a_shuffle_of_the_index(spark, layer):
+    table = f"{layer}.fact_order_items"
+    orders = _orders(spark, ("a", "2020-01-01T10:00"), ("b", "2020-02-02T10:00"))
+    _refresh(spark, table, orders, _items(spark, ("a", 1, "1"), ("b", 1, "2")))
+    keys = spark.createDataFrame([("b",), ("z",)], "order_id STRING")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        found = incremental.months_of(spark, table, keys, "order_id")
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert rows(found) == [("2020-02",)]
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    lookup = plan[plan.index("LeftSemi"):]
+    scan = lookup.index("FileScan parquet")
+    assert "Bucketed: true" in lookup and "Exchange" not in lookup[:scan]
+
+
+def test_column_sync_follows_a_changed_type(spark, layer):
+    table = f"{layer}.fact_order_items"
+    orders = _orders(spark, ("a", "2020-01-01T10:00"), ("b", "2020-02-02T10:00"))
+    items = _items(spark, ("a", 1, "1"), ("b", 1, "2"))
+    _refresh(spark, table, orders, items)
+
+    def wider(o):
+        return marts.fact_order_items(items, o).withColumn("order_item_id", F.lit(5_000_000_000))
+
+    pipeline.refresh_fact(spark, table, orders, wider, KEYS)
+    stored = spark.table(table)
+    assert dict(stored.dtypes)["order_item_id"] == "bigint"
+    assert rows(stored, "order_id", "order_item_id") == [("a", 1), ("b", 1), ("b", 5_000_000_000)]
+
+
+def test_watermark_reads_the_newest_month_only(spark, layer):
+    table = f"{layer}.fact_order_items"
+    orders = _orders(spark, ("a", "2020-01-31T10:00"), ("b", "2020-02-02T10:00"), ("n", None))
+    _refresh(spark, table, orders, _items(spark, ("a", 1, "1"), ("b", 1, "2"), ("n", 1, "3")))
+    assert incremental.stored_watermark(spark, table, "order_date_id") == date(2020, 2, 2)
+
+
+def test_batches_of_keys_alone(spark):
+    target = spark.createDataFrame([("a",)], "k STRING")
+    batch = spark.createDataFrame([("a",), ("b",), (None,)], "k STRING")
+    expected = [("a",), ("b",), (None,)]
+    assert rows(incremental.upsert(target, batch, ["k"], [])) == expected
+    assert rows(incremental.insert_if_absent(target, batch, ["k"])) == expected

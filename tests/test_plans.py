@@ -14,7 +14,7 @@ LAZY = [
     "fact_payments", "mart_revenue_daily", "gold_view", "gold_stream_enrich", "gold_stream_latest",
     "gold_revenue_by_state", "unified_orders", "monthly_revenue", "top_categories",
     "seller_revenue_rating", "customers_by_state", "revenue_by_state", "freight_by_category",
-    "keyed_upsert", "insert_if_absent", "dq_relationships", "dq_marts_report", "clone_order_items",
+    "dq_relationships", "dq_marts_report",
 ]
 
 

@@ -66,3 +66,23 @@ def test_report_and_gate(spark, items):
     with pytest.raises(quality.QualityError, match="items.k unique: 1"):
         quality.gate(report)
     assert quality.gate(report.where("failures = 0"))
+
+
+def test_report_counts_every_kind_of_failure_in_one_pass(spark):
+    items = spark.createDataFrame(
+        [("a", 1.0), ("a", -1.0), (None, 2.0), ("x", None), ("x", 0.0), ("b", 3.0)], "k STRING, price DOUBLE"
+    )
+    parents = spark.createDataFrame([("a",), ("b",), ("b",), (None,)], "id STRING")
+    checks = [
+        quality.Check("items", "k", "not_null"), quality.Check("items", "k", "unique"),
+        quality.Check("items", "k", "relationships", parent="parents", parent_column="id"),
+        quality.Check("items", "price", "not_null"), quality.Check("items", "price", "accepted_range", low=0, inclusive=False),
+        quality.Check("parents", "id", "unique"),
+    ]
+    report = quality.report({"items": items, "parents": parents}, checks)
+    assert sorted(
+        (r.model, r.column_name, r.check_name, r.failures) for r in report.collect()
+    ) == [
+        ("items", "k", "not_null", 1), ("items", "k", "relationships_parents", 2), ("items", "k", "unique", 2),
+        ("items", "price", "accepted_range_above_0", 2), ("items", "price", "not_null", 1), ("parents", "id", "unique", 1),
+    ]

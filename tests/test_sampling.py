@@ -1,43 +1,37 @@
 from __future__ import annotations
 
-from datetime import datetime
+import hashlib
 
-from helpers import at, raw_rows, rows
+from helpers import raw_rows, rows
 
 from ordermill.operators import sampling
 
-NOW = datetime(2030, 1, 1, 12)
 
+def _smallest(keys, n):
+    return sorted(keys, key=lambda k: hashlib.sha256(f"s{k}".encode()).hexdigest())[:n]
 
-def _tables(spark):
-    orders = raw_rows(
-        spark, "orders",
-        *({"order_id": str(i), "customer_id": "c", "order_status": "delivered" if i % 2 else "shipped"} for i in range(20)),
-    )
-    items = raw_rows(spark, "order_items", *({"order_id": str(i // 2), "order_item_id": i} for i in range(40)))
-    payments = raw_rows(spark, "payments", *({"order_id": str(i), "payment_sequential": 1} for i in range(20)))
-    return orders, items, payments
 
+def test_sample_takes_the_smallest_digests_at_every_size(spark):
+    keys = [str(i) for i in range(3000)]
+    df = spark.createDataFrame([(k,) for k in keys], "k STRING")
+    for n in (0, 1, 777, 2999, 3000, 9000):
+        assert rows(sampling.sample_rows(df, "k", n, "s")) == sorted(((k,) for k in _smallest(keys, n)), key=repr)
 
-def test_clones_stay_intact(spark):
-    orders, items, payments = sampling.clone_orders(*_tables(spark), 5, "seed", NOW)
-    ids = {r.order_id for r in orders.collect()}
-    assert len(ids) == 5 and all(i.startswith("fake_") and len(i) == 21 for i in ids)
-    assert {r.order_id for r in items.collect()} == ids and items.count() == 10
-    assert {r.order_id for r in payments.collect()} == ids and payments.count() == 5
-    first = orders.first()
-    assert (first.order_purchase_timestamp, first.order_approved_at) == (NOW, at("2030-01-01T13:00"))
-    assert first.order_estimated_delivery_date == at("2030-01-08T12:00")
 
+def test_null_keys_are_sampled_last_and_never_lost(spark):
+    df = spark.createDataFrame([(str(i) if i >= 500 else None, i) for i in range(3000)], "k STRING, i INT")
+    for n, without_key in ((100, 0), (2500, 0), (2700, 200), (3000, 500), (4000, 500)):
+        found = sampling.sample_rows(df, "k", n, "s").collect()
+        assert len(found) == min(n, 3000) and sum(r.k is None for r in found) == without_key
 
-def test_only_delivered_orders_are_cloned(spark):
-    orders, _, _ = sampling.clone_orders(*_tables(spark), 100, "seed", NOW)
-    assert orders.count() == 10
 
-
-def test_large_samples_take_the_same_rows(spark):
-    df = spark.range(5000).selectExpr("cast(id AS STRING) AS k")
-    for n in (1, 777, 4999, 5000, 9000):
-        small = rows(sampling.sample_rows(df, "k", n, "s", top_n_limit=10_000))
-        assert rows(sampling.sample_rows(df, "k", n, "s", top_n_limit=0)) == small
-        assert len(small) == min(n, 5000)
+def test_related_rows_of_chosen_keys(spark):
+    chosen = raw_rows(spark, "orders", {"order_id": "1"}, {"order_id": "1"}, {"order_id": "2"}, {"order_id": None})
+    items = raw_rows(spark, "order_items", *({"order_id": o, "order_item_id": i} for i, o in enumerate(("1", "1", "2", "3", None))))
+    assert rows(sampling.rows_of(items, chosen, "order_id"), "order_item_id") == [(0,), (1,), (2,)]
+    names = sampling.key_map(chosen, "order_id", "s")
+    assert names.count() == 2
+    renamed = sampling.under_surrogates(items, names, "order_id")
+    assert renamed.columns == items.columns and rows(renamed, "order_item_id") == [(0,), (1,), (2,)]
+    digest = hashlib.sha256(b"s2").hexdigest()[:16]
+    assert rows(renamed.where("order_item_id = 2"), "order_id") == [(digest,)]

@@ -128,3 +128,45 @@ def test_shared_folder_comes_from_the_session(spark):
 def test_missing_path_is_an_error_for_a_single_table(spark, layer):
     with pytest.raises(AnalysisException):
         csv.load_table(spark, "/nowhere/at/all.csv", "sellers", layer)
+
+
+HEAD = "seller_id,seller_zip_code_prefix,seller_city,seller_state\n"
+
+
+def test_columns_are_found_by_their_header(spark, tmp_path):
+    (tmp_path / "s.csv").write_text("seller_state,seller_city,more,seller_zip_code_prefix,seller_id\nRJ,Rio,x,01409,s1\n")
+    assert rows(csv.read_csv(spark, str(tmp_path / "s.csv"), "sellers")) == [("s1", "01409", "Rio", "RJ")]
+    (tmp_path / "t.csv").write_text("seller_id,seller_city\ns1,Rio\n")
+    with pytest.raises(ValueError, match="seller_zip_code_prefix, seller_state"):
+        csv.read_csv(spark, str(tmp_path / "t.csv"), "sellers")
+    folder = tmp_path / "many"
+    folder.mkdir()
+    (folder / "1.csv").write_text(HEAD + "s1,1,a,b\n")
+    (folder / "2.csv").write_text("seller_zip_code_prefix,seller_id,seller_city,seller_state\n1,s2,a,b\n")
+    with pytest.raises(Exception, match="header does not conform"):
+        csv.read_csv(spark, str(folder), "sellers").collect()
+
+
+def test_report_has_the_cause_and_a_failure_stops_no_other_table(spark, layer, tmp_path):
+    for table in RAW:
+        (tmp_path / f"{table}.csv").write_text(",".join(RAW[table].names) + "\n")
+    (tmp_path / "sellers.csv").write_text("seller_id\ns\n")
+    (tmp_path / "payments.csv").write_text(",".join(RAW["payments"].names) + "\no,1,x,one,2.00\n")
+    (tmp_path / "reviews.csv").unlink()
+    report = {r.table_name: r for r in csv.load_tables(spark, csv.paths_below(str(tmp_path)), layer).collect()}
+    assert len(report) == 9
+    assert {t: r.outcome for t, r in report.items() if r.outcome != "loaded"} == {
+        "sellers": "failed", "payments": "failed", "reviews": "skipped"
+    }
+    assert "no column" in report["sellers"].error and "one" in report["payments"].error
+
+
+def test_newest_rate_is_by_the_time_of_the_response(spark):
+    old, new = ('{"time_last_update_unix": %d, "rates": {"BRL": %s, "VND": 2}}' % x for x in ((1000, "4.0"), (2000, "5.0")))
+    frame = spark.createDataFrame([(new,), (old,), ('{"time_last_update_unix": 9000, "rates": {}}',)], "body STRING")
+    assert rates.latest_rate(rates.parse_rates(frame)) == 0.2
+    stamped = spark.createDataFrame(
+        [('{"rates": {"BRL": 8.0}}', at("2020-01-01T00:00")), ('{"rates": {"BRL": 4.0}}', at("2021-01-01T00:00"))],
+        "body STRING, seen TIMESTAMP",
+    )
+    assert rates.latest_rate(rates.parse_rates(stamped, fetched_at="seen")) == 0.25

@@ -2,10 +2,12 @@ from __future__ import annotations
 
 import gzip
 import json
+import os
+import time
 
-from helpers import at, rows
+from helpers import at, money, rows
 
-from ordermill.streaming import ingest
+from ordermill.streaming import enrich, ingest
 
 
 def _event(order, **changes):
@@ -17,8 +19,12 @@ def _event(order, **changes):
     return json.dumps({**event, **changes})
 
 
-def _run(spark, tmp_path):
-    ingest.ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ledger"))
+def _run(spark, tmp_path, **options):
+    return ingest.ingest(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "ledger"), **options)
+
+
+def _good(spark, tmp_path):
+    return ingest.stream_table(spark, str(tmp_path / "out"))
 
 
 def test_files_lines_and_reruns(spark, tmp_path):
@@ -28,30 +34,107 @@ def test_files_lines_and_reruns(spark, tmp_path):
     (inbox / "sub" / "b.gz").write_bytes(gzip.compress((_event("3", extra=1) + "\n").encode()))
     (inbox / "c.txt").write_text(_event("4") + "\n")
     _run(spark, tmp_path)
-    good = ingest.stream_table(spark, str(tmp_path / "out"))
+    good = _good(spark, tmp_path)
     assert rows(good, "order_id", "event_timestamp") == [("1", at("2024-03-01T10:00")), ("3", at("2024-03-01T10:00"))]
     assert good.where("loaded_at IS NULL").count() == 0
     bad = rows(ingest.quarantine(spark, str(tmp_path / "out")), "line")
     assert [b[0][:8] for b in bad] == ['{"order_', "{broken"]
 
     _run(spark, tmp_path)
-    assert good.count() == 2
+    assert _good(spark, tmp_path).count() == 2
     (inbox / "d.json").write_text(_event("5", event_timestamp="2024-04-01 00:00:00") + "\n")
     _run(spark, tmp_path)
-    again = ingest.stream_table(spark, str(tmp_path / "out"))
+    again = _good(spark, tmp_path)
     assert rows(again, "order_id") == [("1",), ("3",), ("5",)]
     assert rows(again.where("order_id = '5'"), "event_timestamp") == [(at("2024-04-01T00:00"),)]
 
 
+def test_times_that_do_not_parse_cost_their_row_only(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    lines = [
+        _event("1"), _event("2", created_at="yesterday"), _event("3", event_timestamp="soon"),
+        _event("4", event_timestamp="2024-04-01T00:00:00Z"), _event("5", event_timestamp="2024-04-01T00:00:00+02:00"),
+        _event("6", created_at=None),
+    ]
+    (tmp_path / "in" / "a.json").write_text("\n".join(lines))
+    assert _run(spark, tmp_path) == []
+    assert rows(_good(spark, tmp_path), "order_id", "event_timestamp") == [
+        ("1", at("2024-03-01T10:00")), ("4", at("2024-04-01T00:00")), ("5", at("2024-03-31T22:00")), ("6", None)
+    ]
+    bad = [json.loads(r.line) for r in ingest.quarantine(spark, str(tmp_path / "out")).collect()]
+    assert sorted((b["order_id"], b.get("created_at"), b.get("event_timestamp")) for b in bad) == [
+        ("2", "yesterday", None), ("3", "2024-03-01T10:00:00Z", "soon")
+    ]
+
+
+def test_a_cut_off_file_is_left_out_recorded_and_tried_again(spark, tmp_path):
+    inbox = tmp_path / "in"
+    inbox.mkdir()
+    whole = gzip.compress("".join(_event(str(i)) + "\n" for i in range(3000)).encode())
+    (inbox / "b.gz").write_bytes(whole[: len(whole) // 2])
+    for name in ("a", "c", "d"):
+        (inbox / f"{name}.json").write_text(_event(name) + "\n")
+    failed = _run(spark, tmp_path)
+    assert [os.path.basename(f) for f, _ in failed] == ["b.gz"] and failed[0][1]
+    assert rows(_good(spark, tmp_path), "order_id") == [("a",), ("c",), ("d",)]
+    assert len(_run(spark, tmp_path)) == 1
+    (inbox / "b.gz").write_bytes(whole)
+    assert _run(spark, tmp_path) == []
+    assert _good(spark, tmp_path).count() == 3003
+    assert ingest.failures(spark, str(tmp_path / "ledger")).count() == 2
+
+
+def test_old_files_count_and_batches_are_bounded(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for i in range(3):
+        path = tmp_path / "in" / f"{i}.json"
+        path.write_text(_event(str(i)) + "\n")
+        os.utime(path, (time.time() - i * 30 * 86400,) * 2)
+        _run(spark, tmp_path)
+    assert _good(spark, tmp_path).count() == 3
+    other = tmp_path / "small"
+    ingest.ingest(spark, str(tmp_path / "in"), str(other), str(tmp_path / "ledger2"), max_bytes=1)
+    assert len(ingest.batches(spark, str(other))) == 3 and ingest.stream_table(spark, str(other)).count() == 3
+
+
+def test_the_file_stream_fills_the_same_sink(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    for i in range(2):
+        path = tmp_path / "in" / f"{i}.json"
+        path.write_text(_event(str(i)) + "\n" + _event("x", created_at="never") + "\n")
+        os.utime(path, (time.time() - 40 * 86400 * i,) * 2)
+        ingest.follow(spark, str(tmp_path / "in"), str(tmp_path / "out"), str(tmp_path / "points")).awaitTermination()
+    assert rows(_good(spark, tmp_path), "order_id") == [("0",), ("1",)]
+    assert ingest.quarantine(spark, str(tmp_path / "out")).count() == 2
+
+
+def test_a_batch_that_was_not_entered_does_not_count(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.json").write_text(_event("1") + "\n")
+    ingest._store(ingest.labelled(ingest.read_events(spark, [str(tmp_path / "in")])), str(tmp_path / "out" / "batch_id=lost"))
+    _run(spark, tmp_path)
+    assert _good(spark, tmp_path).count() == 1
+
+
 def test_state_and_day_prune_the_scan(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.json").write_text(_event("1") + "\n")
     _run(spark, tmp_path)
-    plan = ingest.stream_table(spark, str(tmp_path / "out")).where("event_date = date'2024-03-01'")
+    plan = _good(spark, tmp_path).where("event_date = date'2024-03-01'")
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(record_state" in text and plan.count() == 1
 
 
-def test_batch_read_of_the_same_files(spark, tmp_path):
-    (tmp_path / "a.json").write_text(_event("1") + "\n")
-    assert ingest.read_events_batch(spark, str(tmp_path)).count() == 1
+def test_only_new_batches_are_enriched(spark, tmp_path):
+    gold = spark.createDataFrame(
+        [("1", "SP", "books", money("5.00")), ("1", "SP", "toys", money("6.00")), ("2", "RJ", "books", money("7.00"))],
+        "order_id STRING, customer_state STRING, product_category_name STRING, total_order_amount DECIMAL(18,2)",
+    )
+    (tmp_path / "in").mkdir()
+    events, target = str(tmp_path / "out"), str(tmp_path / "enriched")
+    for i, expected in ((1, 2), (2, 3), (3, 3)):
+        (tmp_path / "in" / f"{i}.json").write_text(_event(str(i)) + "\n")
+        _run(spark, tmp_path)
+        assert enrich.enrich_new(spark, events, gold, target) == 1
+        assert enrich.enriched(spark, target).count() == expected
+    assert enrich.enrich_new(spark, events, gold, target) == 0
