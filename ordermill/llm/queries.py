@@ -20,6 +20,7 @@ from . import (
     packing,
     tokenbin,
 )
+from .oracle import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -99,5 +100,3 @@ QUERIES: dict[str, Query] = {
     "op9_license_blocks": op9_license_blocks,
     "op10_fuzzy_lines": op10_fuzzy_lines,
 }
-
-ORACLES: dict[str, str] = {}
