@@ -23,7 +23,7 @@ HEADLINE = (
     "customers_by_state", "revenue_by_state", "seller_revenue_rating", "payment_preference",
     "freight_by_category", "avg_delivery_days", "rfm_segments", "dq_staging_report",
     "dq_marts_report", "fact_order_items_incremental", "fact_payments_incremental",
-    "stream_ingest", "csv_load", "pipeline_build",
+    "column_sync", "keyed_upsert", "federated_read", "stream_ingest", "stream_enrich", "csv_load", "pipeline_build",
 )
 
 

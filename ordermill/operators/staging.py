@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.money import cents, from_cents
@@ -13,15 +13,17 @@ def _keyed(raw: DataFrame, key: str) -> DataFrame:
     return raw.where(F.col(key).isNotNull())
 
 
-def _timestamp(name: str, alias: str):
-    return F.col(name).cast("timestamp_ntz").alias(alias)
+def _timestamp(column: str, alias: str, tolerant: bool = False) -> Column:
+    """Text or typed time as a time; text that is none fails, or is NULL if ``tolerant``."""
+    value = F.col(column)
+    return (value.try_cast("timestamp_ntz") if tolerant else value.cast("timestamp_ntz")).alias(alias)
 
 
-def stg_orders(raw: DataFrame) -> DataFrame:
+def stg_orders(raw: DataFrame, tolerant: bool = False) -> DataFrame:
     return _keyed(raw, "order_id").select(
         "order_id", "customer_id", "order_status",
-        _timestamp("order_purchase_timestamp", "purchased_at"),
-        _timestamp("order_delivered_customer_date", "delivered_at"),
+        _timestamp("order_purchase_timestamp", "purchased_at", tolerant),
+        _timestamp("order_delivered_customer_date", "delivered_at", tolerant),
     )
 
 

@@ -370,6 +370,10 @@ ORACLES: dict[str, str] = {
         SELECT customer_id, customer_unique_id, customer_zip_code_prefix,
                upper(left(customer_city, 1)) || lower(substr(customer_city, 2)) AS customer_city,
                upper(customer_state) AS customer_state FROM stg_customers"""),
+    "text_timestamps": _statement("""
+        SELECT order_id, customer_id, order_status,
+               CASE WHEN order_id::BIGINT % 7 <> 0 THEN purchased_at END AS purchased_at,
+               CASE WHEN order_id::BIGINT % 7 <> 0 THEN delivered_at END AS delivered_at FROM stg_orders"""),
     "product_volume": _statement("""
         SELECT product_id, (product_length_cm::DECIMAL(12,2) * product_height_cm::DECIMAL(12,2)
                * product_width_cm::DECIMAL(12,2))::DECIMAL(30,6) AS volume_cm3 FROM stg_products"""),

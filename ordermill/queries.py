@@ -100,6 +100,17 @@ def clean_customers(spark: SparkSession, sf: str) -> DataFrame:
     return staging.clean_customers(_staged(spark, sf, "stg_customers"))
 
 
+def text_timestamps(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders whose times come as text, those of every seventh order being none, staged with tolerance."""
+    raw = star.raw(spark, sf, "orders")
+    broken = F.when(F.col("order_id").cast("bigint") % 7 == 0, F.lit("unknown"))
+    texts = {
+        c: F.coalesce(broken, F.col(c).cast("string"))
+        for c in ("order_purchase_timestamp", "order_delivered_customer_date")
+    }
+    return staging.stg_orders(raw.withColumns(texts), tolerant=True)
+
+
 def product_volume(spark: SparkSession, sf: str) -> DataFrame:
     return staging.product_volume(_staged(spark, sf, "stg_products")).select("product_id", "volume_cm3")
 
@@ -550,6 +561,7 @@ QUERIES: dict[str, Query] = {
     "dim_geolocation": dim_geolocation,
     "clean_customers": clean_customers,
     "product_volume": product_volume,
+    "text_timestamps": text_timestamps,
     "fact_order_items": _fact_items,
     "fact_payments": _fact_payments,
     "revenue_by_day_product_customer": revenue_by_day_product_customer,
