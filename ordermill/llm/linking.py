@@ -1,117 +1,225 @@
 """Groups of nodes that share keys: candidate search without all pairs, and connected components.
 
 A key that many nodes share is worked off by hubs. In the first round every node is compared with
-the smallest node of its key. Nodes that are then connected need no further comparison; for a key
-whose nodes are not all connected, more and more hubs (1, 4, 16, ... of its nodes) are compared with the nodes
-that lie in other components, until all are connected or every node has been a hub. So each pair of
-nodes with a common key is either compared or already connected: the components are those of all pairs,
-and a group of copies costs one comparison per member.
+the smallest node of its key. Nodes that are then connected need no further comparison. In a key of up to ``LARGE``
+nodes, those that lie in different components are compared at once. In a larger one, more and more hubs (1, 4,
+16, ... of its nodes) are compared with the nodes in other components, until all are connected or every node
+has been a hub. So each pair of nodes with a common key is either compared or already connected: the
+components are those of all pairs, and a group of copies costs one comparison per member.
 """
 
 from __future__ import annotations
 
+import gc
 from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..session import fresh_path, settle
+from ..session import fresh_path
 
 Verify = Callable[[DataFrame], DataFrame]
 
+Near = Callable[[Column, Column], Column]
+
 GROWTH = 4
+LARGE = 16
 
 
-def stored(df: DataFrame, label: str) -> DataFrame:
-    """``df`` written once to the shared folder, so that later uses read it by column and survive lost executors."""
-    path = fresh_path(df.sparkSession, label)
+def release(spark: SparkSession) -> None:
+    """Lets Spark remove the shuffle files and checkpoints of finished steps.
+
+    Its cleaner acts when their owners are collected as garbage in the driver, which in a job of many
+    small steps may be long after the job.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def kept(df: DataFrame, label: str = "step") -> DataFrame:
+    """``df`` written once to the shared folder, so that later uses read it by column and survive lost executors.
+
+    A file also has a known size, by which small results of a step are broadcast in the next one.
+    """
+    spark = df.sparkSession
+    path = fresh_path(spark, label)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """As ``kept``, for large steps: what was shuffled for them is let go."""
+    result = kept(df, label)
+    release(df.sparkSession)
+    return result
 
 
 def components(edges: DataFrame) -> DataFrame:
     """(node, comp) for every node of the edges (a, b): comp is the smallest node it is connected with.
 
-    Each round moves every node to its smallest neighbour, then to that one's, twice over, and goes on
+    Each round moves every node to its smallest neighbour, then to that one's, and goes on
     with the edges between the nodes that are left, so the rounds grow with the logarithm of the longest path.
     """
-    edges = settle(edges.select("a", "b").where(F.col("a") != F.col("b")).distinct())
+    edges = kept(edges.select("a", "b").where(F.col("a") != F.col("b")).distinct())
     labels = None
     while labels is None or not edges.isEmpty():
         ends = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         step = ends.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("low")).select(
             "node", F.least("node", "low").alias("comp")
         )
-        for _ in range(2):
-            onward = step.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
-            step = step.join(onward, "comp").select("node", F.col("next").alias("comp"))
-        step = settle(step)
+        onward = step.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
+        step = kept(step.join(onward, "comp").select("node", F.col("next").alias("comp")))
         if labels is None:
             labels = step
         else:
             moved = step.select(F.col("node").alias("comp"), F.col("comp").alias("next"))
-            labels = settle(
+            labels = kept(
                 labels.join(moved, "comp", "left").select("node", F.coalesce("next", "comp").alias("comp"))
             )
         for end in ("a", "b"):
             named = step.select(F.col("node").alias(end), F.col("comp").alias("root"))
             edges = edges.join(named, end).withColumn(end, F.col("root")).select("a", "b")
-        edges = settle(edges.where(F.col("a") != F.col("b")).distinct())
+        edges = kept(edges.where(F.col("a") != F.col("b")).distinct())
+    release(edges.sparkSession)
     return labels
 
 
+class Gathered:
+    """Rows about nodes, made for the nodes of a pair when it first asks for them and stored for later ones."""
+
+    def __init__(self, make: Callable[[DataFrame], DataFrame], label: str):
+        self.make, self.label = make, label
+        self.parts: list[DataFrame] = []
+
+    def of(self, pairs: DataFrame) -> DataFrame:
+        """At least the rows of all nodes in the pairs (a, b)."""
+        asked = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+        for part in self.parts:
+            asked = asked.join(part.select("node"), "node", "left_anti")
+        asked = kept(asked)
+        if not self.parts or not asked.isEmpty():
+            self.parts.append(stored(self.make(asked), self.label))
+        return reduce(DataFrame.union, self.parts)
+
+
+def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
+    """Members with their component, of the keys that have nodes of several components."""
+    placed = members.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
+    split = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
+    return placed.join(split.where(F.col("low") != F.col("high")).select("key"), "key", "left_semi")
+
+
+def _shared(members: DataFrame, marks: DataFrame) -> DataFrame:
+    """Members of keys with two nodes or more, with the number of nodes and the mark of the node.
+
+    Most keys have one node: they are counted first, and only the others' members go on.
+    """
+    sizes = members.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > 1)
+    together = stored(members.join(sizes, "key"), "members")
+    return kept(together.join(marks, "node"))
+
+
+def _with_hubs(together: DataFrame) -> DataFrame:
+    hubs = together.groupBy("key").agg(F.min("node").alias("hub"), F.min_by("mark", "node").alias("hub_mark"))
+    return together.join(hubs, "key").where(F.col("node") != F.col("hub"))
+
+
+class _Links:
+    """Edges found so far and the components they make."""
+
+    def __init__(self, verify: Verify, edges: DataFrame):
+        self.verify, self.edges = verify, edges
+        self.labels = components(edges)
+
+    def test(self, pairs: DataFrame) -> None:
+        pairs = kept(pairs)
+        if pairs.isEmpty():
+            return
+        found = kept(self.verify(pairs))
+        if not found.isEmpty():
+            self.edges = kept(self.edges.union(found))
+            self.labels = components(self.edges)
+        release(pairs.sparkSession)
+
+    def at_once(self, left: DataFrame, near: Near) -> None:
+        """Compares all nodes of a key (key, node, mark) that are in different components; for keys of bounded size."""
+        left = kept(_mixed(left.select("key", "node", "mark"), self.labels))
+        other = left.select("key", F.col("node").alias("b"), F.col("mark").alias("b_mark"), F.col("comp").alias("b_comp"))
+        self.test(
+            left.join(other, "key")
+            .where((F.col("node") < F.col("b")) & (F.col("comp") != F.col("b_comp")) & near(F.col("mark"), F.col("b_mark")))
+            .select(F.col("node").alias("a"), "b").distinct()
+        )
+
+    def by_hubs(self, left: DataFrame, near: Near) -> None:
+        """Compares the nodes of every key (key, node, mark, size) until they are connected or all were hubs."""
+        left = left.select("key", "node", "mark", "size")
+        left = left.withColumn("slot", F.pmod(F.xxhash64("node", "key"), F.col("size")))
+        done, reach = 0, 1
+        while True:
+            left = kept(_mixed(left.where(F.col("size") > done), self.labels))
+            if left.isEmpty():
+                return
+            hubs = left.where((F.col("slot") >= done) & (F.col("slot") < reach)).select(
+                "key", F.col("node").alias("hub"), F.col("mark").alias("hub_mark"), F.col("comp").alias("hub_comp")
+            )
+            self.test(
+                left.where(F.col("slot") >= done)
+                .join(hubs, "key")
+                .where((F.col("comp") != F.col("hub_comp")) & near(F.col("mark"), F.col("hub_mark")))
+                .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
+                .distinct()
+            )
+            left = left.drop("comp")
+            done, reach = reach, reach * GROWTH
+
+    def work_off(self, left: DataFrame, near: Near) -> None:
+        self.at_once(left.where(F.col("size").between(3, LARGE)), near)
+        self.by_hubs(left.where(F.col("size") > LARGE), near)
+
+
 def connect(
     members: DataFrame,
-    prepare: Callable[[DataFrame], Verify],
-    near: Callable[[Column, Column], Column],
+    marks: DataFrame,
+    verify: Verify,
+    near: Near,
+    refine: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """(node, comp) of all nodes linked with another one.
 
-    ``members`` has distinct rows (key, node, mark); ``mark`` is the same for all rows of a node, and only pairs
-    whose marks are ``near`` are candidates. ``prepare`` gets the nodes that can occur in candidates and returns the
-    test of pairs: distinct (a, b) with a < b in, those that hold out.
+    ``members`` has distinct rows (key, node) and ``marks`` one row (node, mark) per node; only pairs
+    whose marks are ``near`` are candidates. ``verify`` is the test of pairs: distinct (a, b) with a < b in, those
+    that hold out.
+
+    A key of more than ``LARGE`` nodes that its smallest node does not connect holds many look-alikes, nearly all of whose pairs
+    fail the test. ``refine``, if given, gets the nodes of such keys and returns members under narrower keys, which true links share as
+    surely; those keys are worked off in place of the large ones.
     """
-    shared = members.groupBy("key").agg(
-        F.count("*").alias("size"), F.min("node").alias("hub"), F.min_by("mark", "node").alias("hub_mark")
-    )
-    together = stored(members.join(shared.where(F.col("size") > 1), "key"), "members")
-    first = settle(
-        together.where((F.col("node") != F.col("hub")) & near(F.col("mark"), F.col("hub_mark")))
+    together = _shared(members, marks)
+    first = kept(
+        _with_hubs(together).where(near(F.col("mark"), F.col("hub_mark")))
         .select(F.col("hub").alias("a"), F.col("node").alias("b"))
         .distinct()
     )
-    left = together.where(F.col("size") > 2).select("key", "node", "mark", "size")
-    nodes = first.select(F.explode(F.array("a", "b")).alias("node")).union(left.select("node"))
-    verify = prepare(nodes.distinct())
-    edges = settle(verify(first))
-    labels = components(edges)
-    left = left.withColumn("slot", F.pmod(F.xxhash64("node", "key"), F.col("size")))
-    done, reach = 0, 1
-    while True:
-        placed = (
-            left.where(F.col("size") > done)
-            .join(labels, "node", "left")
-            .withColumn("comp", F.coalesce("comp", "node"))
-        )
-        split = placed.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"))
-        left = settle(
-            placed.join(split.where(F.col("low") != F.col("high")).select("key"), "key", "left_semi")
+    later = together.where(F.col("size") > 2)
+    links = _Links(verify, kept(verify(first)))
+    if refine is None:
+        links.work_off(later, near)
+        return links.labels
+    links.at_once(later.where(F.col("size") <= LARGE), near)
+    crowded = _mixed(later.where(F.col("size") > LARGE).select("key", "node", "mark"), links.labels)
+    crowded = kept(crowded.select("node").distinct())
+    if not crowded.isEmpty():
+        narrow = _shared(refine(crowded), marks)
+        comp = links.labels.select("node", "comp")
+        hub_comp = comp.select(F.col("node").alias("hub"), F.col("comp").alias("hub_comp"))
+        apart = _with_hubs(narrow).join(comp, "node", "left").join(hub_comp, "hub", "left").where(
+            F.coalesce("comp", "node") != F.coalesce("hub_comp", "hub")
         )
-        if left.isEmpty():
-            return labels
-        hubs = left.where((F.col("slot") >= done) & (F.col("slot") < reach)).select(
-            "key", F.col("node").alias("hub"), F.col("mark").alias("hub_mark"), F.col("comp").alias("hub_comp")
+        links.test(
+            apart.where(near(F.col("mark"), F.col("hub_mark")))
+            .select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
         )
-        pairs = (
-            left.where(F.col("slot") >= done)
-            .join(hubs, "key")
-            .where((F.col("comp") != F.col("hub_comp")) & near(F.col("mark"), F.col("hub_mark")))
-            .select(F.least("node", "hub").alias("a"), F.greatest("node", "hub").alias("b"))
-            .distinct()
-        )
-        found = settle(verify(settle(pairs)))
-        left = left.drop("comp")
-        done, reach = reach, reach * GROWTH
-        if not found.isEmpty():
-            edges = settle(edges.union(found))
-            labels = components(edges)
+        links.work_off(narrow, near)
+    return links.labels

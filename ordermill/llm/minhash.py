@@ -8,7 +8,10 @@ that share a band are candidates. Their Jaccard estimate is the share of equal r
 expected to be equal by chance; candidates whose estimate is six standard errors below the threshold are
 left, all others are verified on the full sets.
 
-At the threshold of 0.85 a pair of large documents shares no band with probability 3e-6, and less
+Families of look-alikes below the threshold, whose members share bands without being linked, are searched again with
+narrower bands: ``FINE_BANDS`` choices of ``FINE_SIZE`` out of ``FINE_REGISTERS`` registers.
+
+At the threshold of 0.85 a pair of large documents shares no band with probability 3e-6 (1e-5 for the narrower ones), and less
 above it; for small documents neighbouring buckets are filled alike, which makes misses rarer still.
 
 Results per row of the input: a null or blank text has no shingle and is linked with nothing; a text of one
@@ -28,11 +31,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .batches import mixed, shingle_sets, slices, words
-from .linking import Verify, connect, stored
+from .linking import Gathered, Verify, connect, kept, stored
 from .shipping import ready
 
 BANDS, BAND_SIZE = 40, 8
 REGISTERS = BANDS * BAND_SIZE
+#: Narrower bands for families of look-alikes: so many choices of so many out of more registers.
+FINE_BANDS, FINE_SIZE, FINE_REGISTERS = 400, 20, 1024
 MANTISSA = 10
 PERCENT = 85
 SIGMAS = 6.0
@@ -41,38 +46,41 @@ COLLISION = 0.169919487159739
 
 _SECOND = np.uint64(0x2545F4914F6CDD1D)
 _rng = np.random.default_rng(7)
-_BAND = _rng.integers(1, 2**63, BAND_SIZE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BAND = _rng.integers(1, 2**63, FINE_SIZE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_CHOICE = np.arange(REGISTERS).reshape(BANDS, BAND_SIZE)
+_FINE_CHOICE = np.array([_rng.choice(FINE_REGISTERS, FINE_SIZE, replace=False) for _ in range(FINE_BANDS)])
 
 
-def registers(shingles: list[np.ndarray]) -> np.ndarray:
+def registers(shingles: list[np.ndarray], size: int = REGISTERS) -> np.ndarray:
     """Compressed registers of each set, 0 where the bucket is empty."""
     n = len(shingles)
     sizes = np.array([len(s) for s in shingles], np.int64)
     value = np.concatenate(shingles) if n else np.zeros(0, np.uint64)
-    bucket = ((value >> np.uint64(32)) * np.uint64(REGISTERS) >> np.uint64(32)).astype(np.int64)
-    least = np.full(n * REGISTERS, np.iinfo(np.uint64).max, np.uint64)
+    bucket = ((value >> np.uint64(32)) * np.uint64(size) >> np.uint64(32)).astype(np.int64)
+    least = np.full(n * size, np.iinfo(np.uint64).max, np.uint64)
     second = mixed(value ^ _SECOND) >> np.uint64(11)  # 53 bits, exact as a float
-    np.minimum.at(least, np.repeat(np.arange(n), sizes) * REGISTERS + bucket, second)
+    np.minimum.at(least, np.repeat(np.arange(n), sizes) * size + bucket, second)
     full = least != np.iinfo(np.uint64).max
     kept = least[full]
     width = np.frexp(kept.astype(np.float64))[1].astype(np.uint64)  # position of the leading one
     zeros = np.uint64(53) - width
     lead = (kept << zeros) >> np.uint64(52 - MANTISSA)
-    result = np.zeros(n * REGISTERS, np.uint16)
+    result = np.zeros(n * size, np.uint16)
     result[full] = ((zeros + np.uint64(1)) << np.uint64(MANTISSA) | (lead & np.uint64((1 << MANTISSA) - 1))).astype(np.uint16)
-    return result.reshape(n, REGISTERS)
+    return result.reshape(n, size)
 
 
-def band_keys(regs: np.ndarray) -> np.ndarray:
-    """One 64-bit key per band; all rows without a full register get the same keys."""
-    n = len(regs)
-    place = np.where(regs > 0, np.arange(REGISTERS), 2 * REGISTERS)
+def band_keys(regs: np.ndarray, choice: np.ndarray = _CHOICE) -> np.ndarray:
+    """One 64-bit key per band, a choice of registers; all rows without a full register get the same keys."""
+    size = regs.shape[1]
+    place = np.where(regs > 0, np.arange(size), 2 * size)
     after = np.minimum.accumulate(place[:, ::-1], axis=1)[:, ::-1]
-    first = after[:, :1]
-    source = np.where(after < 2 * REGISTERS, after, first) % REGISTERS
-    filled = np.take_along_axis(regs, source, axis=1).astype(np.uint64).reshape(n, BANDS, BAND_SIZE)
-    keys = mixed((filled + np.uint64(1)) * _BAND).sum(axis=2, dtype=np.uint64)
-    return mixed(keys + np.arange(BANDS, dtype=np.uint64) * _SECOND).view(np.int64)
+    source = np.where(after < 2 * size, after, after[:, :1]) % size
+    filled = mixed(np.take_along_axis(regs, source, axis=1).astype(np.uint64) + np.uint64(1))
+    keys = np.zeros((len(regs), len(choice)), np.uint64)
+    for k in range(choice.shape[1]):
+        keys += mixed(filled[:, choice[:, k]] * _BAND[k])
+    return mixed(keys + np.arange(len(choice), dtype=np.uint64) * _SECOND).view(np.int64)
 
 
 def estimate(a: np.ndarray, b: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -94,32 +102,37 @@ def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for part in slices(batch, "text"):
             sets = shingle_sets(words(part.column("text"), lower=True))
-            keys = band_keys(registers(sets))
-            offsets = np.arange(0, (len(sets) + 1) * BANDS, BANDS, dtype=np.int32)
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("doc_id"),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([_fingerprint(s) for s in sets], pa.binary()),
-                    pa.ListArray.from_arrays(pa.array(offsets), pa.array(keys.ravel())),
+                    _listed(band_keys(registers(sets))),
                 ],
                 names=["doc_id", "n_shingles", "set_id", "bands"],
             )
 
 
-def _detailed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch, "text"):
-            sets = shingle_sets(words(part.column("text"), lower=True))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id"),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([r.tobytes() for r in registers(sets)], pa.binary()),
-                    pa.array([s.tobytes() for s in sets], pa.binary()),
-                ],
-                names=["node", "n", "regs", "shingles"],
-            )
+def _listed(rows: np.ndarray) -> pa.ListArray:
+    offsets = np.arange(0, (len(rows) + 1) * rows.shape[1], rows.shape[1], dtype=np.int32)
+    return pa.ListArray.from_arrays(pa.array(offsets), pa.array(rows.ravel()))
+
+
+def _per_node(column: str, make):
+    """Batches of (node, n, column) from batches of (doc_id, text)."""
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                sets = shingle_sets(words(part.column("text"), lower=True))
+                sizes = pa.array([len(s) for s in sets], pa.int64())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), sizes, make(sets)], names=["node", "n", column])
+
+    return made
+
+
+_registers_of = _per_node("regs", lambda sets: pa.array([r.tobytes() for r in registers(sets)], pa.binary()))
+_shingles_of = _per_node("shingles", lambda sets: pa.array([s.tobytes() for s in sets], pa.binary()))
+_fine_bands_of = _per_node("bands", lambda sets: _listed(band_keys(registers(sets, FINE_REGISTERS), _FINE_CHOICE)))
 
 
 def _likely(percent: int):
@@ -151,25 +164,29 @@ def _confirmed(percent: int):
     return passing
 
 
-def _verifier(narrow: DataFrame, nodes: DataFrame, percent: int) -> Verify:
-    details = stored(
-        narrow.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
-        .mapInArrow(_detailed, "node long, n long, regs binary, shingles binary"),
-        "sets",
-    )
+def _verifier(narrow: DataFrame, percent: int) -> Verify:
+    """Test of pairs: estimate from the registers, then the full sets of those that are left."""
+    sketches = Gathered(lambda nodes: _of(narrow, nodes).mapInArrow(_registers_of, "node long, n long, regs binary"), "registers")
+    sets = Gathered(lambda nodes: _of(narrow, nodes).mapInArrow(_shingles_of, "node long, n long, shingles binary"), "sets")
 
-    def side(end: str, **columns: str) -> DataFrame:
-        return details.select(F.col("node").alias(end), *(F.col(c).alias(n) for n, c in columns.items()))
+    def side(table: DataFrame, end: str, **columns: str) -> DataFrame:
+        return table.select(F.col("node").alias(end), *(F.col(c).alias(n) for n, c in columns.items()))
 
     def verify(pairs: DataFrame) -> DataFrame:
-        near = pairs.join(side("a", n_a="n", regs_a="regs"), "a").join(side("b", n_b="n", regs_b="regs"), "b")
-        likely = near.mapInArrow(_likely(percent), "a long, b long").distinct()
-        full = likely.join(side("a", x="shingles"), "a").join(side("b", y="shingles"), "b")
-        return full.mapInArrow(_confirmed(percent), "a long, b long").distinct()
+        regs = sketches.of(pairs)
+        near = pairs.join(side(regs, "a", n_a="n", regs_a="regs"), "a").join(side(regs, "b", n_b="n", regs_b="regs"), "b")
+        likely = kept(near.mapInArrow(_likely(percent), "a long, b long").distinct())
+        full = sets.of(likely)
+        both = likely.join(side(full, "a", x="shingles"), "a").join(side(full, "b", y="shingles"), "b")
+        return both.mapInArrow(_confirmed(percent), "a long, b long").distinct()
 
     return verify
 
 
+def _of(narrow: DataFrame, nodes: DataFrame) -> DataFrame:
+    return narrow.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
+
+
 def classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """doc_id, n_shingles, component_id and kept for every row of ``docs`` (doc_id, text)."""
     ready(docs.sparkSession)
@@ -182,13 +199,19 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     named = stored(full.groupBy("set_id").agg(F.min("doc_id").alias("node")), "nodes")
     shown = (
         full.join(named.select(F.col("node").alias("doc_id"), "set_id"), ["doc_id", "set_id"], "left_semi")
-        .select(F.col("doc_id").alias("node"), F.col("n_shingles").alias("mark"), F.explode("bands").alias("key"))
+        .select(F.col("doc_id").alias("node"), F.explode("bands").alias("key"))
     )
+    # Rows that share a doc_id may differ in size; the pair is then judged by the larger one.
+    marks = full.groupBy(F.col("doc_id").alias("node")).agg(F.max("n_shingles").alias("mark"))
 
     def similar_size(n: Column, m: Column) -> Column:
         return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
-    labels = connect(shown, lambda nodes: _verifier(narrow, nodes, percent), similar_size)
+    def fine(nodes: DataFrame) -> DataFrame:
+        found = _of(narrow, nodes).mapInArrow(_fine_bands_of, "node long, n long, bands array<long>")
+        return found.select("node", F.explode("bands").alias("key")).distinct()
+
+    labels = connect(shown, marks, _verifier(narrow, percent), similar_size, fine)
     found = named.join(labels, "node", "left").select("set_id", F.coalesce("comp", "node").alias("component_id"))
     return (
         sketches.drop("bands").join(found, "set_id", "left")

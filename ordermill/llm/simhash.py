@@ -72,3 +72,19 @@ def with_fingerprint(rows: DataFrame, hashes: str) -> DataFrame:
         least = most
     counted = counted.withColumn("fp", F.expr(f"case {' '.join(cases)} {result}"))
     return counted.drop("_n", *(f"_c{width}_{j}" for width, _ in _COUNTERS for j in range(width)))
+
+
+def fingerprints(tokens: DataFrame, keys: list[str], token: str) -> DataFrame:
+    """SimHash per group of ``keys`` over the rows of ``tokens``: a bit is set if most tokens' hashes have it.
+
+    Two 32-bit counters share a number, so 32 sums count all bits of up to 2**31 tokens in compiled code.
+    """
+    half = BITS // 2
+    pair = (1 << half) | 1
+    sums = [F.sum(F.expr(f"shiftrightunsigned({token}, {j}) & {pair}L")).alias(f"_c{j}") for j in range(half)]
+    counted = tokens.groupBy(*keys).agg(F.count(token).alias("_n"), *sums)
+    bits = " | ".join(
+        f"if((shiftrightunsigned(_c{bit % half}, {bit - bit % half}) & {(1 << half) - 1}L) * 2 > _n, shiftleft(1L, {bit}), 0L)"
+        for bit in range(BITS)
+    )
+    return counted.select(*keys, F.expr(bits).alias("fp"))
