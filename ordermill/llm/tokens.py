@@ -7,6 +7,7 @@ whole text; each different part is encoded once and remembered.
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
@@ -16,7 +17,9 @@ from tokenizers import Tokenizer
 #: File of the byte-level vocabulary that the queries use, by its name in the package of public tokenizers.
 BYTE_BPE = "byte_bpe_50k.json"
 _CUT = re.compile(r"(?<=\S)(?= \S)")
-REMEMBERED = 200_000
+REMEMBERED = 60_000
+#: Parts encoded at once; an encoding is far larger than its ids.
+AT_ONCE = 1_000
 
 
 def public_path(name: str = BYTE_BPE) -> str:
@@ -29,6 +32,8 @@ class Encoder:
     """Encodes lists of texts; remembers up to ``REMEMBERED`` parts, then starts afresh."""
 
     def __init__(self, path: str):
+        # Spark runs one encoder per core; threads of its own would only add memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self._forget()
 
@@ -39,7 +44,7 @@ class Encoder:
 
     def _forget(self) -> None:
         self.known: dict[str, int] = {}
-        self.ids: list[np.ndarray] = []
+        self.ids: list[bytes] = []
 
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of ids of each; null is empty."""
@@ -52,14 +57,16 @@ class Encoder:
         if len(self.known) + len(different) > REMEMBERED:
             self._forget()
         new = [x for x in different if x not in self.known]
-        for x, found in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self.known[x] = len(self.ids)
-            self.ids.append(np.array(found.ids, np.uint32))
+        for begin in range(0, len(new), AT_ONCE):
+            some = new[begin : begin + AT_ONCE]
+            for x, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
+                self.known[x] = len(self.ids)
+                self.ids.append(np.array(found.ids, np.uint32).tobytes())
         own = [self.ids[self.known[x]] for x in different]
-        sizes = np.array([len(x) for x in own], np.int64)
+        sizes = np.array([len(x) // 4 for x in own], np.int64)
         begins = np.concatenate(([0], np.cumsum(sizes)[:-1]))
         each = sizes[codes]
         place = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
-        ids = np.concatenate(own)[np.repeat(begins[codes], each) + place]
+        ids = np.frombuffer(b"".join(own), np.uint32)[np.repeat(begins[codes], each) + place]
         owner = np.repeat(np.arange(len(texts)), counts)
         return ids, np.bincount(owner, weights=each, minlength=len(texts)).astype(np.int64)
