@@ -60,17 +60,19 @@ def items_of(benchmark: DataFrame) -> tuple[DataFrame, list[int]]:
     sizes = F.lit(None).cast("array<bigint>")
     for k in range(1, SHINGLE + 1):
         sizes = F.when(F.col("k") == k, _shingles("words", k)).otherwise(sizes)
-    items = stored(rows.withColumn("run", sizes).withColumn("shingles", F.array_distinct("run")).drop("words"), "items")
+    rows = rows.withColumn("run", sizes).withColumn("shingles", F.array_distinct("run")).drop("words")
+    # Stands for the row in joins, as an item id may be absent or occur twice.
+    rows = rows.withColumn("row", F.xxhash64("item_id", F.col("item_id").isNull(), "run"))
+    items = stored(rows, "items")
     used = sorted(r[0] for r in items.select("k").distinct().collect())  # five values at most
     total = items.count()
     held = items.select("item_id", F.explode("shingles").alias("s"))
     weight = held.groupBy("s").agg(F.log(1 + F.lit(total) / F.count("*")).alias("w"))
-    # An item id that occurs twice would mix its rows' shingles; the first n and run tell them apart.
     weighed = (
-        items.select("item_id", "n", "run", F.explode("shingles").alias("s")).join(weight, "s")
-        .groupBy("item_id", "n", "run").agg(F.map_from_entries(F.array_sort(F.collect_set(F.struct("s", "w")))).alias("weights"))
+        items.select("row", F.explode("shingles").alias("s")).join(weight, "s")
+        .groupBy("row").agg(F.map_from_entries(F.array_sort(F.collect_set(F.struct("s", "w")))).alias("weights"))
     )
-    items = items.dropDuplicates(["item_id", "n", "run"]).join(weighed, ["item_id", "n", "run"])
+    items = items.dropDuplicates(["row"]).join(weighed, "row").drop("row")
     items = items.withColumn("unseen", F.log(F.lit(1.0 + total)))
     return stored(with_fingerprint(items, "run"), "items"), used
 
