@@ -193,8 +193,8 @@ def connect(
     that hold out.
 
     A key of more than ``LARGE`` nodes that its smallest node does not connect holds many look-alikes, nearly all of whose pairs
-    fail the test. ``refine``, if given, gets the nodes of such keys and returns members under narrower keys, which true links share as
-    surely; those keys are worked off in place of the large ones.
+    fail the test. ``refine``, if given, gets the nodes of such keys and returns members under narrower keys, of which all true links share
+    one; those keys are worked off in place of the large ones.
     """
     together = _shared(members, marks)
     first = kept(

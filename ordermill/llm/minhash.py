@@ -8,11 +8,12 @@ that share a band are candidates. Their Jaccard estimate is the share of equal r
 expected to be equal by chance; candidates whose estimate is six standard errors below the threshold are
 left, all others are verified on the full sets.
 
-Families of look-alikes below the threshold, whose members share bands without being linked, are searched again with
-narrower bands: ``FINE_BANDS`` choices of ``FINE_SIZE`` out of ``FINE_REGISTERS`` registers.
+Families of look-alikes below the threshold, whose members share bands without being linked, are searched again by
+an exact prefix filter: shingles are ordered by how many of these documents hold them, and a document of n shingles is
+listed under the rarest n less the least overlap plus one. Two sets at the threshold share one of those, so this step loses no pair.
 
-At the threshold of 0.85 a pair of large documents shares no band with probability 3e-6 (1e-5 for the narrower ones), and less
-above it; for small documents neighbouring buckets are filled alike, which makes misses rarer still.
+At the threshold of 0.85 a pair of large documents shares no band with probability 3e-6, and less above it. In a document of
+fewer shingles than registers a band rests on fewer shingles, down to one.
 
 Results per row of the input: a null or blank text has no shingle and is linked with nothing; a text of one
 to four words has one shingle, its word sequence. Rows that share a doc_id are judged each
@@ -36,8 +37,6 @@ from .shipping import ready
 
 BANDS, BAND_SIZE = 40, 8
 REGISTERS = BANDS * BAND_SIZE
-#: Narrower bands for families of look-alikes: so many choices of so many out of more registers.
-FINE_BANDS, FINE_SIZE, FINE_REGISTERS = 400, 20, 1024
 MANTISSA = 10
 PERCENT = 85
 SIGMAS = 6.0
@@ -46,9 +45,8 @@ COLLISION = 0.169919487159739
 
 _SECOND = np.uint64(0x2545F4914F6CDD1D)
 _rng = np.random.default_rng(7)
-_BAND = _rng.integers(1, 2**63, FINE_SIZE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_BAND = _rng.integers(1, 2**63, BAND_SIZE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _CHOICE = np.arange(REGISTERS).reshape(BANDS, BAND_SIZE)
-_FINE_CHOICE = np.array([_rng.choice(FINE_REGISTERS, FINE_SIZE, replace=False) for _ in range(FINE_BANDS)])
 
 
 def registers(shingles: list[np.ndarray], size: int = REGISTERS) -> np.ndarray:
@@ -132,7 +130,30 @@ def _per_node(column: str, make):
 
 _registers_of = _per_node("regs", lambda sets: pa.array([r.tobytes() for r in registers(sets)], pa.binary()))
 _shingles_of = _per_node("shingles", lambda sets: pa.array([s.tobytes() for s in sets], pa.binary()))
-_fine_bands_of = _per_node("bands", lambda sets: _listed(band_keys(registers(sets, FINE_REGISTERS), _FINE_CHOICE)))
+_shingle_lists_of = _per_node(
+    "shingles", lambda sets: pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))
+)
+
+
+def prefixes(sets: DataFrame, percent: int) -> DataFrame:
+    """(key, node): the rarest shingles of each set (node, n, shingles), of which any two at the threshold share one.
+
+    The overlap of such sets is at least ``percent`` of the larger one. Shingles of one set only come first in
+    the order and are never shared, so they are counted and not listed.
+    """
+    sets = sets.withColumn("set", F.struct("node", F.xxhash64("shingles").alias("sum"), "n")).dropDuplicates(["set"])
+    single = stored(sets.select("set", F.explode("shingles").alias("shingle")), "shingles")
+    held = single.groupBy("shingle").agg(F.count("*").alias("holders")).where(F.col("holders") > 1)
+    common = (
+        single.join(held, "shingle").groupBy("set")
+        .agg(F.array_sort(F.collect_list(F.struct("holders", "shingle"))).alias("common"))
+    )
+    n = "set.n"
+    listed = f"size(common) - cast(({n} * {percent} + 99) div 100 as int) + 1"
+    return (
+        common.select("set.node", F.expr(f"slice(common, 1, greatest(0, {listed}))").alias("rarest"))
+        .select("node", F.explode("rarest.shingle").alias("key")).distinct()
+    )
 
 
 def _likely(percent: int):
@@ -208,8 +229,8 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
     def fine(nodes: DataFrame) -> DataFrame:
-        found = _of(narrow, nodes).mapInArrow(_fine_bands_of, "node long, n long, bands array<long>")
-        return found.select("node", F.explode("bands").alias("key")).distinct()
+        sets = _of(narrow, nodes).mapInArrow(_shingle_lists_of, "node long, n long, shingles array<long>")
+        return prefixes(sets, percent)
 
     labels = connect(shown, marks, _verifier(narrow, percent), similar_size, fine)
     found = named.join(labels, "node", "left").select("set_id", F.coalesce("comp", "node").alias("component_id"))

@@ -40,6 +40,19 @@ def test_family_of_variants(spark):
     assert {r[0]: tuple(r) for r in minhash.classes(docs(spark, *texts)).collect()} == brute(rows)
 
 
+def test_short_templates_against_brute_force(spark):
+    """Templates with endings of their own, below the threshold, but for one pair at it that shares no more than the template."""
+    texts, wanted = [], []
+    for f in range(30):
+        base = prose(100 + f, 21)
+        texts += [" ".join(base + prose(5000 + 100 * f + i, 6)) for i in range(50)]
+        texts += [" ".join(base), " ".join(base + prose(3000 + f, 3))]
+        wanted.append((len(texts) - 2, len(texts) - 1))
+    found = {r[0]: tuple(r) for r in minhash.classes(docs(spark, *texts)).collect()}
+    assert sum(found[a][2] == found[b][2] for a, b in wanted) == len(wanted)
+    assert found == brute(list(enumerate(texts)))
+
+
 def test_edge_cases(spark):
     long = " ".join(prose(5, 60_000))
     texts = [None, "", " \n\t", "One two", "one TWO", "a b c d e", "a b c d e", long, long + " end", "É b c d e"]
