@@ -12,7 +12,8 @@ Families of look-alikes below the threshold, whose members share bands without b
 an exact prefix filter: shingles are ordered by how many of these documents hold them, and a document of n shingles is
 listed under the rarest n less the least overlap plus one. Two sets at the threshold share one of those, so this step loses no pair.
 
-At the threshold of 0.85 a pair of large documents shares no band with probability 3e-6, and less above it. In a document of
+The number of bands follows the threshold (40 at 0.85, 70 at 0.80), so that a pair of large documents
+at it shares no band with probability ``MISS``, and less above it. In a document of
 fewer shingles than registers a band rests on fewer shingles, down to one.
 
 Results per row of the input: a null or blank text has no shingle and is linked with nothing; a text of one
@@ -24,6 +25,7 @@ smallest id is kept. Other columns are left alone; an empty table gives an empty
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,7 +37,8 @@ from .batches import mixed, shingle_sets, slices, words
 from .linking import Gathered, Verify, connect, kept, stored
 from .shipping import ready
 
-BANDS, BAND_SIZE = 40, 8
+BANDS, BAND_SIZE = 40, 8  # at the default threshold; the estimate always rests on this many registers
+MISS = 3e-6
 REGISTERS = BANDS * BAND_SIZE
 MANTISSA = 10
 PERCENT = 85
@@ -49,6 +52,15 @@ _BAND = _rng.integers(1, 2**63, BAND_SIZE, dtype=np.uint64) * np.uint64(2) + np.
 _CHOICE = np.arange(REGISTERS).reshape(BANDS, BAND_SIZE)
 
 
+def bands_for(percent: int) -> int:
+    """Bands by which a pair at the threshold is missed with probability ``MISS`` at most."""
+    if percent >= 100:
+        return 1
+    if percent <= 0:
+        raise ValueError("the threshold must be above 0 percent")
+    return math.ceil(math.log(MISS) / math.log1p(-((percent / 100) ** BAND_SIZE)))
+
+
 def registers(shingles: list[np.ndarray], size: int = REGISTERS) -> np.ndarray:
     """Compressed registers of each set, 0 where the bucket is empty."""
     n = len(shingles)
@@ -96,19 +108,25 @@ def _fingerprint(s: np.ndarray) -> bytes:
     return (both + np.array([len(s)], np.uint64)).tobytes()
 
 
-def _sketched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for part in slices(batch, "text"):
-            sets = shingle_sets(words(part.column("text"), lower=True))
-            yield pa.RecordBatch.from_arrays(
-                [
-                    part.column("doc_id"),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([_fingerprint(s) for s in sets], pa.binary()),
-                    _listed(band_keys(registers(sets))),
-                ],
-                names=["doc_id", "n_shingles", "set_id", "bands"],
-            )
+def _sketched(percent: int):
+    count = bands_for(percent)
+    choice = np.arange(count * BAND_SIZE).reshape(count, BAND_SIZE)
+
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for part in slices(batch, "text"):
+                sets = shingle_sets(words(part.column("text"), lower=True))
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column("doc_id"),
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array([_fingerprint(s) for s in sets], pa.binary()),
+                        _listed(band_keys(registers(sets, choice.size), choice)),
+                    ],
+                    names=["doc_id", "n_shingles", "set_id", "bands"],
+                )
+
+    return made
 
 
 def _listed(rows: np.ndarray) -> pa.ListArray:
@@ -213,7 +231,7 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     ready(docs.sparkSession)
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
     sketches = stored(
-        narrow.mapInArrow(_sketched, "doc_id long, n_shingles long, set_id binary, bands array<long>"), "sketches"
+        narrow.mapInArrow(_sketched(percent), "doc_id long, n_shingles long, set_id binary, bands array<long>"), "sketches"
     )
     full = sketches.where((F.col("n_shingles") > 0) & F.col("doc_id").isNotNull())
     # Equal sets are one node, named by their smallest id; copies go no further.
