@@ -145,7 +145,11 @@ def mixtures(model: Model, row: np.ndarray, gram: np.ndarray, rows: int):
     penalty = np.log(np.maximum(total, 2)) / 2
     best = np.full(len(present), -np.inf)
     chosen = np.zeros_like(mix)
+    # No set explains a trigram better than its best language does; a text for which that is too little for k is done.
+    bound = np.add.reduceat(n * np.log(np.maximum(part.max(axis=1), 1e-30)), first) + 1e-3 * total
     for k in range(1, size + 1):
+        if not (bound - penalty * (k - 1) > best).any():
+            break
         some = np.zeros_like(mix)
         np.put_along_axis(some, order[:, :k], np.maximum(np.take_along_axis(mix, order[:, :k], 1), 1e-6), 1)
         some /= some.sum(axis=1, keepdims=True)
@@ -154,9 +158,7 @@ def mixtures(model: Model, row: np.ndarray, gram: np.ndarray, rows: int):
                 some, _ = _step(part, some, row, n, first, total)
         _, whole = _step(part, some, row, n, first, total)
         value = np.add.reduceat(n * np.log(np.maximum(whole, 1e-30)), first) - penalty * (k - 1)
-        better = value > best
-        if not better.any():
-            break
+        better = (value > best) & (bound - penalty * (k - 1) > best)
         best = np.where(better, value, best)
         chosen[better] = some[better]
     result[present] = chosen

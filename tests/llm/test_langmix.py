@@ -51,3 +51,17 @@ def test_accepted_keeps_rows_whole(spark):
     kept = langmix.accepted(frame)
     assert kept.columns == frame.columns
     assert kept.count() >= 195
+
+
+def test_set_does_not_depend_on_other_texts():
+    import numpy as np
+
+    for seed in (14, 107, 213, 407, 437):
+        draw = np.random.default_rng(seed)
+        likelihood = np.full((1 << langmix.GRAM_BITS, 4), 1e-3, np.float32)
+        likelihood[:12] = draw.choice([1.0, 0.3, 0.05], (12, 4)).astype(np.float32)
+        model = langmix.Model(list("abcd"), likelihood)
+        texts = [draw.choice(12, n) for n in (6, 14, 25, 40)]
+        together = langmix.mixtures(model, np.repeat(np.arange(4), [len(t) for t in texts]), np.concatenate(texts), 4)
+        alone = [langmix.mixtures(model, np.zeros(len(t), np.int64), t, 1)[0] for t in texts]
+        assert np.allclose(together, alone, atol=1e-5)
