@@ -6,7 +6,8 @@ likelihoods of its trigrams, then the sets made of the first k languages by shar
 likelihood less a penalty per language (half the logarithm of the number of trigrams), and the best
 set is the text's. The prediction is the largest share of that set and the score is that share.
 
-Trigrams are taken over lower-cased letters, with every run of other characters as one blank.
+Trigrams are taken over lower-cased letters, with every run of other characters as one blank and a blank at
+both ends, so that each letter is the middle of one.
 Null text and text without a letter give ``und`` with score 0 and no set. Rows without text or
 language are left out of training. With no training row at all every text is ``und``. Repeated rows
 are judged one by one, other columns are not read, ties go to the language first in
@@ -51,8 +52,8 @@ def _fold_table() -> np.ndarray:
 
 def _grams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Text and trigram of every place, and the number of letters of each text."""
-    lengths = np.array([len(t) + 1 if t else 1 for t in texts])
-    joined = "".join(f" {t or ''}" for t in texts)
+    lengths = np.array([len(t or "") + 2 for t in texts])
+    joined = "".join(f" {t or ''} " for t in texts)
     points = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), np.uint32)
     letter = _fold_table()[points]
     row = np.repeat(np.arange(len(texts)), lengths)

@@ -65,3 +65,11 @@ def test_set_does_not_depend_on_other_texts():
         together = langmix.mixtures(model, np.repeat(np.arange(4), [len(t) for t in texts]), np.concatenate(texts), 4)
         alone = [langmix.mixtures(model, np.zeros(len(t), np.int64), t, 1)[0] for t in texts]
         assert np.allclose(together, alone, atol=1e-5)
+
+
+def test_every_letter_counts(spark):
+    texts = ["a", "1 2 x", "b 3", "é"]
+    row, gram, letters = langmix._grams([*texts, None, "", "12"])
+    assert row.tolist() == [0, 1, 2, 3] and letters.tolist() == [1, 1, 1, 1, 0, 0, 0]
+    model = langmix.fit(docs(spark, "der hund und die katze").selectExpr("text", "'de' as lang"))
+    assert {r.lang_pred for r in langmix.identify(docs(spark, *texts), model).collect()} == {"de"}
