@@ -94,4 +94,100 @@ _NEAR_COPIES = f"""
     SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id, d.doc_id = component_id AS kept
     FROM documents d JOIN groups g ON d.doc_id = g.doc_id LEFT JOIN sizes s ON d.doc_id = s.doc_id"""
 
-ORACLES = {"op1_hyperminhash": _NEAR_COPIES, "op2_host_reputation": _HOSTS}
+_NEGATIVES = """
+WITH rows AS (
+    SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+        list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+        AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x::DOUBLE))) = 0
+), scores AS (
+    SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same,
+        list_inner_product(a.v, b.v)::BIGINT AS score
+    FROM rows a JOIN rows b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
+), positives AS (
+    SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scores WHERE same
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+    row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.other_id)::INTEGER AS rank,
+    s.other_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scores s ON s.anchor_id = p.anchor_id AND NOT s.same
+    AND 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY rank <= 3
+"""
+
+_REPEATS = """
+WITH texts AS (
+    SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words FROM documents
+), placed AS (
+    SELECT doc_id, words, unnest(range(1, len(words) - 18)) AS pos FROM texts WHERE len(words) >= 20
+), windows AS (
+    SELECT doc_id, pos, array_to_string(words[pos:pos + 19], ' ') AS seq FROM placed
+), later AS (
+    SELECT doc_id, pos FROM windows
+    QUALIFY row_number() OVER (PARTITION BY seq ORDER BY doc_id, pos) > 1
+), gone AS (
+    SELECT doc_id, list(DISTINCT place) AS places
+    FROM (SELECT doc_id, unnest(range(pos, pos + 20)) AS place FROM later) GROUP BY doc_id
+)
+SELECT doc_id, len(words) AS n_words, coalesce(len(places), 0) AS n_removed,
+    sha256(array_to_string(
+        CASE WHEN places IS NULL THEN words
+        ELSE list_transform(list_filter(list_zip(words, range(1, len(words) + 1)), lambda x: NOT list_contains(places, x[2])), lambda x: x[1]) END, ' '
+    )) AS kept_sha256
+FROM texts LEFT JOIN gone USING (doc_id)
+"""
+
+_PHRASES = """
+WITH pieces AS (
+    SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]'
+    )) AS piece
+    FROM documents
+), numbered AS (
+    SELECT lang, row_number() OVER () AS piece_id, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces
+), places AS (
+    SELECT lang, piece_id, unnest(w) AS word, unnest(range(len(w))) AS pos FROM numbered
+), runs AS (
+    SELECT lang, word AS a, lead(word, 1) OVER here AS b, lead(word, 2) OVER here AS c, lead(word, 3) OVER here AS d
+    FROM places WINDOW here AS (PARTITION BY piece_id ORDER BY pos)
+), counted AS MATERIALIZED (
+    SELECT lang, [a] AS p, count(*)::BIGINT AS f FROM runs GROUP BY ALL
+    UNION ALL SELECT lang, [a, b], count(*)::BIGINT FROM runs WHERE b IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT lang, [a, b, c], count(*)::BIGINT FROM runs WHERE c IS NOT NULL GROUP BY ALL
+    UNION ALL SELECT lang, [a, b, c, d], count(*)::BIGINT FROM runs WHERE d IS NOT NULL GROUP BY ALL
+), totals AS (
+    SELECT lang, sum(f)::BIGINT AS n FROM counted WHERE len(p) = 1 GROUP BY lang
+), candidates AS MATERIALIZED (
+    SELECT * FROM counted WHERE f >= 30 AND len(p) >= 2
+), parts AS MATERIALIZED (
+    SELECT lang, p, f AS a, k, p[:k] AS first_part, p[k + 1:] AS rest
+    FROM candidates, (VALUES (1), (2), (3)) ks(k) WHERE k < len(p)
+), cuts AS (
+    SELECT c.lang, c.p, c.a, k, l.f AS l, r.f AS r,
+        (2000000::HUGEINT * c.a // (l.f::HUGEINT + r.f))::BIGINT AS score
+    FROM parts c
+    JOIN counted l ON l.lang = c.lang AND l.p = c.first_part
+    JOIN counted r ON r.lang = c.lang AND r.p = c.rest
+), scored AS (
+    SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1
+), inside AS (
+    SELECT lang, p[i:i + size - 1] AS p, max(f) AS most
+    FROM candidates, (VALUES (1), (2), (3)) starts(i), (VALUES (2), (3)) sizes(size)
+    WHERE size < len(p) AND i + size - 1 <= len(p) GROUP BY ALL
+), kept AS (
+    SELECT lang, array_to_string(p, ' ') AS phrase, a, l, r, score
+    FROM scored LEFT JOIN inside USING (lang, p)
+    WHERE most IS NULL OR 100::HUGEINT * most < 80::HUGEINT * a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n, score
+FROM kept JOIN totals USING (lang)
+QUALIFY rank <= 2000
+"""
+
+ORACLES = {"op1_hyperminhash": _NEAR_COPIES, "op2_host_reputation": _HOSTS,
+    "op11_hard_negatives": _NEGATIVES,
+    "op12_repeated_passages": _REPEATS,
+    "op13_phrases": _PHRASES,
+}

@@ -13,11 +13,14 @@ from . import (
     decontaminate,
     feistel,
     fuzzylines,
+    hardnegatives,
     hosts,
     langmix,
     licenses,
     minhash,
     packing,
+    phrases,
+    repeats,
     tokenbin,
 )
 from .oracle import ORACLES  # noqa: F401
@@ -88,6 +91,22 @@ def op10_fuzzy_lines(spark: SparkSession, sf: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_removed", "text")
 
 
+def op11_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    """Hard negatives of every fiftieth vector; every seventh vector has a wrong label, the next one."""
+    wrong = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = _table(spark, sf, "embeddings").withColumn("label", wrong)
+    return hardnegatives.mine(rows, F.col("vec_id") % 50 == 0)
+
+
+def op12_repeated_passages(spark: SparkSession, sf: str) -> DataFrame:
+    done = repeats.dedup(_table(spark, sf, "documents"))
+    return done.select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
+
+
+def op13_phrases(spark: SparkSession, sf: str) -> DataFrame:
+    return phrases.collocations(_table(spark, sf, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_hyperminhash": op1_hyperminhash,
     "op2_host_reputation": op2_host_reputation,
@@ -99,4 +118,7 @@ QUERIES: dict[str, Query] = {
     "op8_simhash_windows": op8_simhash_windows,
     "op9_license_blocks": op9_license_blocks,
     "op10_fuzzy_lines": op10_fuzzy_lines,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_repeated_passages": op12_repeated_passages,
+    "op13_phrases": op13_phrases,
 }
