@@ -39,9 +39,11 @@ LEAST = 30
 COVERED = 80
 SCALE = 2_000_000
 FIRST = 2000
-SHARD_WORDS = 1 << 20
+SHARD_WORDS = 1 << 19
 #: Bits of the table of frequent words or pairs; a power of two. 2 MB.
 FILTER_BITS = 1 << 24
+#: Phrases that are hashed at once.
+AT_ONCE = 1 << 15
 #: Parts that a language's ranking is spread over.
 SPREAD = 64
 
@@ -210,13 +212,14 @@ class Index:
 def _hashes(lang: str, phrases: pa.Array, bits: int) -> np.ndarray:
     """Bit of each phrase of a language, the same in every task."""
     lead = pa.scalar(f"{lang}\n")
-    data, offsets = raw(pc.binary_join_element_wise(lead, phrases, ""))
-    size = np.diff(offsets)
-    if not len(size):
-        return np.zeros(0, np.int64)
-    place = np.arange(len(data)) - np.repeat(offsets[:-1], size)
-    value = np.add.reduceat(_BYTE[data] * _powers(int(size.max()))[place], offsets[:-1])
-    return (mixed(value) & np.uint64(bits - 1)).astype(np.int64)
+    found = [np.zeros(0, np.int64)]
+    for begin in range(0, len(phrases), AT_ONCE):
+        data, offsets = raw(pc.binary_join_element_wise(lead, phrases.slice(begin, AT_ONCE), ""))
+        size = np.diff(offsets)
+        place = np.arange(len(data)) - np.repeat(offsets[:-1], size)
+        value = np.add.reduceat(_BYTE[data] * _powers(int(size.max()))[place], offsets[:-1])
+        found.append((mixed(value) & np.uint64(bits - 1)).astype(np.int64))
+    return np.concatenate(found)
 
 
 def _set_bits(table_bits: int):
