@@ -30,6 +30,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import fresh_path
 from .batches import _BYTE, _LOWER, _powers, mixed, raw, slices
 from .linking import kept
 from .shipping import ready
@@ -42,6 +43,8 @@ FIRST = 2000
 SHARD_WORDS = 1 << 19
 #: Bits of the table of frequent words or pairs; a power of two. 2 MB.
 FILTER_BITS = 1 << 24
+#: Shards of a Parquet row group.
+GROUP = 2
 #: Phrases that are hashed at once.
 AT_ONCE = 1 << 15
 #: Parts that a language's ranking is spread over.
@@ -140,6 +143,7 @@ def _indexed(shard_words: int):
                     shard.add(part.filter(pc.equal(langs, lang)).column("text"))
                     if shard.n >= shard_words:
                         yield shards.pop(lang).index()
+                    del shard
         for shard in shards.values():
             if shard.n:
                 yield shard.index()
@@ -279,6 +283,15 @@ def _counted(lang: str, found: Phrases, size: int) -> pa.RecordBatch:
     )
 
 
+def _indexes(narrow: DataFrame, shard_words: int) -> DataFrame:
+    """One row per shard, stored in row groups of few shards, so that a task reads no more of them than a file split has room for."""
+    spark = narrow.sparkSession
+    schema = "lang string, words array<string>, counts array<int>, left binary, right binary"
+    path = fresh_path(spark, "index")
+    narrow.mapInArrow(_indexed(shard_words), schema).write.option("parquet.block.row.count.limit", GROUP).parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
 def frequent_phrases(
     docs: DataFrame, least: int = LEAST, shard_words: int = SHARD_WORDS, filter_bits: int = FILTER_BITS
 ) -> tuple[DataFrame, DataFrame]:
@@ -286,7 +299,7 @@ def frequent_phrases(
     spark = docs.sparkSession
     ready(spark)
     narrow = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit("und")).alias("lang"), F.col("text").cast("string"))
-    index = kept(narrow.mapInArrow(_indexed(shard_words), "lang string, words array<string>, counts array<int>, left binary, right binary"), "index")
+    index = _indexes(narrow, shard_words)
 
     def summed(counted: DataFrame, size: Column) -> DataFrame:
         total = counted.groupBy("lang", "phrase").agg(F.sum("f").alias("f"), F.min(size).alias("size"))
