@@ -15,7 +15,6 @@ from pyspark.sql import functions as F
 from ..functions.dates import moment
 from ..session import settle
 from ..sources import versions
-from ..sources.catalog import refresh_statistics
 
 # Fixed value: the watermark of an empty target.
 BEFORE_EVERYTHING = date(1900, 1, 1)
@@ -126,46 +125,45 @@ def _laid_out(df: DataFrame, sort_by: list[str]) -> DataFrame:
     return df.hint("rebalance", "part_month").sortWithinPartitions("part_month", *sort_by)
 
 
-def _columns_of(df: DataFrame) -> str:
-    return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema.fields)
-
-
-def _index(table: str) -> str:
-    return f"{table}_months"
-
+def months_of(spark: SparkSession, table: str, keys: DataFrame, key: str) -> DataFrame:
+    """Months that hold rows of the keys, read from the index without a shuffle of it."""
+    index = spark.table(versions.keys_of(table, versions.current(spark, table)))
+    return index.join(keys.select(key).distinct(), key, "left_semi").select("part_month").distinct()
 
-def _enter_months(table: str, rows: DataFrame, key: str, fresh: bool) -> None:
-    """Months in which a key has stood, bucketed by the key, so that looking keys up moves the keys only."""
-    found = rows.select(key, "part_month").distinct()
-    if fresh:
-        buckets = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        found.write.mode("overwrite").bucketBy(buckets, key).format("parquet").saveAsTable(_index(table))
-    else:
-        found.write.insertInto(_index(table))
 
+def _store_version(
+    rows: DataFrame, table: str, number: int, sort_by: list[str], buckets: int, kept: dict[str | None, int]
+) -> None:
+    """The next version from the rows of its new months and the months it takes over: rows, index of keys, then the switch.
 
-def months_of(spark: SparkSession, table: str, keys: DataFrame, key: str) -> DataFrame:
-    """Months that may hold rows of the keys: a superset, read from the index without a shuffle of it."""
-    return spark.table(_index(table)).join(keys.select(key).distinct(), key, "left_semi").select("part_month").distinct()
+    The index has every (key, month) once, for the months in whose folders the rows are, so it neither grows nor goes stale.
+    """
+    spark = rows.sparkSession
+    name, key = versions.named(table, number), sort_by[0]
+    versions.write_months(_laid_out(rows, sort_by), table, number, "data", name)
+    found = spark.table(name).select(key, "part_month").distinct()
+    versions.write_months(found.repartition(buckets, key), table, number, "keys", versions.keys_of(table, number), (buckets, key))
+    versions.take_over(spark, table, number, kept)
+    spark.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ('buckets' = '{buckets}')")
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS{' NOSCAN' if kept else ''}")
+    versions.switch(spark, table, number)
 
 
 def store_fact(df: DataFrame, table: str, day_column: str, sort_by: list[str]) -> None:
     """Replace a fact, partitioned by month; the old contents stay until the new ones are complete."""
     spark = df.sparkSession
     monthly = df.withColumn("part_month", month_of(day_column))
-    version = versions.write(_laid_out(monthly, sort_by), table, partitioned=True)
-    versions.place(spark, table, version, _columns_of(monthly), None, partitioned=True)
-    _enter_months(table, spark.table(table), sort_by[0], fresh=True)
-    refresh_statistics(spark, table)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    _store_version(monthly, table, versions.following(spark, table), sort_by, buckets, {})
 
 
 def stored_watermark(spark: SparkSession, table: str, column: str) -> date:
     """Newest day of a fact, read from its newest month only."""
-    listed = [r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()]
-    months = [m for m in listed if m not in ("__HIVE_DEFAULT_PARTITION__", "null")]
-    if not months:
+    listed = versions.months(spark, table, versions.current(spark, table))
+    known = [m for m in listed if m is not None]
+    if not known:
         return BEFORE_EVERYTHING
-    return watermark(spark.table(table).where(F.col("part_month") == max(months)), column)
+    return watermark(spark.table(table).where(F.col("part_month") == max(known)), column)
 
 
 def _in_months(months: set[str | None]) -> Column:
@@ -182,12 +180,10 @@ def apply_batch(
 ) -> None:
     """Delete-and-insert on a table written by ``store_fact``.
 
-    Only months that may hold a replaced key or receive a row are written anew, once, beside the old ones, and the
-    catalog is then pointed at them, see ``versions``. A run that failed before that can be
-    finished by ``versions.resume``. A batch with other columns or types than the table leads to a new version
-    of all months.
+    Only months that hold a replaced key or receive a row are written anew, once, as part of the next version, which
+    takes over the other months as they are, see ``versions``. A run that fails changes nothing. A batch with
+    other columns or types than the table leads to a new version of all months.
     """
-    versions.resume(spark, table)
     target = spark.table(table)
     if _shape(target) != _shape(batch):
         whole = delete_insert(sync_columns(target.drop("part_month"), batch), batch, keys)
@@ -198,23 +194,19 @@ def apply_batch(
     arriving = settle(batch.withColumn("part_month", month_of(day_column)).select(*columns))
     replaced = arriving.select(*keys).distinct()
     # One value per month, no more than the partition listing the driver already holds.
-    months = months_of(spark, table, replaced, sort_by[0]).union(arriving.select("part_month")).distinct()
-    touched = {m.part_month for m in months.collect()}
+    found = months_of(spark, table, replaced, sort_by[0]).union(arriving.select("part_month")).distinct()
+    touched = {m.part_month for m in found.collect()}
     if not touched:
         return
 
     staying = target.where(_in_months(touched)).join(replaced, keys, "left_anti").select(*columns)
-    version = versions.write(_laid_out(staying.unionByName(arriving), sort_by), table, partitioned=True)
-    _enter_months(table, arriving, sort_by[0], fresh=False)
-    versions.place(spark, table, version, _columns_of(target), sorted(touched, key=str), partitioned=True)
-    for month in touched - {None}:
-        if spark.catalog.tableExists(table) and not spark.table(table).where(F.col("part_month") == month).isEmpty():
-            spark.sql(f"ANALYZE TABLE {table} PARTITION (part_month = '{month}') COMPUTE STATISTICS")
+    number = versions.following(spark, table)
+    before = versions.months(spark, table, number - 1)
+    buckets = int(versions.properties(spark, versions.named(table, number - 1))["buckets"])
+    kept = {m: v for m, v in before.items() if m not in touched}
+    _store_version(staying.unionByName(arriving), table, number, sort_by, buckets, kept)
 
 
 def store_keyed(df: DataFrame, table: str) -> None:
     """Replace a table without partitions by the result of a keyed write that read it."""
-    spark = df.sparkSession
-    version = versions.write(df.hint("rebalance"), table, partitioned=False)
-    versions.place(spark, table, version, _columns_of(df), None, partitioned=False)
-    refresh_statistics(spark, table)
+    versions.publish(df.hint("rebalance"), table, statistics=True)

@@ -1,7 +1,7 @@
 """Declarative data checks.
 
 A check gives the failing rows, so an empty result passes. ``report`` counts failures for
-a whole layer: all checks of one table share a single pass over it.
+a whole layer.
 """
 
 from __future__ import annotations
@@ -101,25 +101,22 @@ def _across_rows(check: Check, column: DataFrame, models: dict[str, DataFrame])
 
 
 def _model_report(model: str, df: DataFrame, own: list[Check], models: dict[str, DataFrame]) -> list[DataFrame]:
-    """All checks of one model from one pass over it.
+    """All checks of one model.
 
-    Rows collapse to one per combination of the columns that are tested across rows, with the failures of
-    the row-level checks counted; the same shuffle then serves every check.
+    Row-level checks are counted in one pass that shuffles nothing but a row per task. A column that is tested across rows
+    collapses to its values and their rows, map-side first, and serves all its checks; only that column is read for it.
     """
     simple = [c for c in own if _failing(c) is not None]
-    tested = list(dict.fromkeys(c.column for c in own if _failing(c) is None))
-    counts = [F.count_if(_failing(c)).alias(f"c{i}") for i, c in enumerate(simple)]
-    base = df.groupBy(*tested).agg(F.count(F.lit(1)).alias("rows"), *counts)
     parts = []
     if simple:
-        sums = base.agg(*(F.coalesce(F.sum(f"c{i}"), F.lit(0)).alias(f"c{i}") for i in range(len(simple))))
+        sums = df.agg(*(F.count_if(_failing(c)).alias(f"c{i}") for i, c in enumerate(simple)))
         entries = ", ".join(f"'{c.column}', '{c.name}', c{i}" for i, c in enumerate(simple))
         parts.append(sums.selectExpr(
             f"'{model}' AS model", f"stack({len(simple)}, {entries}) AS (column_name, check_name, failures)"
         ))
     for check in own:
         if _failing(check) is None:
-            column = base if tested == [check.column] else base.groupBy(check.column).agg(F.sum("rows").alias("rows"))
+            column = df.groupBy(check.column).agg(F.count(F.lit(1)).alias("rows"))
             failed = _across_rows(check, column, models)
             parts.append(failed.selectExpr(
                 f"'{model}' AS model", f"'{check.column}' AS column_name", f"'{check.name}' AS check_name", "failures"

@@ -546,6 +546,12 @@ ORACLES: dict[str, str] = {
                               THEN 'quarantined' ELSE 'good' END AS state
         FROM order_events"""),
     "stream_enrich": _statement("SELECT * FROM enriched"),
+    "stream_bad_files": _statement("""
+        SELECT run, 'events' AS what, payment_type AS name, count(*) AS n
+        FROM order_events, (VALUES (1), (2)) runs(run)
+        WHERE order_id::BIGINT % 16 <> 5 AND (run = 2 OR order_id::BIGINT % 16 <> 3) GROUP BY ALL
+        UNION ALL
+        SELECT * FROM (VALUES (1, 'failed file', 'slot=3', 1), (1, 'failed file', 'slot=5', 1), (2, 'failed file', 'slot=5', 2))"""),
     "clone_orders": _statement("""
         SELECT new_id AS order_id, customer_id, order_status, order_purchase_timestamp, order_approved_at,
                order_delivered_carrier_date, order_delivered_customer_date, order_estimated_delivery_date

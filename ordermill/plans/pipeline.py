@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from ..operators import incremental, quality
 from ..operators.staging import STAGING, stage, stg_orders_payments
 from ..schemas import ORDER_EVENT
+from ..sources import versions
 from ..sources.catalog import (
     MARTS_LAYER, RAW_LAYER, REQUIRED_RAW_TABLES, STAGING_LAYER, create_if_absent, layer_for, publish_table,
     publish_view, require_tables, source, store_raw, table_in,
@@ -24,7 +25,10 @@ from .checks import MARTS_CHECKS, STAGING_CHECKS
 # Keys of the incremental facts.
 FACT_KEYS = {"fact_order_items": ["order_id", "order_item_id"], "fact_payments": ["order_id"]}
 STREAM_TABLE = "streaming_orders"
-STREAM_SCHEMA = T.StructType([*ORDER_EVENT.fields, T.StructField("loaded_at", T.TimestampType())])
+STREAM_PARTITION = "batch_id"
+STREAM_SCHEMA = T.StructType(
+    [*ORDER_EVENT.fields, T.StructField("loaded_at", T.TimestampType()), T.StructField(STREAM_PARTITION, T.StringType())]
+)
 PARALLEL_MODELS = 4
 
 
@@ -49,18 +53,33 @@ def build_staging(raw: dict[str, DataFrame], layer: str = STAGING_LAYER) -> dict
 def load_stream(spark: SparkSession, source: str, target: str, checkpoint: str, layer: str = RAW_LAYER) -> list:
     """Take new event files in and append their good rows to the stream table of the raw layer.
 
-    Returns the files that could not be read. The table is created if it is absent.
+    The table has a partition for every batch, so what it lacks is plain from its own listing: a batch that an earlier run took in
+    and did not append is appended by this one, and one whose append broke off is written over. Returns the files that could not be read.
     """
     table = table_in(layer, STREAM_TABLE)
-    create_if_absent(spark, table, STREAM_SCHEMA)
-    before = set(ingest.batches(spark, target))
+    create_if_absent(spark, table, STREAM_SCHEMA, STREAM_PARTITION)
     failed = ingest.ingest(spark, source, target, checkpoint)
-    new = [b for b in ingest.batches(spark, target) if b not in before]
+    there = {r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {table}").collect()}
+    new = [b for b in ingest.batches(spark, target) if b not in there]
     if new:
-        ingest.stream_table(spark, target, new).select(*STREAM_SCHEMA.names).write.insertInto(table)
+        _write_batches(ingest.stream_table(spark, target, new).select(*STREAM_SCHEMA.names), table)
+        _enter_batches(spark, table, new)
     return failed
 
 
+def _write_batches(rows: DataFrame, table: str) -> None:
+    """Rows into the folders of their batches, which nobody sees yet; what a broken run wrote there is replaced."""
+    described = rows.sparkSession.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'Location'").first()
+    writer = rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(STREAM_PARTITION).parquet(described.data_type)
+
+
+def _enter_batches(spark: SparkSession, table: str, new: list[str]) -> None:
+    """All at once into the table's listing, those without a good row as well, so that they are not read again."""
+    listed = " ".join(f"PARTITION ({STREAM_PARTITION} = '{b}')" for b in new)
+    spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {listed}")
+
+
 def _together(spark: SparkSession, tasks: list[Callable[[], object]]) -> None:
     """Submit independent table writes at the same time."""
     with ThreadPoolExecutor(PARALLEL_MODELS) as pool:
@@ -77,7 +96,7 @@ def refresh_fact(
     full_refresh: bool = False,
 ) -> None:
     """First run: all orders. Later runs: orders from the newest stored day on."""
-    if full_refresh or not spark.catalog.tableExists(table):
+    if full_refresh or versions.current(spark, table) is None:
         incremental.store_fact(build(orders), table, "order_date_id", keys)
         return
     newest = incremental.stored_watermark(spark, table, "order_date_id")
@@ -150,7 +169,7 @@ def run(
     """
     if raw_layer is not None:
         if stream:
-            create_if_absent(spark, table_in(raw_layer, STREAM_TABLE), STREAM_SCHEMA)
+            create_if_absent(spark, table_in(raw_layer, STREAM_TABLE), STREAM_SCHEMA, STREAM_PARTITION)
         require_tables(spark, REQUIRED_RAW_TABLES if stream else tuple(raw), raw_layer)
         if stream:
             load_stream(spark, *stream, raw_layer)

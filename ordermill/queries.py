@@ -13,7 +13,7 @@ from .functions.dates import moment
 from .operators import incremental, quality, sampling, staging
 from .plans import checks, gold, marts, metrics, pipeline
 from .session import fresh_path, settle
-from .sources import catalog, csv, lake, rates, star
+from .sources import catalog, csv, folders, lake, rates, star
 from .streaming import enrich, ingest
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -23,6 +23,8 @@ FIRST_DAY, LAST_DAY = date(1995, 1, 1), date(2002, 12, 31)
 # Scenario values: last day of a first load, the orders sampled, one API response.
 FIRST_LOAD_UNTIL = datetime(2000, 1, 1)
 SAMPLED_STATUS, SAMPLE_SIZE, SAMPLE_SEED = "delivered", 100, "clone"
+# Event files of the bad-file scenario, and those of them that are cut off.
+EVENT_SLOTS, CUT_SLOTS = 16, (3, 5)
 STREAM_COLUMNS = (
     "order_id", "customer_state", "product", "price", "freight_value", "total_amount",
     "payment_type", "order_status", "review_score", "created_at", "event_timestamp",
@@ -507,12 +509,44 @@ def stream_quarantine(spark: SparkSession, sf: str) -> DataFrame:
 def stream_enrich(spark: SparkSession, sf: str) -> DataFrame:
     """Events taken in, then joined with the stored gold table; a second run has nothing to do."""
     files = _event_files(spark, sf)
-    events, ledger, target = (fresh_path(spark, name) for name in ("stream", "ledger", "enriched"))
-    gold_table = settle(_gold(spark, sf))
+    events, points, target = (fresh_path(spark, name) for name in ("stream", "points", "enriched"))
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    gold_table = enrich.store_gold(_gold(spark, sf), f"{_fresh_layer(spark, 'warehouse')}.gold", buckets)
     for _ in range(2):
-        ingest.ingest(spark, files, events, ledger)
+        ingest.ingest(spark, files, events, points)
         enrich.enrich_new(spark, events, gold_table, target)
-    return enrich.enriched(spark, target)
+    return enrich.enriched(spark, target, gold_table)
+
+
+def stream_bad_files(spark: SparkSession, sf: str) -> DataFrame:
+    """Events and failed files after a run that meets cut-off files, and after one more when the first of them is whole again."""
+    inbox, whole, target, points = (fresh_path(spark, name) for name in ("inbox", "whole", "stream", "points"))
+    events = star.order_events(spark, sf)
+    slot = F.pmod(F.col("order_id").cast("bigint"), F.lit(EVENT_SLOTS)).alias("slot")
+    zipped = events.select(F.to_json(F.struct(*events.columns)).alias("value"), slot).repartition("slot")
+    zipped.write.partitionBy("slot").option("compression", "gzip").text(inbox)
+
+    def cut(slot: int) -> str:
+        """Cut the last bytes off the file of a slot; returns where it still is whole."""
+        file = folders.matching(spark, f"{inbox}/slot={slot}/part-*.gz")[0]
+        kept = f"{whole}/{slot}.gz"
+        folders.copy(spark, file, kept)
+        folders.copy(spark, kept, file, less=16)
+        return kept
+
+    first, _ = [cut(slot) for slot in CUT_SLOTS]
+    outcomes = []
+    for run in (1, 2):
+        if run == 2:
+            folders.copy(spark, first, folders.matching(spark, f"{inbox}/slot={CUT_SLOTS[0]}/part-*.gz")[0])
+        ingest.ingest(spark, inbox, target, points)
+        good = ingest.stream_table(spark, target).groupBy(F.col("payment_type").alias("name")).agg(F.count(F.lit(1)).alias("n"))
+        failed = ingest.outstanding(spark, target).select(
+            F.regexp_extract("source_file", "(slot=[0-9]+)/", 1).alias("name"), F.col("attempts").alias("n")
+        )
+        for what, found in (("events", good), ("failed file", failed)):
+            outcomes.append(settle(found).select(F.lit(run).alias("run"), F.lit(what).alias("what"), "name", "n"))
+    return reduce(DataFrame.unionByName, outcomes)
 
 
 # Sampling
@@ -613,6 +647,7 @@ QUERIES: dict[str, Query] = {
     "stream_ingest": stream_ingest,
     "stream_quarantine": stream_quarantine,
     "stream_enrich": stream_enrich,
+    "stream_bad_files": stream_bad_files,
     "clone_orders": clone_orders,
     "clone_order_items": clone_order_items,
     "clone_payments": clone_payments,

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..schemas import RAW
+from . import versions
 
 # The layers, and the tables that must exist before the staging models run.
 RAW_LAYER, STAGING_LAYER, MARTS_LAYER = "raw", "staging", "marts"
@@ -40,34 +41,29 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
 
 
 def publish_table(df: DataFrame, table: str, sort_by: list[str] | None = None) -> DataFrame:
-    """Replace a table's contents and refresh its statistics."""
+    """Replace a table's contents in one step and refresh its statistics."""
     if sort_by:
         df = df.hint("rebalance").sortWithinPartitions(*sort_by)
-    df.write.mode("overwrite").format("parquet").saveAsTable(table)
-    refresh_statistics(df.sparkSession, table)
-    return df.sparkSession.table(table)
+    return versions.publish(df, table, statistics=True)
 
 
 def store_raw(df: DataFrame, name: str, layer: str = RAW_LAYER) -> None:
-    """Replace a raw table; the rebalance hint gives evenly sized files."""
-    df.hint("rebalance").write.mode("overwrite").format("parquet").saveAsTable(table_in(layer, name))
-
-
-def refresh_statistics(spark: SparkSession, table: str) -> None:
-    spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS")
+    """Replace a raw table in one step; the rebalance hint gives evenly sized files."""
+    versions.publish(df.hint("rebalance"), table_in(layer, name))
 
 
 def _columns_sql(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 
 
-def create_if_absent(spark: SparkSession, table: str, schema: T.StructType) -> None:
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({_columns_sql(schema)}) USING parquet")
+def create_if_absent(spark: SparkSession, table: str, schema: T.StructType, partition: str | None = None) -> None:
+    by = f" PARTITIONED BY ({partition})" if partition else ""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {table} ({_columns_sql(schema)}) USING parquet{by}")
 
 
 def recreate(spark: SparkSession, table: str, schema: T.StructType) -> None:
-    spark.sql(f"DROP TABLE IF EXISTS {table}")
-    create_if_absent(spark, table, schema)
+    """Replace a table, whatever its columns, by an empty one with the given columns."""
+    versions.publish(empty_like(spark, schema), table)
 
 
 def recreate_raw_tables(spark: SparkSession, layer: str = RAW_LAYER) -> None:

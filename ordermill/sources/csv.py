@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import RAW
+from . import versions
 from .catalog import RAW_LAYER, table_in
 from .errors import cause
 
@@ -62,20 +63,17 @@ def append_csv(df: DataFrame, path: str) -> None:
     write_csv(df, path, "append")
 
 
-def load_table(spark: SparkSession, path: str, table: str, layer: str = RAW_LAYER) -> int:
+def load_table(
+    spark: SparkSession, path: str, table: str, layer: str = RAW_LAYER, free_text: frozenset[str] = FREE_TEXT_TABLES
+) -> int:
     """Replace a raw table with a CSV source and return the rows written.
 
-    The count is observed while writing, so the source is read once.
+    The count is observed while writing, so the source is read once. The old rows stay readable until the new
+    ones are complete, and for good if the load fails.
     """
     written = Observation()
-    (
-        read_csv(spark, path, table)
-        .withColumn("loaded_at", F.current_timestamp())
-        .observe(written, F.count(F.lit(1)).alias("rows"))
-        .write.mode("overwrite")
-        .format("parquet")
-        .saveAsTable(table_in(layer, table))
-    )
+    loaded = read_csv(spark, path, table, free_text).withColumn("loaded_at", F.current_timestamp())
+    versions.publish(loaded.observe(written, F.count(F.lit(1)).alias("rows")), table_in(layer, table))
     return written.get["rows"]
 
 
@@ -85,7 +83,10 @@ def paths_below(root: str, files: dict[str, str] = FILES) -> dict[str, str]:
 
 
 def load_tables(
-    spark: SparkSession, paths: dict[str, str], layer: str = RAW_LAYER
+    spark: SparkSession,
+    paths: dict[str, str],
+    layer: str = RAW_LAYER,
+    free_text: frozenset[str] = FREE_TEXT_TABLES,
 ) -> DataFrame:
     """Load the tables side by side; skip missing sources and go on past failures.
 
@@ -94,7 +95,7 @@ def load_tables(
 
     def outcome(table: str) -> tuple:
         try:
-            return table, load_table(spark, paths[table], table, layer), LOADED, None
+            return table, load_table(spark, paths[table], table, layer, free_text), LOADED, None
         except Exception as error:  # a bad source must not stop the others
             if isinstance(error, PySparkException) and error.getCondition() == "PATH_NOT_FOUND":
                 return table, None, SKIPPED, None

@@ -1,23 +1,26 @@
-"""Tables whose contents are written beside the old ones and put in place by a change of the catalog only.
+"""Stored tables whose contents are replaced by one change of the catalog.
 
-Every write goes to a folder of its own below the database's location. A table, or a partition, is then pointed at
-it, so that a reader sees the old or the new rows and a run that fails before that leaves the table as
-it was. The journal of a table names each version before it is put in place and again after that; ``resume``
-repeats the step for those without the second entry. Folders that nothing points at any more are removed.
+The name that readers use is a view over the newest version, a table of its own in a folder of its own. A write builds
+the next version beside it and then points the view at it, which is a single step: readers see all old or all new
+rows, columns included, and a run that fails before it leaves the old table as it was. What such a run left behind has the number that the
+next run takes, and is overwritten by it. The version before the newest one stays for readers that are still at it; older ones go.
+
+A version that is partitioned by month may take over months from the one before. Its properties name, for every
+month, the version in whose folder the rows are; the index of keys, if there is one, lies beside them, so rows, months and
+index change in the same step.
 """
 
 from __future__ import annotations
 
-import json
-import uuid
+import re
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..streaming import ledger
+from . import folders
 
-_JOURNAL = "version STRING, state STRING, detail STRING"
-READY, PLACED = "ready", "placed"
 PARTITION = "part_month"
+_MONTH = "month."
+_ABSENT = "__HIVE_DEFAULT_PARTITION__"
 
 
 def home(spark: SparkSession, table: str) -> str:
@@ -26,88 +29,117 @@ def home(spark: SparkSession, table: str) -> str:
     return f"{spark.catalog.getDatabase(layer or 'default').locationUri.rstrip('/')}/{name}_versions"
 
 
-def _folder_system(spark: SparkSession, path: str):
-    place = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return place.getFileSystem(spark._jsc.hadoopConfiguration()), place
+def named(table: str, number: int) -> str:
+    """Catalog name of one version."""
+    return f"{table}__v{number}"
 
 
-def _remove(spark: SparkSession, path: str) -> None:
-    system, place = _folder_system(spark, path)
-    system.delete(place, True)
+def keys_of(table: str, number: int) -> str:
+    """Catalog name of the index of keys of one version."""
+    return f"{table}__keys_v{number}"
 
 
-def versions(spark: SparkSession, table: str) -> list[str]:
-    system, place = _folder_system(spark, home(spark, table))
-    if not system.exists(place):
-        return []
-    names = (status.getPath().getName() for status in system.listStatus(place))
-    return sorted(n for n in names if not n.startswith("_"))
+def current(spark: SparkSession, table: str) -> int | None:
+    """Number of the version that readers see; none if the table has not been stored by this module."""
+    if not spark.catalog.tableExists(table):
+        return None
+    text = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").where("col_name = 'View Text'").first()
+    found = text and re.search(r"__v(\d+)`?$", text.data_type.strip())
+    return int(found.group(1)) if found else None
 
 
-def write(df: DataFrame, table: str, partitioned: bool) -> str:
-    """Store the rows as a new version that nothing points at yet; returns its name."""
-    version = uuid.uuid4().hex
-    writer = df.write.partitionBy(PARTITION) if partitioned else df.write
-    writer.parquet(f"{home(df.sparkSession, table)}/{version}")
-    return version
+def following(spark: SparkSession, table: str) -> int:
+    """Number of the next version; what a failed run left under it is cleared."""
+    number = (current(spark, table) or 0) + 1
+    for name in (named(table, number), keys_of(table, number)):
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    folders.remove(spark, f"{home(spark, table)}/v{number}")
+    return number
 
 
-def place(spark: SparkSession, table: str, version: str, columns: str, months: list | None, partitioned: bool) -> None:
-    """Enter the version in the journal and point the table, or the given partitions of it, at it."""
-    detail = json.dumps({"columns": columns, "months": months, "partitioned": partitioned})
-    journal = f"{home(spark, table)}/_journal"
-    ledger.append(spark, journal, [(version, READY, detail)], _JOURNAL)
-    _point(spark, table, version, detail)
+def switch(spark: SparkSession, table: str, number: int) -> None:
+    """Show readers a version, complete by now, in one step; then let go of those nobody should be reading."""
+    chosen = f"SELECT * FROM {named(table, number)}"
+    if current(spark, table) is not None:
+        spark.sql(f"ALTER VIEW {table} AS {chosen}")
+    else:
+        if spark.catalog.tableExists(table):
+            # A table made by other means keeps its rows as version 0; only this first time is the name absent for a moment.
+            spark.sql(f"ALTER TABLE {table} RENAME TO {named(table, 0)}")
+        spark.sql(f"CREATE VIEW {table} AS {chosen}")
+    _let_go(spark, table, number)
 
 
-def resume(spark: SparkSession, table: str) -> list[str]:
-    """Put in place what a failed run left; returns the versions."""
-    log = ledger.entries(spark, f"{home(spark, table)}/_journal", _JOURNAL).collect()
-    placed = {r.version for r in log if r.state == PLACED}
-    waiting = {r.version: r.detail for r in log if r.version not in placed}
-    for version, detail in waiting.items():
-        _point(spark, table, version, detail)
-    return list(waiting)
+def publish(df: DataFrame, table: str, statistics: bool = False, bucket_by: tuple[int, str] | None = None) -> DataFrame:
+    """Replace a table by the rows of ``df``, which may have been read from it."""
+    spark = df.sparkSession
+    number = following(spark, table)
+    writer = df.write.format("parquet").option("path", f"{home(spark, table)}/v{number}/data").mode("overwrite")
+    if bucket_by:
+        writer = writer.bucketBy(*bucket_by).sortBy(bucket_by[1])
+    writer.saveAsTable(named(table, number))
+    if statistics:
+        spark.sql(f"ANALYZE TABLE {named(table, number)} COMPUTE STATISTICS")
+    switch(spark, table, number)
+    return spark.table(table)
 
 
-def _spec(month: str | None) -> str:
-    return f"PARTITION ({PARTITION} = {'NULL' if month is None else repr(month)})"
+def properties(spark: SparkSession, table: str) -> dict[str, str]:
+    return {r.key: r.value for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}
 
 
-def _point(spark: SparkSession, table: str, version: str, detail: str) -> None:
-    """Repeatable: every statement has the same outcome however often it runs."""
-    wanted = json.loads(detail)
-    folder = f"{home(spark, table)}/{version}"
-    if wanted["months"] is None:
-        by = f" PARTITIONED BY ({PARTITION})" if wanted["partitioned"] else ""
-        spark.sql(f"DROP TABLE IF EXISTS {table}")
-        spark.sql(f"CREATE TABLE {table} ({wanted['columns']}) USING parquet{by} LOCATION '{folder}'")
-        if wanted["partitioned"]:
-            spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")
-    else:
-        stored = {r[0] for r in spark.read.parquet(folder).select(PARTITION).distinct().collect()} if wanted["months"] else set()
-        for month in wanted["months"]:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {_spec(month)}")
-            if month in stored:
-                name = "__HIVE_DEFAULT_PARTITION__" if month is None else month
-                spark.sql(f"ALTER TABLE {table} ADD IF NOT EXISTS {_spec(month)} LOCATION '{folder}/{PARTITION}={name}'")
-    spark.catalog.refreshTable(table)
-    ledger.append(spark, f"{home(spark, table)}/_journal", [(version, PLACED, None)], _JOURNAL)
-    _tidy(spark, table)
-
-
-def _tidy(spark: SparkSession, table: str) -> None:
-    """Remove the folders of versions, or of their partitions, that no row is read from."""
+def months(spark: SparkSession, table: str, number: int) -> dict[str | None, int]:
+    """For every month of a version, the version in whose folder it is stored."""
+    found = properties(spark, named(table, number))
+    return {_unnamed(k.removeprefix(_MONTH)): int(v) for k, v in found.items() if k.startswith(_MONTH)}
+
+
+def _unnamed(folder: str) -> str | None:
+    return None if folder == _ABSENT else folder
+
+
+def folder_of(month: str | None) -> str:
+    return f"{PARTITION}={_ABSENT if month is None else month}"
+
+
+def write_months(df: DataFrame, table: str, number: int, kind: str, name: str, bucket_by: tuple[int, str] | None = None) -> None:
+    """Store rows by month as one of the tables of a version."""
+    writer = df.write.format("parquet").partitionBy(PARTITION)
+    if bucket_by:
+        writer = writer.bucketBy(*bucket_by).sortBy(bucket_by[1])
+    writer.option("path", f"{home(df.sparkSession, table)}/v{number}/{kind}").mode("overwrite").saveAsTable(name)
+
+
+def take_over(spark: SparkSession, table: str, number: int, kept: dict[str | None, int]) -> None:
+    """Complete a version by months that are stored with older ones, and note where each month is."""
+    own = [r[0].split("=", 1)[1] for r in spark.sql(f"SHOW PARTITIONS {named(table, number)}").collect()]
+    root = home(spark, table)
+    for kind, name in (("data", named(table, number)), ("keys", keys_of(table, number))):
+        parts = " ".join(
+            f"PARTITION ({PARTITION} = {'NULL' if m is None else repr(m)}) LOCATION '{root}/v{v}/{kind}/{folder_of(m)}'"
+            for m, v in kept.items()
+        )
+        if parts:
+            spark.sql(f"ALTER TABLE {name} ADD IF NOT EXISTS {parts}")
+    places = kept | {None if m in (_ABSENT, "null") else m: number for m in own}
+    if places:
+        listed = ", ".join(f"'{_MONTH}{_ABSENT if m is None else m}' = '{v}'" for m, v in places.items())
+        spark.sql(f"ALTER TABLE {named(table, number)} SET TBLPROPERTIES ({listed})")
+
+
+def _let_go(spark: SparkSession, table: str, number: int) -> None:
+    """Drop the versions before the previous one, with the folders that the two that stay do not use."""
+    used = {(m, v) for n in (number, number - 1) if spark.catalog.tableExists(named(table, n)) for m, v in months(spark, table, n).items()}
     root = home(spark, table)
-    used = {f.rsplit("/", 1)[0] for f in spark.table(table).inputFiles()}
-    used = {u.split(f"{root.rsplit(chr(47), 1)[1]}/", 1)[-1] for u in used}
-    for version in versions(spark, table):
-        own = {u for u in used if u == version or u.startswith(f"{version}/")}
-        if not own and spark.table(table).inputFiles():
-            _remove(spark, f"{root}/{version}")
-            continue
-        system, path = _folder_system(spark, f"{root}/{version}")
-        for status in system.listStatus(path):
-            name = status.getPath().getName()
-            if "=" in name and own and f"{version}/{name}" not in own:
-                _remove(spark, f"{root}/{version}/{name}")
+    old = number - 2
+    while old >= 0 and spark.catalog.tableExists(named(table, old)):
+        placed = months(spark, table, old)
+        for name in (named(table, old), keys_of(table, old)):
+            spark.sql(f"DROP TABLE IF EXISTS {name}")
+        for month, version in placed.items():
+            if (month, version) not in used:
+                for kind in ("data", "keys"):
+                    folders.remove(spark, f"{root}/v{version}/{kind}/{folder_of(month)}")
+        if not any(v == old for _, v in used):
+            folders.remove(spark, f"{root}/v{old}")
+        old -= 1

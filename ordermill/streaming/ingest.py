@@ -1,16 +1,16 @@
 """Order events from JSON-Lines files to Parquet, exactly once per file.
 
-A run takes in every file that no earlier run has: it stores the events of a group of files under a batch
-number of its own, then enters files and number in the ledger. Readers see only batches in the ledger,
-so a run that ends early leaves nothing behind that counts. A file that cannot be read does not stop the
-others: its group is halved until it stands alone, its error is recorded, and the next run tries it again.
+A file stream finds the files that no earlier run has taken in, whatever their age; its checkpoint is the ledger. Every batch is
+written to a folder of its own that is named by the batch's number, so a batch that is repeated after a failure replaces its first
+attempt. Readers see the folders whose write was completed, which its ``_SUCCESS`` mark says: that mark is the only
+commit there is, for the events, the quarantined lines and the reports on files alike.
+
+A zipped file that cannot be read to its end costs itself only: the batch has its error in place of its lines, and every later run tries
+it again until it can be read. Anything else that goes wrong, such as a full disk, ends the run, and the next one goes on from there.
 """
 
 from __future__ import annotations
 
-import uuid
-
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -18,176 +18,160 @@ from pyspark.sql.streaming.query import StreamingQuery
 
 from ..functions.dates import event_moment
 from ..schemas import ORDER_EVENT
-from ..sources.errors import cause
-from . import ledger
+from ..sources import folders
+from .unzip import ROWS, lines_or_error
 
-# Fixed value: file names that count as event files; gzip is recognised by its suffix.
-EVENT_FILES = "*.{json,gz}"
+# File names that count as event files.
+PLAIN_FILES, ZIPPED_FILES = "*.json", "*.gz"
 
 CORRUPT = "_corrupt_record"
-GOOD, QUARANTINED = "good", "quarantined"
+# States of a stored row: an event, a line that is none, a file that could not be read, a file read at a later attempt.
+GOOD, QUARANTINED, FAILED, REPAIRED = "good", "quarantined", "failed", "repaired"
 # Default bound of one batch; a long backlog is taken in several.
 MAX_BYTES_PER_BATCH = 64 * 1024**3
 
 # Times are read as text, so that one that does not parse costs its row and not the run.
 _AS_SENT = [T.StructField(f.name, T.StringType()) if f.name == "event_timestamp" else f for f in ORDER_EVENT.fields]
 _SCHEMA = T.StructType([*_AS_SENT, T.StructField(CORRUPT, T.StringType())])
-_LISTED = {"pathGlobFilter": EVENT_FILES, "recursiveFileLookup": "true"}
-_OPTIONS = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-
-_FILES = "file STRING, batch_id STRING, loaded_at TIMESTAMP"
-_FAILURES = "file STRING, error STRING, failed_at TIMESTAMP"
+_PARSED = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+_BINARY = "path STRING, modificationTime TIMESTAMP, length BIGINT, content BINARY"
+# What a stored row has besides the event.
+_ABOUT = [
+    T.StructField(CORRUPT, T.StringType()), T.StructField("source_file", T.StringType()), T.StructField("error", T.StringType()),
+    T.StructField("loaded_at", T.TimestampType()), T.StructField("batch_id", T.StringType()),
+    T.StructField("record_state", T.StringType()), T.StructField("event_date", T.DateType()),
+]
 
 
-def read_events(spark: SparkSession, paths: list[str]) -> DataFrame:
-    """Events as sent; blank lines vanish, unreadable ones keep their text."""
-    return spark.read.schema(_SCHEMA).options(**_OPTIONS).json(paths)
+def _lines(reader, source: str, **options) -> DataFrame:
+    """(file, line, error) of all event files below ``source``."""
+    below = {**options, "recursiveFileLookup": "true"}
+    plain = reader.format("text").options(**below, pathGlobFilter=PLAIN_FILES).load(source)
+    zipped = reader.format("binaryFile").schema(_BINARY).options(**below, pathGlobFilter=ZIPPED_FILES).load(source)
+    return plain.select(
+        F.col("_metadata.file_path").alias("file"), F.col("value").alias("line"), F.lit(None).cast("string").alias("error")
+    ).unionByName(zipped.select("path", "content").mapInArrow(lines_or_error, ROWS))
 
 
-def labelled(events: DataFrame) -> DataFrame:
-    """Events with their state, event time and day, and load time.
+def labelled(lines: DataFrame) -> DataFrame:
+    """Events of (file, line, error) with their state, event time and day, and load time; blank lines vanish.
 
     A line that is no JSON object, has a field of the wrong type or a time that does not parse
     is quarantined with its text; the other lines of its file are not affected.
     """
-    sent, made = F.col("event_timestamp"), F.col("created_at")
+    text, sent, made = F.col("line"), F.col("event_timestamp"), F.col("created_at")
     unread = (sent.isNotNull() & event_moment(sent).isNull()) | (made.isNotNull() & event_moment(made).isNull())
     line = F.when(unread, F.to_json(F.struct(*ORDER_EVENT.names)))
+    parsed = lines.where(text.isNull() | F.rlike(text, F.lit(r"\S"))).withColumn("event", F.from_json(text, _SCHEMA, _PARSED))
+    no_object = text.isNotNull() & ~F.rlike(text, F.lit(r"^\s*\{"))
+    state = (
+        F.when(F.col("error").isNotNull(), FAILED).when(text.isNull(), REPAIRED)
+        .when(F.col(CORRUPT).isNull(), GOOD).otherwise(QUARANTINED)
+    )
     return (
-        events.withColumn(CORRUPT, F.coalesce(CORRUPT, line))
+        parsed.select("file", "line", "error", "event.*")
+        .withColumn(CORRUPT, F.when(no_object, text).otherwise(F.coalesce(CORRUPT, line)))
         .withColumns(
             {
-                "record_state": F.when(F.col(CORRUPT).isNull(), GOOD).otherwise(QUARANTINED),
+                "record_state": state,
                 "event_timestamp": F.when(F.col(CORRUPT).isNull(), F.coalesce(event_moment(sent), event_moment(made))),
                 "loaded_at": F.current_timestamp(),
             }
         )
         .withColumn("event_date", F.to_date("event_timestamp"))
+        .select(*ORDER_EVENT.names, CORRUPT, F.col("file").alias("source_file"), "error", "loaded_at", "record_state", "event_date")
     )
 
 
-def _listing(spark: SparkSession, source: str) -> DataFrame:
-    """Event files below ``source`` with their sizes, whatever their age; contents are not read."""
-    try:
-        return spark.read.format("binaryFile").options(**_LISTED).load(source).select(F.col("path").alias("file"), "length")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "file STRING, length BIGINT")
-
-
-def _groups(files: list, most_bytes: int) -> list[list[str]]:
-    groups, size = [], 0
-    for row in files:
-        if not groups or size + row["length"] > most_bytes:
-            groups.append([])
-            size = 0
-        groups[-1].append(row["file"])
-        size += row["length"]
-    return groups
-
-
-def ingest(
-    spark: SparkSession, source: str, target: str, checkpoint: str, max_bytes: int = MAX_BYTES_PER_BATCH
-) -> list[tuple[str, str]]:
-    """Take in all files not seen before; returns the files that could not be read, with their errors.
-
-    ``checkpoint`` holds the ledger of files and the failures. Good and quarantined rows go to one
-    sink, partitioned by batch, state and event day, so both count at the same moment.
-    """
-    known = ledger.entries(spark, f"{checkpoint}/files", _FILES)
-    # One row per new file, as a file stream would also list them.
-    new = _listing(spark, source).join(known, "file", "left_anti").orderBy("file").collect()
-    failed = []
-    waiting = _groups(new, max_bytes)[::-1]
-    while waiting:
-        group = waiting.pop()
-        batch = uuid.uuid4().hex
-        try:
-            _store(labelled(read_events(spark, group)), f"{target}/batch_id={batch}")
-        except Exception as error:  # whatever the reader meets in a file
-            if len(group) == 1:
-                failed.append((group[0], cause(error)))
-            else:
-                waiting += [group[len(group) // 2 :], group[: len(group) // 2]]
-            continue
-        now = spark.sql("SELECT current_timestamp()").first()[0]
-        ledger.append(spark, f"{checkpoint}/files", [(f, batch, now) for f in group], _FILES)
-        ledger.append(spark, f"{target}/_batches", [(batch,)], "batch_id STRING")
-    if failed:
-        now = spark.sql("SELECT current_timestamp()").first()[0]
-        ledger.append(spark, f"{checkpoint}/failures", [(*f, now) for f in failed], _FAILURES)
-    return failed
+def _store(rows: DataFrame, path: str) -> None:
+    """A few files per state and day: the hint splits a large day over tasks and joins small ones."""
+    (
+        rows.hint("rebalance", "record_state", "event_date")
+        .write.mode("overwrite").partitionBy("record_state", "event_date")
+        .parquet(path)
+    )
 
 
 def follow(
     spark: SparkSession, source: str, target: str, checkpoint: str, max_bytes: int = MAX_BYTES_PER_BATCH, **trigger
 ) -> StreamingQuery:
-    """The same sink fed by a file stream, for sources whose files are known to be whole.
-
-    The query's checkpoint is the ledger of files. A batch that is repeated after a failure has the same
-    number and so replaces its first attempt. Files count as new whatever their age.
-    """
-    events = (
-        spark.readStream.schema(_SCHEMA)
-        .options(**_OPTIONS, **_LISTED, maxBytesPerTrigger=max_bytes, maxFileAge="36500d")
-        .json(source)
-    )
+    """Start the stream of new files into the sink; by default it ends when all files there are have been taken in."""
+    lines = _lines(spark.readStream, source, maxBytesPerTrigger=max_bytes, maxFileAge="36500d")
 
     def store(batch: DataFrame, number: int) -> None:
-        name = f"stream-{number:09d}"
-        _store(labelled(batch), f"{target}/batch_id={name}", mode="overwrite")
-        ledger.append(batch.sparkSession, f"{target}/_batches", [(name,)], "batch_id STRING")
+        first_time = labelled(batch).where(F.col("record_state") != REPAIRED)
+        _store(first_time, f"{target}/batch_id=stream-{number:09d}")
 
-    query = events.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    query = lines.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
     return query.trigger(**(trigger or {"availableNow": True})).start()
 
 
-def _store(events: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """A few files per state and day: the hint splits a large day over tasks and joins small ones."""
-    (
-        events.hint("rebalance", "record_state", "event_date")
-        .write.mode(mode).partitionBy("record_state", "event_date")
-        .parquet(path)
-    )
+def ingest(
+    spark: SparkSession, source: str, target: str, checkpoint: str, max_bytes: int = MAX_BYTES_PER_BATCH
+) -> list[tuple[str, str]]:
+    """Take in all files not seen before and those that could not be read before; returns the ones that still cannot, with their errors."""
+    earlier = [r.source_file for r in outstanding(spark, target).collect()]
+    if folders.exists(spark, source):
+        follow(spark, source, target, checkpoint, max_bytes).awaitTermination()
+    _try_again(spark, earlier, target)
+    return sorted((r.source_file, r.error) for r in outstanding(spark, target).collect())
 
 
-def failures(spark: SparkSession, checkpoint: str) -> DataFrame:
-    """Every failed attempt to read a file."""
-    return ledger.entries(spark, f"{checkpoint}/failures", _FAILURES)
+def _try_again(spark: SparkSession, files: list[str], target: str) -> None:
+    """One more batch of the files that failed, which also says which of them have been read now."""
+    there = [f for f in files if folders.exists(spark, f)]
+    if not there:
+        return
+    number = sum("/batch_id=again-" in path for path in _completed(spark, target))
+    zipped = spark.read.format("binaryFile").load(there)
+    _store(labelled(zipped.select("path", "content").mapInArrow(lines_or_error, ROWS)), f"{target}/batch_id=again-{number:09d}")
+
+
+def _completed(spark: SparkSession, target: str) -> list[str]:
+    return [mark.rpartition("/")[0] for mark in folders.matching(spark, f"{target}/batch_id=*/_SUCCESS")]
 
 
 def batches(spark: SparkSession, target: str) -> list[str]:
-    """Batches that count, oldest runs included."""
-    return sorted(r[0] for r in ledger.entries(spark, f"{target}/_batches", "batch_id STRING").distinct().collect())
-
-
-def _stored(spark: SparkSession, target: str, fields: list[T.StructField], chosen: list[str]) -> DataFrame:
-    schema = T.StructType(
-        [
-            *fields,
-            T.StructField("loaded_at", T.TimestampType()),
-            T.StructField("batch_id", T.StringType()),
-            T.StructField("record_state", T.StringType()),
-            T.StructField("event_date", T.DateType()),
-        ]
-    )
+    """Batches that count."""
+    return [path.rpartition("=")[2] for path in _completed(spark, target)]
+
+
+def stored(spark: SparkSession, target: str, chosen: list[str] | None = None) -> DataFrame:
+    """All rows of the batches that count, or of some of them, with their state."""
+    schema = T.StructType([*ORDER_EVENT.fields, *_ABOUT])
+    chosen = batches(spark, target) if chosen is None else chosen
     if not chosen:
         return spark.createDataFrame([], schema)
     paths = [f"{target}/batch_id={b}" for b in chosen]
     return spark.read.schema(schema).option("basePath", target).parquet(*paths)
 
 
+def _in_state(state: str) -> Column:
+    return F.col("record_state") == state
+
+
 def stream_table(spark: SparkSession, target: str, only: list[str] | None = None) -> DataFrame:
     """Good events taken in so far, or those of some batches; only their partitions are read."""
-    chosen = batches(spark, target) if only is None else only
-    stored = _stored(spark, target, ORDER_EVENT.fields, chosen)
-    return stored.where(F.col("record_state") == GOOD).drop("record_state", "batch_id")
+    good = stored(spark, target, only).where(_in_state(GOOD))
+    return good.select(*ORDER_EVENT.names, "loaded_at", "event_date", "batch_id")
 
 
 def quarantine(spark: SparkSession, target: str) -> DataFrame:
     """Text of the lines that could not be taken in."""
-    stored = _stored(spark, target, [T.StructField(CORRUPT, T.StringType())], batches(spark, target))
-    return stored.where(F.col("record_state") == QUARANTINED).select(
-        F.col(CORRUPT).alias("line"), "loaded_at"
+    return stored(spark, target).where(_in_state(QUARANTINED)).select(F.col(CORRUPT).alias("line"), "source_file", "loaded_at")
+
+
+def failures(spark: SparkSession, target: str) -> DataFrame:
+    """Every failed attempt to read a file."""
+    failed = stored(spark, target).where(_in_state(FAILED))
+    return failed.select("source_file", "error", F.col("loaded_at").alias("failed_at"), "batch_id")
+
+
+def outstanding(spark: SparkSession, target: str) -> DataFrame:
+    """Files that have not been read yet, with the newest error and the number of attempts."""
+    repaired = stored(spark, target).where(_in_state(REPAIRED)).select("source_file").distinct()
+    return (
+        failures(spark, target).join(repaired, "source_file", "left_anti")
+        .groupBy("source_file")
+        .agg(F.max_by("error", "failed_at").alias("error"), F.count(F.lit(1)).alias("attempts"))
     )

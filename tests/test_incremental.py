@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import os
+import threading
 from datetime import date
 
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ordermill.operators import incremental, staging
 from ordermill.plans import marts, pipeline
-from ordermill.sources import versions
+from ordermill.sources import catalog, versions
 
 KEYS = ["order_id", "order_item_id"]
 
@@ -154,32 +155,105 @@ def test_insert_if_absent_keeps_existing_rows(spark):
     assert rows(incremental.insert_if_absent(target, batch, ["k"])) == [("a", 1), ("b", 4)]
 
 
-def test_a_run_that_fails_before_the_swap_can_be_finished(spark, layer, monkeypatch):
+class Crash(Exception):
+    pass
+
+
+@pytest.mark.parametrize("after", [False, True])
+@pytest.mark.parametrize("step", ["following", "write_months", "take_over", "switch", "_let_go"])
+def test_one_row_per_key_whatever_step_a_crash_follows(spark, layer, monkeypatch, step, after):
+    """A run that breaks off changes all or nothing, and the next one, with a corrected order, leaves one row per key."""
     table = f"{layer}.fact_order_items"
-    orders = _orders(spark, ("a", "2020-01-01T10:00"), ("b", "2020-02-02T10:00"))
-    _refresh(spark, table, orders, _items(spark, ("a", 1, "1"), ("b", 1, "2")))
-    with monkeypatch.context() as broken:
-        def fail(*_):
-            raise OSError("lost")
+    orders = _orders(spark, ("1", "2020-01-01T10:00"), ("2", "2020-02-05T10:00"))
+    _refresh(spark, table, orders, _items(spark, ("1", 1, "1"), ("2", 1, "2")))
+    for turn in range(2):  # write_months stores the rows at its first call and the index at its second
+        with monkeypatch.context() as broken:
+            real, calls = getattr(versions, step), []
+
+            def fail(*args, **kwargs):
+                calls.append(1)
+                if len(calls) == 1 + (turn if step == "write_months" else 0):
+                    if after:
+                        real(*args, **kwargs)
+                    raise Crash
+                return real(*args, **kwargs)
+
+            broken.setattr(versions, step, fail)
+            with pytest.raises(Crash):
+                _refresh(spark, table, orders, _items(spark, ("1", 1, "1"), ("2", 1, "9")))
+        switched = step == "_let_go" or (step == "switch" and after)
+        assert _prices(spark, table) == [("1", 1, "1.00"), ("2", 1, "9.00" if switched else "2.00")]
+    moved = _orders(spark, ("1", "2020-01-01T10:00"), ("2", "2020-03-05T10:00"))
+    _refresh(spark, table, moved, _items(spark, ("1", 1, "1"), ("2", 1, "2")))
+    assert rows(spark.table(table), "order_id", "order_date_id", "part_month") == [
+        ("1", date(2020, 1, 1), "2020-01"), ("2", date(2020, 3, 5), "2020-03")
+    ]
 
-        broken.setattr(versions, "_point", fail)
-        with pytest.raises(OSError):
-            _refresh(spark, table, orders, _items(spark, ("a", 1, "1"), ("b", 1, "9"), ("b", 2, "8")))
-    assert _prices(spark, table) == [("a", 1, "1.00"), ("b", 1, "2.00")]
-    assert len(versions.versions(spark, table)) == 2
-    assert len(versions.resume(spark, table)) == 1 and versions.resume(spark, table) == []
-    assert _prices(spark, table) == [("a", 1, "1.00"), ("b", 1, "9.00"), ("b", 2, "8.00")]
+
+def _index(spark, table):
+    return spark.table(versions.keys_of(table, versions.current(spark, table)))
+
+
+def test_the_index_has_every_key_and_month_once(spark, layer):
+    table = f"{layer}.fact_order_items"
+    for run in range(6):
+        days = [("a", "2020-01-01T10:00"), ("b", "2020-02-02T10:00"), ("c", f"2020-0{2 + run % 3}-10T00:00"), ("n", None)]
+        triples = [(o, n, str(run + 1)) for o, _ in days for n in (1, 2)]
+        _refresh(spark, table, _orders(spark, *days), _items(spark, *triples))
+        assert rows(_index(spark, table)) == rows(spark.table(table).select("order_id", "part_month").distinct())
 
 
-def test_nothing_is_left_that_no_row_is_read_from(spark, layer):
+def test_only_two_versions_stay(spark, layer):
     table = f"{layer}.fact_order_items"
     orders = _orders(spark, ("a", "2020-01-01T10:00"), ("b", "2020-02-02T10:00"))
-    for price in ("1", "2", "3"):
+    for price in ("1", "2", "3", "4"):
         _refresh(spark, table, orders, _items(spark, ("a", 1, "1"), ("b", 1, price)))
-    folders = {f.rsplit("/", 1)[0].rsplit("_versions/", 1)[1] for f in spark.table(table).inputFiles()}
+    names = {t.name for t in spark.catalog.listTables(layer)}
+    assert names == {"fact_order_items", *(f"fact_order_items__{kind}v{n}" for kind in ("", "keys_") for n in (3, 4))}
     home = versions.home(spark, table).removeprefix("file:")
-    stored = {f"{v}/{p}" for v in versions.versions(spark, table) for p in os.listdir(f"{home}/{v}") if "=" in p}
-    assert stored == folders and len(folders) == 2
+    stored = {(v, p) for v in os.listdir(home) for p in os.listdir(f"{home}/{v}/data") if "=" in p}
+    assert stored == {("v1", "part_month=2020-01"), ("v3", "part_month=2020-02"), ("v4", "part_month=2020-02")}
+    assert len(spark.table(table).inputFiles()) == 2
+    assert rows(spark.table(versions.named(table, 3)), "price")[1] == (money("3"),)
+
+
+def test_a_failed_replacement_leaves_the_old_rows(spark, layer):
+    table = f"{layer}.numbers"
+    catalog.publish_table(spark.range(5).toDF("n"), table)
+    bad = spark.range(5).select(F.when(F.col("id") == 3, F.raise_error(F.lit("no"))).otherwise(F.col("id")).alias("other"))
+    with pytest.raises(PySparkException):
+        catalog.publish_table(bad, table)
+    assert rows(spark.table(table), "n") == [(i,) for i in range(5)]
+    catalog.publish_table(spark.table(table).selectExpr("n * 2 AS doubled"), table)
+    assert rows(spark.table(table), "doubled") == [(2 * i,) for i in range(5)]
+
+
+def test_a_reader_never_misses_the_table(spark, layer):
+    table = f"{layer}.numbers"
+    catalog.publish_table(spark.range(10).toDF("n"), table)
+    seen, done = [], threading.Event()
+
+    def read():
+        while not done.is_set():
+            try:
+                seen.append(tuple(spark.table(table).selectExpr("count(*)", "min(n)", "max(n)").first()))
+            except Exception as error:  # noqa: BLE001
+                seen.append(repr(error)[:300])
+
+    reader = threading.Thread(target=read)
+    reader.start()
+    for i in range(1, 6):
+        catalog.publish_table(spark.range(10 * i, 10 * i + 10).toDF("n"), table)
+    done.set()
+    reader.join()
+    assert len(seen) > 5 and set(seen) <= {(10, 10 * i, 10 * i + 9) for i in range(6)}
+
+
+def test_a_table_made_by_other_means_is_taken_over(spark, layer):
+    table = f"{layer}.numbers"
+    spark.range(3).toDF("n").write.saveAsTable(table)
+    catalog.publish_table(spark.table(table).selectExpr("n + 1 AS n"), table)
+    assert rows(spark.table(table), "n") == [(1,), (2,), (3,)] and versions.current(spark, table) == 1
 
 
 def test_keys_are_looked_up_without_a_shuffle_of_the_index(spark, layer):

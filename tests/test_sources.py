@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ordermill.schemas import RAW
 from ordermill.session import fresh_path, shared_folder
-from ordermill.sources import catalog, csv, lake, rates
+from ordermill.sources import catalog, csv, lake, rates, versions
 
 
 def test_csv_text_and_leading_zeros_survive(spark, tmp_path):
@@ -51,6 +51,24 @@ def test_load_replaces_what_was_there(spark, layer, tmp_path):
     assert rows(catalog.source(spark, "sellers", layer), "seller_id") == [("s3",)]
 
 
+def test_a_failed_load_keeps_the_old_rows(spark, layer, tmp_path):
+    path = tmp_path / "payments.csv"
+    head = ",".join(RAW["payments"].names) + "\n"
+    path.write_text(head + "o,1,x,1,2.00\n")
+    csv.load_table(spark, str(path), "payments", layer)
+    path.write_text(head + "o,1,x,one,2.00\n")
+    with pytest.raises(Exception, match="one"):
+        csv.load_table(spark, str(path), "payments", layer)
+    assert rows(catalog.source(spark, "payments", layer), "order_id", "payment_installments") == [("o", 1)]
+
+
+def test_tables_with_free_text_are_an_argument(spark, layer, tmp_path):
+    path = tmp_path / "geolocation.csv"
+    path.write_text(",".join(RAW["geolocation"].names) + '\n1,2.0,3.0,"first\nsecond",SP\n')
+    csv.load_table(spark, str(path), "geolocation", layer, free_text=frozenset({"geolocation"}))
+    assert catalog.source(spark, "geolocation", layer).first().geolocation_city == "first\nsecond"
+
+
 def test_csv_append(spark, tmp_path):
     path = str(tmp_path / "sellers")
     one = raw_rows(spark, "sellers", {"seller_id": "s"})
@@ -89,7 +107,7 @@ def test_create_layers_and_empty_table(spark, tmp_path):
 
 def test_statistics_are_refreshed(spark, layer):
     catalog.publish_table(raw_rows(spark, "sellers", {"seller_id": "s"}), f"{layer}.s", ["seller_id"])
-    described = spark.sql(f"DESCRIBE EXTENDED {layer}.s").where("col_name = 'Statistics'").first()
+    described = spark.sql(f"DESCRIBE EXTENDED {versions.named(f'{layer}.s', 1)}").where("col_name = 'Statistics'").first()
     assert "1 rows" in described.data_type
 
 
