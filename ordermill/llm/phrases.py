@@ -7,9 +7,10 @@ interval in each; a backward step in one adds a word on the left and in the othe
 every phrase of up to ``DEPTH`` words comes with its count in the shard, and shard counts are summed.
 
 Only phrases found ``least`` times in all can matter, and a phrase is never more frequent than its parts. Shards therefore extend
-only words, and then pairs, that passed that limit. They are told by a bit table of fixed size (``FILTER_BITS``): it may let others through, which then
-fail the limit themselves, but never holds one back. Its size bounds what is broadcast, not what is counted; where
-it fills up, more phrases are shuffled and the result is the same.
+only words, then pairs, then triples that passed that limit. They are told by a bit table of fixed size for each length (``FILTER_BITS``): it may let
+others through, which then fail the limit themselves, but never holds one back. Its size bounds what is broadcast, not what is counted; where
+it fills up, more phrases are shuffled and the result is the same. While lengths are sifted, phrases are summed by 64-bit keys; the
+texts of those that pass are summed once more, exactly.
 
 A candidate is a phrase of two words or more found ``least`` times. Each cut into two parts found l and r times gives
 ``scale * a // (l + r)``, exact beyond 64 bits, and the lowest is its score (ties: the shortest first part). It is dropped if some longer candidate that holds
@@ -22,7 +23,7 @@ phrase in byte order. Repeated rows count each. Other columns are left alone; an
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -41,15 +42,17 @@ COVERED = 80
 SCALE = 2_000_000
 FIRST = 2000
 SHARD_WORDS = 1 << 19
-#: Bits of the table of frequent words or pairs; a power of two. 2 MB.
+#: Bits of the table of the frequent phrases of one length; a power of two. 2 MB.
 FILTER_BITS = 1 << 24
 #: Shards of a Parquet row group.
 GROUP = 2
-#: Phrases that are hashed at once.
+#: Words that are hashed at once.
 AT_ONCE = 1 << 15
 #: Parts that a language's ranking is spread over.
 SPREAD = 64
 
+_NEXT = np.uint64(0x9E3779B97F4A7C15)
+_LANG = np.uint64(0xD6E8FEB86659FD93)
 _BREAKS = np.zeros(256, bool)
 _BREAKS[[ord(c) for c in ".,;:!?"]] = True
 _BREAKS[0x0A:0x0E] = True
@@ -151,21 +154,25 @@ def _indexed(shard_words: int):
     return made
 
 
+@dataclass
 class Phrases:
-    """Phrases of one length in a shard: their interval in both transforms and their words."""
+    """Phrases of one length in a shard: their interval in both transforms, the numbers of their words, and a hash of these words."""
 
-    def __init__(self, left: np.ndarray, right: np.ndarray, size: np.ndarray, text: pa.Array):
-        self.left, self.right, self.size, self.text = left, right, size, text
+    left: np.ndarray
+    right: np.ndarray
+    size: np.ndarray
+    words: np.ndarray  # one row per phrase
+    value: np.ndarray
 
     def where(self, chosen: np.ndarray) -> Phrases:
-        return Phrases(self.left[chosen], self.right[chosen], self.size[chosen], self.text.filter(pa.array(chosen)))
+        return Phrases(self.left[chosen], self.right[chosen], self.size[chosen], self.words[chosen], self.value[chosen])
 
 
 class Index:
     """Bidirectional search over one shard."""
 
     def __init__(self, words: pa.Array, counts: np.ndarray, left: bytes, right: bytes):
-        self.words = words
+        self.words, self.hashes = words, word_hashes(words)
         self.before = {"left": np.frombuffer(left, np.int32), "right": np.frombuffer(right, np.int32)}
         self.counts = counts.astype(np.int64)
         self.step: dict[str, np.ndarray] = {}
@@ -174,7 +181,7 @@ class Index:
         """All words: their intervals follow the one of the separator in both transforms."""
         separators = len(self.before["left"]) - int(self.counts.sum())
         begin = separators + np.concatenate(([0], np.cumsum(self.counts)[:-1])).astype(np.int64)
-        return Phrases(begin, begin, self.counts, self.words)
+        return Phrases(begin, begin, self.counts, np.arange(len(self.counts), dtype=np.int32)[:, None], self.hashes)
 
     def _rows(self, side: str) -> np.ndarray:
         """Row that a backward step leads to from each row."""
@@ -207,80 +214,90 @@ class Index:
         alive = np.cumsum(alive) > 0
         good = (added > 0) & alive[to]
         owner, added, to, there, size = (x[good] for x in (owner, added, to, there, size))
-        word, text = self.words.take(pa.array(added - 1)), phrases.text.take(pa.array(owner))
-        both = (word, text) if side == "left" else (text, word)
-        joined = pc.binary_join_element_wise(*both, " ")
-        return Phrases(to, there, size, joined) if side == "left" else Phrases(there, to, size, joined)
-
-
-def _hashes(lang: str, phrases: pa.Array, bits: int) -> np.ndarray:
-    """Bit of each phrase of a language, the same in every task."""
-    lead = pa.scalar(f"{lang}\n")
-    found = [np.zeros(0, np.int64)]
-    for begin in range(0, len(phrases), AT_ONCE):
-        data, offsets = raw(pc.binary_join_element_wise(lead, phrases.slice(begin, AT_ONCE), ""))
+        one, words, value = added - 1, phrases.words[owner], phrases.value[owner]
+        if side == "left":
+            return Phrases(to, there, size, np.column_stack([one, words]), self.hashes[one] + _NEXT * value)
+        power = np.uint64(pow(int(_NEXT), words.shape[1], 1 << 64))
+        return Phrases(there, to, size, np.column_stack([words, one]), value + power * self.hashes[one])
+
+    def texts(self, phrases: Phrases) -> pa.Array:
+        """The words of every phrase, joined by a blank."""
+        parts = [self.words.take(pa.array(column)) for column in phrases.words.T]
+        return pc.binary_join_element_wise(*parts, " ")
+
+
+def word_hashes(words: pa.Array) -> np.ndarray:
+    """64 bits of every word, the same in every task."""
+    found = [np.zeros(0, np.uint64)]
+    for begin in range(0, len(words), AT_ONCE):
+        data, offsets = raw(words.slice(begin, AT_ONCE))
         size = np.diff(offsets)
         place = np.arange(len(data)) - np.repeat(offsets[:-1], size)
-        value = np.add.reduceat(_BYTE[data] * _powers(int(size.max()))[place], offsets[:-1])
-        found.append((mixed(value) & np.uint64(bits - 1)).astype(np.int64))
+        value = _BYTE[data] * _powers(int(size.max()))[place]
+        found.append(mixed(np.add.reduceat(value, offsets[:-1]) + size.astype(np.uint64)))
     return np.concatenate(found)
 
 
-def _set_bits(table_bits: int):
-    """One row per 64-bit word of the table that has a bit of this batch."""
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            langs = batch.column("lang")
-            for lang in pc.unique(langs).to_pylist():
-                bit = _hashes(lang, batch.filter(pc.equal(langs, lang)).column("phrase"), table_bits)
-                at, which = np.unique(bit >> 6, return_inverse=True)
-                bits = np.zeros(len(at), np.uint64)
-                np.bitwise_or.at(bits, which, np.uint64(1) << (bit & 63).astype(np.uint64))
-                yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(bits.view(np.int64))], names=["at", "bits"])
+def _keys(lang: str, value: np.ndarray) -> np.ndarray:
+    """Key that a phrase of a language is counted by before its text is known to matter."""
+    return mixed(value + _LANG * word_hashes(pa.array([lang + " "]))).view(np.int64)
 
-    return made
 
+def _word_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        langs = batch.column("lang")
+        for lang in pc.unique(langs).to_pylist():
+            some = batch.filter(pc.equal(langs, lang)).column("phrase")
+            yield pa.RecordBatch.from_arrays([pa.array(_keys(lang, word_hashes(some)))], names=["key"])
 
-def _table(frequent: DataFrame, bits: int) -> np.ndarray:
-    """Bit table of the frequent phrases: a fixed size, whatever their number."""
-    set_ = frequent.select("lang", "phrase").mapInArrow(_set_bits(bits), "at long, bits long")
-    found = set_.groupBy("at").agg(F.bit_or("bits").alias("bits")).toArrow()
+
+def _table(keys: DataFrame, bits: int) -> np.ndarray:
+    """Bit table of the frequent phrases' keys: a fixed size, whatever their number."""
+    at = F.expr(f"shiftright(key & {bits - 1}L, 6)").alias("at")
+    found = keys.groupBy(at).agg(F.bit_or(F.expr("shiftleft(1L, cast(key & 63L as int))")).alias("bits")).toArrow()
     table = np.zeros(bits // 64, np.uint64)
     table[found.column("at").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
     return table
 
 
 def _passing(lang: str, phrases: Phrases, table: np.ndarray) -> Phrases:
-    bit = _hashes(lang, phrases.text, 64 * len(table))
+    bit = _keys(lang, phrases.value) & (64 * len(table) - 1)
     return phrases.where((table[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1)) == 1)
 
 
-def _extensions(tables: list):
-    """Counts of the pairs of frequent words; with a second table, of the longer phrases made of frequent pairs."""
+def _levels(batch: pa.RecordBatch, tables: list) -> Iterator[tuple[Index, str, int, Phrases]]:
+    """Phrases of 2 words up to one more than there are tables, made of phrases that pass theirs, for every shard of a batch."""
+    for i in range(batch.num_rows):
+        lang = batch.column("lang")[i].as_py()
+        words, counts = (batch.column(c)[i].values for c in ("words", "counts"))
+        index = Index(words, counts.to_numpy(), *(batch.column(c)[i].as_buffer() for c in ("left", "right")))
+        found = index.single()
+        for size, table in enumerate(tables, 2):
+            found = index.extended(_passing(lang, found, table.value), "right" if size % 2 else "left")
+            yield index, lang, size, found
+
+
+def _counted_keys(tables: list):
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for i in range(batch.num_rows):
-                lang = batch.column("lang")[i].as_py()
-                words, counts = (batch.column(c)[i].values for c in ("words", "counts"))
-                index = Index(words, counts.to_numpy(), *(batch.column(c)[i].as_buffer() for c in ("left", "right")))
-                found = index.extended(_passing(lang, index.single(), tables[0].value), "left")
-                if len(tables) == 1:
-                    yield _counted(lang, found, 2)
-                    continue
-                found = _passing(lang, found, tables[1].value)
-                for size in range(3, DEPTH + 1):
-                    found = index.extended(found, "right" if size % 2 else "left")
-                    yield _counted(lang, found, size)
+            for _, lang, size, found in _levels(batch, tables):
+                if size == len(tables) + 1:
+                    yield pa.RecordBatch.from_arrays([pa.array(_keys(lang, found.value)), pa.array(found.size)], names=["key", "f"])
 
     return made
 
 
-def _counted(lang: str, found: Phrases, size: int) -> pa.RecordBatch:
-    n = len(found.size)
-    return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * n, pa.string()), found.text.cast(pa.string()), pa.array(np.full(n, size, np.int32)), pa.array(found.size)],
-        schema=_COUNTED,
-    )
+def _counted_phrases(tables: list):
+    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for index, lang, size, found in _levels(batch, tables):
+                if size <= len(tables):
+                    found = _passing(lang, found, tables[size - 1].value)
+                n = len(found.size)
+                columns = [pa.array([lang] * n, pa.string()), index.texts(found).cast(pa.string()), pa.array(np.full(n, size, np.int32)), pa.array(found.size)]
+                yield pa.RecordBatch.from_arrays(columns, schema=_COUNTED)
+
+    return made
 
 
 def _indexes(narrow: DataFrame, shard_words: int) -> DataFrame:
@@ -309,13 +326,16 @@ def frequent_phrases(
         "lang", F.col("w.words").alias("phrase"), F.col("w.counts").cast("long").alias("f")
     )
     totals = single.groupBy("lang").agg(F.sum("f").alias("n"))
-    parts = [kept(summed(single, F.lit(1)), "words")]
-    tables: list = []
-    for label in ("pairs", "longer"):
-        tables.append(spark.sparkContext.broadcast(_table(parts[-1], filter_bits)))
-        counted = index.mapInArrow(_extensions(list(tables)), "lang string, phrase string, size int, f long")
-        parts.append(kept(summed(counted, F.col("size")), label))
-    return reduce(DataFrame.union, parts), totals
+    words = kept(summed(single, F.lit(1)), "words")
+    keys, tables = words.select("lang", "phrase").mapInArrow(_word_keys, "key long"), []
+    while True:
+        tables.append(spark.sparkContext.broadcast(_table(keys, filter_bits)))
+        if len(tables) == DEPTH - 1:
+            break
+        counted = index.mapInArrow(_counted_keys(list(tables)), "key long, f long")
+        keys = counted.groupBy("key").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
+    longer = index.mapInArrow(_counted_phrases(tables), "lang string, phrase string, size int, f long")
+    return words.union(kept(summed(longer, F.col("size")), "longer")), totals
 
 
 def _whole(name: str) -> Column:

@@ -104,12 +104,15 @@ def test_index_counts_every_extension(seed):
             words = re.findall(r"[^\x20\x09]+", piece)
             for n in range(1, 5):
                 counts.update(" ".join(words[i : i + n]) for i in range(len(words) - n + 1))
+    values = {}
     for sides in ("left left left", "right right right", "left right left", "right left right"):
         at = index.single()
-        got = dict(zip(at.text.to_pylist(), at.size.tolist()))
+        got = dict(zip(index.texts(at).to_pylist(), at.size.tolist()))
         for side in sides.split():
             at = index.extended(at, side)
-            got.update(zip(at.text.to_pylist(), at.size.tolist()))
+            got.update(zip(index.texts(at).to_pylist(), at.size.tolist()))
+            values.setdefault(at.words.shape[1], {}).update(zip(index.texts(at).to_pylist(), at.value.tolist()))
+            assert all(values[k][t] == v for k in values for t, v in zip(index.texts(at).to_pylist(), at.value.tolist()) if t in values[k])
         assert got == counts
 
 
