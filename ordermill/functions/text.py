@@ -6,16 +6,6 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def joined_distinct(column: Column, separator: str = ",") -> Column:
-    """Aggregate: distinct non-NULL values in byte order, joined; NULL if there are none.
-
-    The set is built map-side, so a group that holds much of the table still sends only
-    one short row per task.
-    """
-    values = F.collect_set(column)
-    return F.when(F.size(values) > 0, F.array_join(F.array_sort(values), separator))
-
-
 def seeded_digest(seed: str, key: Column) -> Column:
     """Hex digest of seed and key: repeatable, and evenly spread over its values."""
     return F.sha2(F.concat(F.lit(seed), key), 256)

@@ -579,9 +579,17 @@ _STORED = {
 _STORED["dim_date"] = _STORED["dim_date"].replace("min(o_orderdate)::DATE", "DATE '1995-01-01'").replace(
     "max(o_orderdate)::DATE", "DATE '2002-12-31'").replace("AS d FROM orders)", "AS d)")
 _STORED["dim_geolocation"] = f"SELECT zip_code_prefix, city, state FROM ({_STORED['dim_geolocation']})"
-ORACLES["pipeline_build"] = " UNION ALL ".join(
-    f"""SELECT '{name}' AS table_name, count(*) AS "rows",
-               sum(('0x' || substr(md5(concat_ws('|', *COLUMNS(*))), 1, 8))::BIGINT)::BIGINT AS checksum
-        FROM ({statement})"""
-    for name, statement in _STORED.items()
-)
+
+
+def _summed(statements: dict[str, str]) -> str:
+    return " UNION ALL ".join(
+        f"""SELECT '{name}' AS table_name, count(*) AS "rows",
+                   sum(('0x' || substr(md5(concat_ws('|', *COLUMNS(*))), 1, 8))::BIGINT)::BIGINT AS checksum
+            FROM ({statement})"""
+        for name, statement in statements.items()
+    )
+
+
+ORACLES["pipeline_build"] = _summed(_STORED)
+_VIEWS = {name: statement for name, statement in ORACLES.items() if name.startswith("stg_")}
+ORACLES["staging_views"] = _summed(_VIEWS)

@@ -11,12 +11,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from ..operators import incremental, quality
-from ..operators.staging import STAGING, stage, stg_orders_payments
+from ..operators.staging import STAGING, stage, stg_orders_payments, view_statements
 from ..schemas import ORDER_EVENT
 from ..sources import versions
 from ..sources.catalog import (
-    MARTS_LAYER, RAW_LAYER, REQUIRED_RAW_TABLES, STAGING_LAYER, create_if_absent, layer_for, publish_table,
-    publish_view, require_tables, source, store_raw, table_in,
+    MARTS_LAYER, RAW_LAYER, REQUIRED_RAW_TABLES, STAGING_LAYER, create_if_absent, create_layers, layer_for,
+    publish_sql_view, publish_table, publish_view, require_tables, source, store_raw, table_in,
 )
 from ..streaming import ingest
 from . import marts
@@ -46,10 +46,21 @@ def staging_models(raw: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def build_staging(raw: dict[str, DataFrame], layer: str = STAGING_LAYER) -> dict[str, DataFrame]:
-    """Register the staging models as views under the name of their layer; they hold no data of their own."""
+    """Register the staging models of any DataFrames as views of this session, under the name of their layer."""
     return {name: publish_view(df, f"{layer}__{name}") for name, df in staging_models(raw).items()}
 
 
+def staging_views(spark: SparkSession, raw_layer: str = RAW_LAYER, layer: str = STAGING_LAYER) -> dict[str, DataFrame]:
+    """The staging models over the stored raw tables as views in the catalog, which every session can read by name.
+
+    They hold no data of their own, so they show what the raw tables hold at the time of reading.
+    """
+    create_layers(spark, layer)
+    for name, statement in view_statements(raw_layer, layer).items():
+        publish_sql_view(spark, table_in(layer, name), statement)
+    return {name: spark.table(table_in(layer, name)) for name in view_statements(raw_layer, layer)}
+
+
 def load_stream(spark: SparkSession, source: str, target: str, checkpoint: str, layer: str = RAW_LAYER) -> list:
     """Take new event files in and append their good rows to the stream table of the raw layer.
 
@@ -164,7 +175,8 @@ def run(
 ) -> dict[str, DataFrame]:
     """Build everything; failing staging checks stop the run before the marts are touched.
 
-    With a raw layer, its tables must be there before anything else happens. ``stream`` (source, target and
+    With a raw layer, its tables must be there before anything else happens, and the staging views go into the
+    catalog; without one they are views of this session over ``raw``. ``stream`` (source, target and
     checkpoint of the events) is then loaded into that layer before the staging views are made.
     """
     if raw_layer is not None:
@@ -173,7 +185,8 @@ def run(
         require_tables(spark, REQUIRED_RAW_TABLES if stream else tuple(raw), raw_layer)
         if stream:
             load_stream(spark, *stream, raw_layer)
-    staged = build_staging(raw, layer_for(staging_layer, STAGING_LAYER))
+    staging_layer = layer_for(staging_layer, STAGING_LAYER)
+    staged = build_staging(raw, staging_layer) if raw_layer is None else staging_views(spark, raw_layer, staging_layer)
     quality.gate(quality.report(staged, STAGING_CHECKS))
     stored = build_marts(spark, staged, layer, first_day, last_day, full_refresh)
     checked = {c.model for c in MARTS_CHECKS}

@@ -40,6 +40,12 @@ def publish_view(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.table(name)
 
 
+def publish_sql_view(spark: SparkSession, name: str, statement: str) -> None:
+    """A view in the catalog; one that is there is redefined in a single step."""
+    there = spark.catalog.tableExists(name)
+    spark.sql(f"ALTER VIEW {name} AS {statement}" if there else f"CREATE VIEW {name} AS {statement}")
+
+
 def publish_table(df: DataFrame, table: str, sort_by: list[str] | None = None) -> DataFrame:
     """Replace a table's contents in one step and refresh its statistics."""
     if sort_by:
