@@ -1,26 +1,36 @@
-"""Token ids of many texts with a given tokenizer file.
+"""Token ids of many texts with a given byte-level tokenizer file.
 
 A text is cut at every single blank between two characters that are not white space. Byte-level tokenizers
 start a new piece there whatever stands around it, so the ids of the parts, put together, are those of the
-whole text; each different part is encoded once and remembered.
+whole text; each different part is encoded once and remembered. Parts are found and told apart as bytes; new ones that
+are cut on both sides are encoded many at a time as one text, whose ids fall to the parts by the bytes they stand for.
 """
 
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from tokenizers import Tokenizer
 
+from .batches import _BYTE, _powers, mixed, raw
+
 #: File of the byte-level vocabulary that the queries use, by its name in the package of public tokenizers.
 BYTE_BPE = "byte_bpe_50k.json"
-_CUT = re.compile(r"(?<=\S)(?= \S)")
-REMEMBERED = 60_000
+#: Parts that are remembered before all are forgotten, about 100 MB.
+REMEMBERED = 400_000
 #: Parts encoded at once; an encoding is far larger than its ids.
 AT_ONCE = 1_000
 
+_TURN = np.uint64(0x9E3779B97F4A7C15)
+# Bytes that a character next to a cut may start with: neither white space nor the lead of a character that may be.
+_FIRM = np.ones(256, bool)
+_FIRM[:0x21] = _FIRM[0x7F] = False
+_FIRM[0x80:0xC0] = False
+_FIRM[[0xC2, 0xE1, 0xE2, 0xE3]] = False
+
 
 def public_path(name: str = BYTE_BPE) -> str:
     import public_tokenizers
@@ -28,6 +38,18 @@ def public_path(name: str = BYTE_BPE) -> str:
     return public_tokenizers.path(name)
 
 
+def _cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+    """Places of the blanks at which a text is cut."""
+    at = np.flatnonzero(data[1:-1] == 0x20) + 1
+    lead = at - 1
+    for _ in range(3):  # back to the first byte of the character before
+        inner = (data[lead] >= 0x80) & (data[lead] < 0xC0) & (lead > 0)
+        lead = lead - inner
+    edge = np.zeros(len(data) + 1, bool)
+    edge[offsets] = True
+    return at[_FIRM[data[lead]] & _FIRM[data[at + 1]] & ~edge[at] & ~edge[at + 1]]
+
+
 class Encoder:
     """Encodes lists of texts; remembers up to ``REMEMBERED`` parts, then starts afresh."""
 
@@ -35,6 +57,9 @@ class Encoder:
         # Spark runs one encoder per core; threads of its own would only add memory.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
+        added = {i: len(t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
+        size = max(self.tokenizer.get_vocab_size(), *(i + 1 for i in added), 1)
+        self.bytes_of = np.array([added[i] if i in added else len(self.tokenizer.id_to_token(i) or "") for i in range(size)])
         self._forget()
 
     @property
@@ -43,30 +68,72 @@ class Encoder:
         return 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
 
     def _forget(self) -> None:
-        self.known: dict[str, int] = {}
+        self.known: dict[bytes, int] = {}
         self.ids: list[bytes] = []
 
+    def _learn(self, parts: list[bytes]) -> None:
+        """Encode parts one by one."""
+        for begin in range(0, len(parts), AT_ONCE):
+            some = parts[begin : begin + AT_ONCE]
+            for x, found in zip(some, self.tokenizer.encode_batch_fast([p.decode() for p in some], add_special_tokens=False)):
+                self.known[x] = len(self.ids)
+                self.ids.append(np.array(found.ids, np.uint32).tobytes())
+
+    def _learn_inner(self, parts: list[bytes]) -> None:
+        """Encode parts that are cut on both sides, many as one text."""
+        for begin in range(0, len(parts), AT_ONCE):
+            some = parts[begin : begin + AT_ONCE]
+            ids = np.array(self.tokenizer.encode_batch_fast([b"".join(some).decode()], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.cumsum([len(p) for p in some])
+            reached = np.cumsum(self.bytes_of[ids])
+            last = np.searchsorted(reached, ends)
+            if not len(reached) or reached[-1] != ends[-1] or (reached[last] != ends).any():
+                self._learn(some)  # a tokenizer that changes texts, or joins over a cut
+                continue
+            packed = ids.tobytes()
+            cut = [0, *((last + 1) * 4).tolist()]
+            for x, b, e in zip(some, cut, cut[1:]):
+                self.known[x] = len(self.ids)
+                self.ids.append(packed[b:e])
+
     def encode(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all texts one after the other, and the number of ids of each; null is empty."""
-        parts = [_CUT.split(t) if t else [] for t in texts]
-        counts = np.array([len(p) for p in parts], np.int64)
-        flat = [x for p in parts for x in p]
-        if not flat:
+        data, offsets = raw(pa.array(texts, pa.large_string()))
+        if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        codes, different = pd.factorize(np.array(flat, dtype=object))
+        cuts = _cuts(data, offsets)
+        heads = offsets[:-1][offsets[:-1] < offsets[1:]]
+        starts = np.sort(np.concatenate([heads, cuts]))
+        ends = np.append(starts[1:], len(data))
+        codes, first = _different(data, starts, ends)
+        inner = np.isin(starts[first], cuts, assume_unique=True) & np.isin(ends[first], cuts)
+        held = data.tobytes()
+        different = [held[b:e] for b, e in zip(starts[first].tolist(), ends[first].tolist())]
         if len(self.known) + len(different) > REMEMBERED:
             self._forget()
-        new = [x for x in different if x not in self.known]
-        for begin in range(0, len(new), AT_ONCE):
-            some = new[begin : begin + AT_ONCE]
-            for x, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[x] = len(self.ids)
-                self.ids.append(np.array(found.ids, np.uint32).tobytes())
+        new = [(x, i) for x, i in zip(different, inner.tolist()) if x not in self.known]
+        self._learn_inner([x for x, i in new if i])
+        self._learn([x for x, i in new if not i])
         own = [self.ids[self.known[x]] for x in different]
         sizes = np.array([len(x) // 4 for x in own], np.int64)
         begins = np.concatenate(([0], np.cumsum(sizes)[:-1]))
         each = sizes[codes]
         place = np.arange(each.sum()) - np.repeat(np.cumsum(each) - each, each)
         ids = np.frombuffer(b"".join(own), np.uint32)[np.repeat(begins[codes], each) + place]
-        owner = np.repeat(np.arange(len(texts)), counts)
+        owner = np.searchsorted(offsets, starts, side="right") - 1
         return ids, np.bincount(owner, weights=each, minlength=len(texts)).astype(np.int64)
+
+
+def _different(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the content of each part, and the first part with each content."""
+    size = ends - starts
+    place = np.arange(starts[0], len(data)) - np.repeat(starts, size)
+    value = _BYTE[data[starts[0] :]] * _powers(int(size.max()))[place]
+    one = mixed(np.add.reduceat(value, starts - starts[0]) + size.astype(np.uint64))
+    _, first, codes = np.unique(one, return_index=True, return_inverse=True)
+    two = np.add.reduceat(value * _powers(int(size.max()) + 1)[place + 1], starts - starts[0]) * _TURN + size.astype(np.uint64)
+    if (two[first[codes]] != two).any():  # two contents with one hash
+        held = data.tobytes()
+        codes, _ = pd.factorize(np.array([held[b:e] for b, e in zip(starts.tolist(), ends.tolist())], dtype=object))
+        _, first = np.unique(codes, return_index=True)
+    return codes, first

@@ -74,3 +74,19 @@ def test_edge_cases(spark, tmp_path):
 def test_empty_table(spark, tmp_path):
     folder = tokenbin.write(docs(spark), f"{tmp_path}/set")
     assert tokenbin.checksums(spark, folder, tokenbin.keys_of(spark, folder)).collect() == []
+
+
+ODD = [
+    "a  b", "x  y z", "  a b", "\u00e9 \u00e8 \u00fc a", " lead and trail ", "tab\t x y", "\x85 b c", "a\u00a0 b c", "a \u3000b c", "one", "", None,
+    "<|endoftext|> a <|endoftext|>", "line\n next word", "\u65e5\u672c \u8a9e x", "\U0001f389 party \U0001f389 x", "a\x1c b\x1f c", "word " * 3000,
+]
+
+
+@pytest.mark.parametrize("remembered", [1, 400_000])
+def test_ids_of_odd_texts_and_of_texts_seen_before(monkeypatch, remembered):
+    monkeypatch.setattr(tokens, "REMEMBERED", remembered)
+    encoder = tokens.Encoder(tokens.public_path())
+    for texts in (ODD, ODD[::-1], [" ".join(x or "" for x in ODD)], [None, ""], []):
+        ids, counts = encoder.encode(texts)
+        plain = [encoder.tokenizer.encode(x or "", add_special_tokens=False).ids for x in texts]
+        assert counts.tolist() == [len(p) for p in plain] and ids.tolist() == [i for p in plain for i in p]
