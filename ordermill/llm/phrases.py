@@ -41,7 +41,7 @@ LEAST = 30
 COVERED = 80
 SCALE = 2_000_000
 FIRST = 2000
-SHARD_WORDS = 1 << 19
+SHARD_WORDS = 1 << 21
 #: Bits of the table of the frequent phrases of one length; a power of two. 2 MB.
 FILTER_BITS = 1 << 24
 #: Shards of a Parquet row group.
