@@ -546,6 +546,12 @@ ORACLES: dict[str, str] = {
                               THEN 'quarantined' ELSE 'good' END AS state
         FROM order_events"""),
     "stream_enrich": _statement("SELECT * FROM enriched"),
+    "column_statistics": _statement(" UNION ALL ".join(
+        f"""SELECT '{c}' AS column_name, {f'min({c})::VARCHAR' if shown else 'NULL::VARCHAR'} AS min,
+                   {f'max({c})::VARCHAR' if shown else 'NULL::VARCHAR'} AS max,
+                   count(*) FILTER ({c} IS NULL) AS nulls, count(DISTINCT {c}) AS n_distinct, TRUE AS near FROM fact_order_items"""
+        for c, shown in (("order_id", False), ("order_item_id", True), ("order_date_id", True), ("price", True))
+    )),
     "stream_bad_files": _statement("""
         SELECT run, 'events' AS what, payment_type AS name, count(*) AS n
         FROM order_events, (VALUES (1), (2)) runs(run)

@@ -23,6 +23,8 @@ FIRST_DAY, LAST_DAY = date(1995, 1, 1), date(2002, 12, 31)
 # Scenario values: last day of a first load, the orders sampled, one API response.
 FIRST_LOAD_UNTIL = datetime(2000, 1, 1)
 SAMPLED_STATUS, SAMPLE_SIZE, SAMPLE_SEED = "delivered", 100, "clone"
+# Columns whose statistics are gathered, and how far an estimate may be off: over three standard errors of the sketch.
+STATISTICS_OF, ESTIMATE_WITHIN = ("order_id", "order_item_id", "order_date_id", "price"), 0.16
 # Event files of the bad-file scenario, and those of them that are cut off.
 EVENT_SLOTS, CUT_SLOTS = 16, (3, 5)
 STREAM_COLUMNS = (
@@ -217,6 +219,17 @@ def full_refresh(spark: SparkSession, sf: str) -> DataFrame:
     return catalog.publish_table(customers, table)
 
 
+def column_statistics(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics of the stored order-item fact; the estimate of different values is held against the exact number."""
+    table = f"{_fresh_layer(spark, 'marts')}.fact_order_items"
+    incremental.store_fact(_fact_items(spark, sf), table, "order_date_id", pipeline.FACT_KEYS["fact_order_items"])
+    found = catalog.column_statistics(spark, table, list(STATISTICS_OF))
+    exact = spark.table(table).agg(*(F.count_distinct(c).alias(c) for c in STATISTICS_OF))
+    counted = exact.unpivot([], list(STATISTICS_OF), "column_name", "n_distinct")
+    near = F.abs(F.col("distinct_estimate") - F.col("n_distinct")) <= F.col("n_distinct") * ESTIMATE_WITHIN
+    return found.join(counted, "column_name").select("column_name", "min", "max", "nulls", "n_distinct", near.alias("near"))
+
+
 def append_only(spark: SparkSession, sf: str) -> DataFrame:
     """Two loads of the payments into one table accumulate."""
     path = fresh_path(spark, "payments")
@@ -617,6 +630,7 @@ QUERIES: dict[str, Query] = {
     "keyed_upsert": keyed_upsert,
     "insert_if_absent": insert_if_absent,
     "full_refresh": full_refresh,
+    "column_statistics": column_statistics,
     "append_only": append_only,
     "gold_view": _gold,
     "gold_stream_enrich": gold_stream_enrich,

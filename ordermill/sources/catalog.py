@@ -58,6 +58,22 @@ def store_raw(df: DataFrame, name: str, layer: str = RAW_LAYER) -> None:
     versions.publish(df.hint("rebalance"), table_in(layer, name))
 
 
+def column_statistics(spark: SparkSession, table: str, columns: list[str]) -> DataFrame:
+    """Statistics of a stored table's columns, gathered in one pass and read back from the catalog, where the planner finds them too.
+
+    One row per column: smallest and largest value as text (none for text columns), number of NULLs, and an estimate of
+    the number of different values.
+    """
+    name = versions.named(table, versions.current(spark, table))
+    spark.sql(f"ANALYZE TABLE {name} COMPUTE STATISTICS FOR COLUMNS {', '.join(columns)}")
+    rows = []
+    for column in columns:
+        told = {r.info_name: r.info_value for r in spark.sql(f"DESCRIBE TABLE EXTENDED {name} {column}").collect()}
+        known = {k: None if told[k] == "NULL" else told[k] for k in ("min", "max", "num_nulls", "distinct_count")}
+        rows.append((column, known["min"], known["max"], int(known["num_nulls"]), int(known["distinct_count"])))
+    return spark.createDataFrame(rows, "column_name STRING, min STRING, max STRING, nulls BIGINT, distinct_estimate BIGINT")
+
+
 def _columns_sql(schema: T.StructType) -> str:
     return ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema.fields)
 

@@ -1,7 +1,9 @@
 from __future__ import annotations
 
 import hashlib
+import json
 
+import pytest
 from helpers import raw_rows, rows
 
 from ordermill.operators import sampling
@@ -25,6 +27,33 @@ def test_null_keys_are_sampled_last_and_never_lost(spark):
         assert len(found) == min(n, 3000) and sum(r.k is None for r in found) == without_key
 
 
+def _place(key, i):
+    row = hashlib.sha256(json.dumps({"k": key, "i": i}, separators=(",", ":")).encode()).hexdigest()
+    return (hashlib.sha256(f"s{key}".encode()).hexdigest() if key is not None else "g") + row
+
+
+@pytest.mark.parametrize("small", [1, 50, 10_000])
+def test_repeated_and_missing_keys_do_not_depend_on_the_layout(spark, monkeypatch, small):
+    """One key has a third of the rows, and there are more NULLs than the sample needs."""
+    monkeypatch.setattr(sampling, "SORTED_AT_ONCE", small)
+    pairs = [("hot", i) for i in range(400)] + [(str(i % 90), i) for i in range(400)] + [(None, i) for i in range(400)]
+    expected = sorted(pairs, key=lambda p: _place(*p))
+    schema = "k STRING, i INT"
+    one = spark.createDataFrame(pairs, schema).coalesce(1)
+    other = spark.createDataFrame(pairs[::-1], schema).repartition(7)
+    for n in (0, 1, 210, 399, 500, 799, 800, 801, 1000, 1199, 1200):
+        for df in (one, other):
+            assert rows(sampling.sample_rows(df, "k", n, "s")) == sorted(expected[:n], key=repr)
+
+
+def test_equal_rows_are_interchangeable(spark, monkeypatch):
+    monkeypatch.setattr(sampling, "SORTED_AT_ONCE", 10)
+    df = spark.createDataFrame([("a", 1)] * 300 + [(None, 2)] * 300, "k STRING, i INT")
+    for n in (0, 7, 300, 450, 600, 700):
+        found = sampling.sample_rows(df, "k", n, "s").groupBy("i").count().orderBy("i").collect()
+        assert [tuple(r) for r in found] == [x for x in ((1, min(n, 300)), (2, min(max(n - 300, 0), 300))) if x[1]]
+
+
 def test_related_rows_of_chosen_keys(spark):
     chosen = raw_rows(spark, "orders", {"order_id": "1"}, {"order_id": "1"}, {"order_id": "2"}, {"order_id": None})
     items = raw_rows(spark, "order_items", *({"order_id": o, "order_item_id": i} for i, o in enumerate(("1", "1", "2", "3", None))))
