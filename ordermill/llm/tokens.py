@@ -1,8 +1,8 @@
 """Token ids of many texts with a given byte-level tokenizer file.
 
-A text is cut at every single blank between two characters that are not white space. Byte-level tokenizers
-start a new piece there whatever stands around it, so the ids of the parts, put together, are those of the
-whole text; each different part is encoded once and remembered. Parts are found and told apart as bytes; new ones that
+A text is cut at every single blank between two characters that are not white space, and at a mark such as a comma after a
+letter. Byte-level tokenizers start a new piece there whatever stands around it (of marks this is tried first), so the ids of the parts, put
+together, are those of the whole text; each different part is encoded once and remembered. Parts are found and told apart as bytes; new ones that
 are cut on both sides are encoded many at a time as one text, whose ids fall to the parts by the bytes they stand for.
 """
 
@@ -11,11 +11,10 @@ from __future__ import annotations
 import os
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from tokenizers import Tokenizer
 
-from .batches import _BYTE, _powers, mixed, raw
+from .batches import raw
 
 #: File of the byte-level vocabulary that the queries use, by its name in the package of public tokenizers.
 BYTE_BPE = "byte_bpe_50k.json"
@@ -24,7 +23,10 @@ REMEMBERED = 400_000
 #: Parts encoded at once; an encoding is far larger than its ids.
 AT_ONCE = 1_000
 
-_TURN = np.uint64(0x9E3779B97F4A7C15)
+_BLANK = "\u0120"
+_MARK, _LETTER = np.zeros(256, bool), np.zeros(256, bool)
+_MARK[[ord(c) for c in ".,;:!?"]] = True
+_LETTER[65:91] = _LETTER[97:123] = True
 # Bytes that a character next to a cut may start with: neither white space nor the lead of a character that may be.
 _FIRM = np.ones(256, bool)
 _FIRM[:0x21] = _FIRM[0x7F] = False
@@ -38,8 +40,8 @@ def public_path(name: str = BYTE_BPE) -> str:
     return public_tokenizers.path(name)
 
 
-def _cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-    """Places of the blanks at which a text is cut."""
+def _cuts(data: np.ndarray, offsets: np.ndarray, at_marks: bool) -> np.ndarray:
+    """Places of the blanks, and of the marks if wanted, at which a text is cut."""
     at = np.flatnonzero(data[1:-1] == 0x20) + 1
     lead = at - 1
     for _ in range(3):  # back to the first byte of the character before
@@ -47,7 +49,11 @@ def _cuts(data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
         lead = lead - inner
     edge = np.zeros(len(data) + 1, bool)
     edge[offsets] = True
-    return at[_FIRM[data[lead]] & _FIRM[data[at + 1]] & ~edge[at] & ~edge[at + 1]]
+    blanks = at[_FIRM[data[lead]] & _FIRM[data[at + 1]] & ~edge[at] & ~edge[at + 1]]
+    if not at_marks:
+        return blanks
+    marks = np.flatnonzero(_MARK[data[1:]] & _LETTER[data[:-1]]) + 1
+    return np.concatenate([blanks, marks[~edge[marks]]])
 
 
 class Encoder:
@@ -60,6 +66,10 @@ class Encoder:
         added = {i: len(t.content.encode()) for i, t in self.tokenizer.get_added_tokens_decoder().items()}
         size = max(self.tokenizer.get_vocab_size(), *(i + 1 for i in added), 1)
         self.bytes_of = np.array([added[i] if i in added else len(self.tokenizer.id_to_token(i) or "") for i in range(size)])
+        # Whether a blank with the letters after it is a piece of its own, also before a mark, and the blank is written as a letter.
+        byte_level = self.tokenizer.normalizer is None and self.tokenizer.pre_tokenizer is not None
+        pieces = self.tokenizer.pre_tokenizer.pre_tokenize_str(" ab Cd.,e") if byte_level else []
+        self.model = self.tokenizer.model if [x for x, _ in pieces] == [_BLANK + "ab", _BLANK + "Cd", ".,", "e"] else None
         self._forget()
 
     @property
@@ -80,7 +90,16 @@ class Encoder:
                 self.ids.append(np.array(found.ids, np.uint32).tobytes())
 
     def _learn_inner(self, parts: list[bytes]) -> None:
-        """Encode parts that are cut on both sides, many as one text."""
+        """Encode parts that are cut on both sides, many as one text; a blank and letters are one piece, which needs the model alone."""
+        if self.model is not None:
+            model, others = self.model, []
+            for x in parts:
+                if not x[1:].isalpha():
+                    others.append(x)
+                    continue
+                self.known[x] = len(self.ids)
+                self.ids.append(np.array([t.id for t in model.tokenize(_BLANK + x[1:].decode())], np.uint32).tobytes())
+            parts = others
         for begin in range(0, len(parts), AT_ONCE):
             some = parts[begin : begin + AT_ONCE]
             ids = np.array(self.tokenizer.encode_batch_fast([b"".join(some).decode()], add_special_tokens=False)[0].ids, np.uint32)
@@ -101,14 +120,19 @@ class Encoder:
         data, offsets = raw(pa.array(texts, pa.large_string()))
         if not len(data):
             return np.zeros(0, np.uint32), np.zeros(len(texts), np.int64)
-        cuts = _cuts(data, offsets)
+        cuts = _cuts(data, offsets, self.model is not None)
         heads = offsets[:-1][offsets[:-1] < offsets[1:]]
         starts = np.sort(np.concatenate([heads, cuts]))
         ends = np.append(starts[1:], len(data))
-        codes, first = _different(data, starts, ends)
-        inner = np.isin(starts[first], cuts, assume_unique=True) & np.isin(ends[first], cuts)
-        held = data.tobytes()
-        different = [held[b:e] for b, e in zip(starts[first].tolist(), ends[first].tolist())]
+        # Parts lie one behind the other, so they are a column of byte strings as they stand.
+        column = pa.LargeBinaryArray.from_buffers(
+            pa.large_binary(), len(starts), [None, pa.py_buffer(np.append(starts, len(data))), pa.py_buffer(data)]
+        ).dictionary_encode()
+        codes, different = column.indices.to_numpy(), column.dictionary.to_pylist()
+        cut = np.zeros(len(data) + 1, bool)
+        cut[cuts] = True
+        inner = np.zeros(len(different), bool)
+        inner[codes[cut[starts] & cut[ends] & (data[starts] == 0x20)]] = True  # what is cut on both sides anywhere
         if len(self.known) + len(different) > REMEMBERED:
             self._forget()
         new = [(x, i) for x, i in zip(different, inner.tolist()) if x not in self.known]
@@ -123,17 +147,3 @@ class Encoder:
         owner = np.searchsorted(offsets, starts, side="right") - 1
         return ids, np.bincount(owner, weights=each, minlength=len(texts)).astype(np.int64)
 
-
-def _different(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Number of the content of each part, and the first part with each content."""
-    size = ends - starts
-    place = np.arange(starts[0], len(data)) - np.repeat(starts, size)
-    value = _BYTE[data[starts[0] :]] * _powers(int(size.max()))[place]
-    one = mixed(np.add.reduceat(value, starts - starts[0]) + size.astype(np.uint64))
-    _, first, codes = np.unique(one, return_index=True, return_inverse=True)
-    two = np.add.reduceat(value * _powers(int(size.max()) + 1)[place + 1], starts - starts[0]) * _TURN + size.astype(np.uint64)
-    if (two[first[codes]] != two).any():  # two contents with one hash
-        held = data.tobytes()
-        codes, _ = pd.factorize(np.array([held[b:e] for b, e in zip(starts.tolist(), ends.tolist())], dtype=object))
-        _, first = np.unique(codes, return_index=True)
-    return codes, first
