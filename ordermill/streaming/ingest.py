@@ -11,6 +11,8 @@ it again until it can be read. Anything else that goes wrong, such as a full dis
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -123,7 +125,9 @@ def _try_again(spark: SparkSession, files: list[str], target: str) -> None:
     if not there:
         return
     number = sum("/batch_id=again-" in path for path in _completed(spark, target))
-    zipped = spark.read.format("binaryFile").load(there)
+    # Paths are read as patterns.
+    exact = [re.sub(r"([][{}*?\\])", r"\\\1", f) for f in there]
+    zipped = spark.read.format("binaryFile").load(exact)
     _store(labelled(zipped.select("path", "content").mapInArrow(lines_or_error, ROWS)), f"{target}/batch_id=again-{number:09d}")
 
 

@@ -5,6 +5,7 @@ from helpers import at, money, raw_rows
 
 from ordermill.operators.quality import QualityError
 from ordermill.plans import pipeline
+from ordermill.sources.catalog import store_raw
 
 
 def _raw(spark, price="10.00", status="delivered"):
@@ -43,6 +44,24 @@ def test_build_twice(spark, layer):
         assert stored["mart_revenue_daily"].first().product_category == "books"
 
 
+def test_staging_views_are_there_for_other_sessions_and_follow_the_raw_tables(spark, layer):
+    raw, staging = _raw(spark), f"{layer}_staging"
+    pipeline.load_raw(spark, raw, layer)
+    try:
+        names = pipeline.staging_views(spark, layer, staging)
+        other = spark.newSession()
+        assert len(names) == 10 and {t.name for t in other.catalog.listTables(staging)} == set(names)
+        assert [r.payment_types for r in other.table(f"{staging}.stg_orders_payments").collect()] == ["boleto"]
+        more = raw_rows(spark, "payments", *({"order_id": "o", "payment_type": t, "payment_value": money("1")} for t in ("", "b", "a", None)))
+        store_raw(more, "payments", layer)
+        row = other.table(f"{staging}.stg_orders_payments").first()
+        assert (row.payment_types, row.payment_count, row.payment_total) == (",a,b", 4, money("4"))
+        pipeline.staging_views(spark, layer, staging)
+        assert other.table(f"{staging}.stg_orders").count() == 1
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {staging} CASCADE")
+
+
 def test_failing_staging_check_stops_before_the_marts(spark, layer):
     with pytest.raises(QualityError, match="order_status accepted_values"):
         pipeline.run(spark, _raw(spark, status="lost"), layer)

@@ -92,6 +92,16 @@ def test_a_cut_off_file_is_left_out_recorded_and_tried_again(spark, tmp_path):
     assert _good(spark, tmp_path).count() == 3003
 
 
+def test_a_failed_file_may_have_any_name(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    path = tmp_path / "in" / "a{1} [x].gz"
+    whole = gzip.compress((_event("1") + "\n").encode())
+    path.write_bytes(whole[:-4])
+    assert len(_run(spark, tmp_path)) == 1
+    path.write_bytes(whole)
+    assert _run(spark, tmp_path) == [] and _good(spark, tmp_path).count() == 1
+
+
 def test_attempts_are_counted_and_a_failed_file_may_vanish(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "a.gz").write_bytes(b"no zip")
