@@ -7,13 +7,14 @@ What is found, validated and replaced:
 - bank accounts (IBAN) with right check digits: the digits of the account are permuted, check digits set anew;
 - social security numbers of valid ranges: permuted within those ranges;
 - dates (year-month-day, or day and month before the year with dots or slashes) that exist: permuted within their century;
-- phone numbers with country code, or of ten digits in the usual groups: digits after the country code are permuted;
+- phone numbers with country code, or of ten digits in the usual groups: digits after the country code, of one to three
+  digits by the international numbering plan, are permuted;
 - IPv4 addresses: permuted among all addresses;
 - email addresses and hexadecimal secrets of 32, 40 or 64 digits have no small numeric domain: a keyed digest takes
   the place of the name and, in an address, of the domain.
 
 Permutations are generalised Feistel networks over two mixed-radix halves, keyed by SHA-256 of key, kind, domain size,
-round and half: a value has the same pseudonym in all documents, different values of a domain have different ones, and
+round and half; the key has no default, as who knows it can undo the permutation. A value has the same pseudonym in all documents, different values of a domain have different ones, and
 separators stay where they are. ``restore_digits`` inverts the permutation for who has the key. Dates and numbers that
 fail validation are left alone.
 
@@ -27,7 +28,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 ROUNDS = 10
-KEY = "ordermill"
+
+# Country codes of one and of two digits in the international numbering plan (E.164); all others have three.
+ONE_DIGIT_CODES = "1 7".split()
+TWO_DIGIT_CODES = (
+    "20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 "
+    "81 82 84 86 90 91 92 93 94 95 98"
+).split()
 
 _WORD = r"[\p{L}\p{N}._%+-]"
 _OCTET = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
@@ -37,7 +44,7 @@ PATTERNS = {
     "iban": r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])",
     "phone": (
         r"\+1[ .-]?\(?\d{3}\)?[ .-]?\d{3}[ .-]?\d{4}(?!\d)"
-        r"|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)"
+        r"|\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?)?\d{1,4}(?:[ .-]?\d{2,4}){1,4}(?!\d)"
         r"|(?<!\d)\(\d{3}\) ?\d{3}-\d{4}(?!\d)|(?<![\d-])\d{3}-\d{3}-\d{4}(?![\d-])"
     ),
     "card": (
@@ -162,7 +169,12 @@ def _iban(m: Column, key: Column) -> Column:
 
 def _phone(m: Column, key: Column) -> Column:
     digits = _digits(m)
-    kept = F.when(F.startswith(m, F.lit("+1")), 1).when(F.startswith(m, F.lit("+")), 2).otherwise(0)
+    code = (
+        F.when(F.left(digits, F.lit(1)).isin(ONE_DIGIT_CODES), 1)
+        .when(F.left(digits, F.lit(2)).isin(TWO_DIGIT_CODES), 2)
+        .otherwise(3)
+    )
+    kept = F.when(F.startswith(m, F.lit("+")), code).otherwise(0)
     moved = F.concat(F.left(digits, kept), permuted_digits(F.substring(digits, kept + 1, F.lit(18)), key, "phone"))
     return F.when(F.length(digits).between(8, 15), refilled(m, moved))
 
@@ -242,8 +254,10 @@ def pseudonym(m: Column, key: Column) -> Column:
     return F.struct(kind.alias("kind"), m.alias("old"), new.alias("new"))
 
 
-def pseudonymise(docs: DataFrame, key: str = KEY) -> DataFrame:
+def pseudonymise(docs: DataFrame, key: str) -> DataFrame:
     """``docs`` with ``text`` rewritten, and the columns ``kinds`` (kind of every replacement in order) and ``n_replaced``."""
+    if not key:
+        raise ValueError("pseudonyms need a key")
     text = F.col("text").cast("string")
     worth = F.coalesce(F.rlike(text, F.lit(_WORTH)), F.lit(False))
     nothing = F.array().cast("array<string>")

@@ -110,14 +110,13 @@ def _mixed(members: DataFrame, labels: DataFrame) -> DataFrame:
     return placed.join(split.where(F.col("low") != F.col("high")).select("key"), "key", "left_semi")
 
 
-def _shared(members: DataFrame, marks: DataFrame) -> DataFrame:
-    """Members of keys with two nodes or more, with the number of nodes and the mark of the node.
+def _shared(members: DataFrame) -> DataFrame:
+    """Members of keys with two nodes or more, with the number of nodes.
 
     Most keys have one node: they are counted first, and only the others' members go on.
     """
     sizes = members.groupBy("key").agg(F.count("*").alias("size")).where(F.col("size") > 1)
-    together = stored(members.join(sizes, "key"), "members")
-    return kept(together.join(marks, "node"))
+    return stored(members.join(sizes, "key"), "members")
 
 
 def _with_hubs(together: DataFrame) -> DataFrame:
@@ -155,7 +154,9 @@ class _Links:
     def by_hubs(self, left: DataFrame, near: Near) -> None:
         """Compares the nodes of every key (key, node, mark, size) until they are connected or all were hubs."""
         left = left.select("key", "node", "mark", "size")
-        left = left.withColumn("slot", F.pmod(F.xxhash64("node", "key"), F.col("size")))
+        # A node's place does not depend on the key, so that keys with the same nodes choose the same hubs and ask for the same pairs.
+        place = F.shiftrightunsigned(F.xxhash64("node"), 33)
+        left = left.withColumn("slot", F.shiftrightunsigned(place * F.col("size"), 31))
         done, reach = 0, 1
         while True:
             left = kept(_mixed(left.where(F.col("size") > done), self.labels))
@@ -185,6 +186,7 @@ def connect(
     verify: Verify,
     near: Near,
     refine: Callable[[DataFrame], DataFrame] | None = None,
+    near_refined: Near | None = None,
 ) -> DataFrame:
     """(node, comp) of all nodes linked with another one.
 
@@ -193,10 +195,10 @@ def connect(
     that hold out.
 
     A key of more than ``LARGE`` nodes that its smallest node does not connect holds many look-alikes, nearly all of whose pairs
-    fail the test. ``refine``, if given, gets the nodes of such keys and returns members under narrower keys, of which all true links share
-    one; those keys are worked off in place of the large ones.
+    fail the test. ``refine``, if given, gets the nodes of such keys and returns members (key, node, mark) under narrower keys; every true
+    link shares one at which the two marks are ``near_refined``. Those keys are worked off in place of the large ones.
     """
-    together = _shared(members, marks)
+    together = kept(_shared(members).join(marks, "node"))
     first = kept(
         _with_hubs(together).where(near(F.col("mark"), F.col("hub_mark")))
         .select(F.col("hub").alias("a"), F.col("node").alias("b"))
@@ -211,15 +213,15 @@ def connect(
     crowded = _mixed(later.where(F.col("size") > LARGE).select("key", "node", "mark"), links.labels)
     crowded = kept(crowded.select("node").distinct())
     if not crowded.isEmpty():
-        narrow = _shared(refine(crowded), marks)
+        narrow = _shared(kept(refine(crowded)))
         comp = links.labels.select("node", "comp")
         hub_comp = comp.select(F.col("node").alias("hub"), F.col("comp").alias("hub_comp"))
         apart = _with_hubs(narrow).join(comp, "node", "left").join(hub_comp, "hub", "left").where(
             F.coalesce("comp", "node") != F.coalesce("hub_comp", "hub")
         )
         links.test(
-            apart.where(near(F.col("mark"), F.col("hub_mark")))
+            apart.where(near_refined(F.col("mark"), F.col("hub_mark")))
             .select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
         )
-        links.work_off(narrow, near)
+        links.work_off(narrow, near_refined)
     return links.labels

@@ -10,7 +10,10 @@ left, all others are verified on the full sets.
 
 Families of look-alikes below the threshold, whose members share bands without being linked, are searched again by
 an exact prefix filter: shingles are ordered by how many of these documents hold them, and a document of n shingles is
-listed under the rarest n less the least overlap plus one. Two sets at the threshold share one of those, so this step loses no pair.
+listed under the rarest n less the least overlap plus one, each with the number of shingles from it on. Two sets at the threshold share
+one of those, and from the first that they share on both have as many shingles as their overlap must have; pairs for which that does not
+hold at any common shingle are not compared. So this step loses no pair, and members that each differ from all others in more than the
+threshold allows are not compared with each other, whatever they have in common.
 
 The number of bands follows the threshold (40 at 0.85, 70 at 0.80), so that a pair of large documents
 at it shares no band with probability ``MISS``, and less above it. In a document of
@@ -154,26 +157,39 @@ _shingle_lists_of = _per_node(
 
 
 def prefixes(sets: DataFrame, percent: int) -> DataFrame:
-    """(key, node): the rarest shingles of each set (node, n, shingles), of which any two at the threshold share one.
+    """(key, node, mark): the rarest shingles of each set (node, n, shingles), of which any two at the threshold share one.
 
     The overlap of such sets is at least ``percent`` of the larger one. Shingles of one set only come first in
-    the order and are never shared, so they are counted and not listed.
+    the order and are never shared, so they are counted and not listed. The mark has the size of the set and ``rest``, the number of
+    its shingles from the key on; where several sets go by one node it has the least and the largest size.
     """
-    sets = sets.withColumn("set", F.struct("node", F.xxhash64("shingles").alias("sum"), "n")).dropDuplicates(["set"])
+    sets = stored(sets.withColumn("set", F.xxhash64("node", "n", "shingles")).dropDuplicates(["set"]), "sets")
     single = stored(sets.select("set", F.explode("shingles").alias("shingle")), "shingles")
     held = single.groupBy("shingle").agg(F.count("*").alias("holders")).where(F.col("holders") > 1)
     common = (
         single.join(held, "shingle").groupBy("set")
         .agg(F.array_sort(F.collect_list(F.struct("holders", "shingle"))).alias("common"))
     )
-    n = "set.n"
-    listed = f"size(common) - cast(({n} * {percent} + 99) div 100 as int) + 1"
+    listed = f"size(common) - cast((n * {percent} + 99) div 100 as int) + 1"
     return (
-        common.select("set.node", F.expr(f"slice(common, 1, greatest(0, {listed}))").alias("rarest"))
-        .select("node", F.explode("rarest.shingle").alias("key")).distinct()
+        common.join(sets.select("set", "node", "n"), "set")
+        .select("node", "n", F.size("common").alias("shared"), F.expr(f"slice(common, 1, greatest(0, {listed}))").alias("rarest"))
+        .select("node", "n", "shared", F.posexplode("rarest.shingle").alias("pos", "key"))
+        .groupBy("key", "node")
+        .agg(F.min("n").alias("low"), F.max("n").alias("high"), F.max(F.col("shared") - F.col("pos")).alias("rest"))
+        .select("key", "node", F.struct("low", "high", "rest").alias("mark"))
     )
 
 
+def reachable(percent: int):
+    """Whether two marks of a key allow the threshold: by the sizes, and by the overlap that is possible from the key on."""
+    def near(a: Column, b: Column) -> Column:
+        sizes = (a["high"] * 100 >= b["low"] * percent) & (b["high"] * 100 >= a["low"] * percent)
+        return sizes & (F.least(a["rest"], b["rest"]) * (100 + percent) >= (a["low"] + b["low"]) * percent)
+
+    return near
+
+
 def _likely(percent: int):
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -250,7 +266,7 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         sets = _of(narrow, nodes).mapInArrow(_shingle_lists_of, "node long, n long, shingles array<long>")
         return prefixes(sets, percent)
 
-    labels = connect(shown, marks, _verifier(narrow, percent), similar_size, fine)
+    labels = connect(shown, marks, _verifier(narrow, percent), similar_size, fine, reachable(percent))
     found = named.join(labels, "node", "left").select("set_id", F.coalesce("comp", "node").alias("component_id"))
     return (
         sketches.drop("bands").join(found, "set_id", "left")

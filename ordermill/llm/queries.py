@@ -27,6 +27,9 @@ from .oracle import ORACLES  # noqa: F401
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+#: Session setting of the secret key of pseudonyms, and the key that stands in for it over the test tables, whose data are invented.
+PSEUDONYM_KEY, TEST_KEY = "ordermill.pseudonym.key", "key of the test tables"
+
 #: Rules of the URL query, fixed values.
 URL_RULES = {"net/": "block", "example.net/en/": "allow", "example.com/de/": "block", "org/fr/": "allow"}
 
@@ -73,7 +76,8 @@ def op6_compression_bands(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op7_feistel_pseudonyms(spark: SparkSession, sf: str) -> DataFrame:
-    done = feistel.pseudonymise(_table(spark, sf, "documents").select("doc_id", "text"))
+    key = spark.conf.get(PSEUDONYM_KEY, TEST_KEY)
+    done = feistel.pseudonymise(_table(spark, sf, "documents").select("doc_id", "text"), key)
     return done.select("doc_id", "n_replaced", "kinds", "text")
 
 

@@ -1,7 +1,10 @@
 from __future__ import annotations
 
+import datetime
+import hashlib
 import re
 
+import pytest
 from pyspark.sql import functions as F
 from support import SF, docs, table
 
@@ -78,9 +81,65 @@ def test_edge_cases(spark):
     text, kinds = rewritten(spark, long)[0]
     assert kinds == ["card"] and len(text) == len(long)
     frame = docs(spark, "1.2.3.4", "1.2.3.4", ids=[None, None]).selectExpr("*", "1 as kind", "2 as old")
-    rows = feistel.pseudonymise(frame).collect()
+    rows = feistel.pseudonymise(frame, "k").collect()
     assert rows[0] == rows[1] and rows[0].kind == 1
-    assert feistel.pseudonymise(docs(spark)).collect() == []
+    assert feistel.pseudonymise(docs(spark), "k").collect() == []
+
+
+def test_key_is_required(spark):
+    for call in (lambda: feistel.pseudonymise(docs(spark, "x")), lambda: feistel.pseudonymise(docs(spark, "x"), "")):
+        with pytest.raises((TypeError, ValueError)):
+            call()
+
+
+class Plain:
+    """The keyed permutation once more, in plain Python."""
+
+    def __init__(self, key, kind):
+        self.key, self.kind = key, kind
+
+    def draw(self, size, turn, half):
+        return int(hashlib.sha256(f"{self.key}|{self.kind}|{size}|{turn}|{half}".encode()).hexdigest()[:15], 16)
+
+    def moved(self, value, left, right):
+        l, r = divmod(value, right)
+        for turn in range(feistel.ROUNDS):
+            if turn % 2 == 0:
+                l = (l + self.draw(f"{left}x{right}", turn, r)) % left
+            else:
+                r = (r + self.draw(f"{left}x{right}", turn, l)) % right
+        return l * right + r
+
+    def digits(self, text):
+        n = len(text)
+        return str(self.moved(int(text), 10 ** (n // 2), 10 ** (n - n // 2))).zfill(n)
+
+
+def refill(form, digits):
+    rest = iter(digits)
+    return "".join(next(rest) if c.isdigit() else c for c in form)
+
+
+def test_against_a_plain_permutation(spark):
+    phone = Plain("k", "phone")
+    for text, code in {
+        "+353 86 123 4567": 3, "+353 1 234 5678": 3, "+7 912 345 6789": 1, "+44 20 7946 0958": 2, "+1 (743) 555-3824": 1,
+        "+420 601 123 456": 3, "(212) 555-0100": 0,
+    }.items():
+        digits = re.sub(r"\D", "", text)
+        assert rewritten(spark, text) == [(refill(text, digits[:code] + phone.digits(digits[code:])), ["phone"])]
+    card = "4111 1111 1111 1111"
+    body = Plain("k", "card").digits(card.replace(" ", "")[:-1])
+    check = next(c for c in "0123456789" if luhn(body + c))
+    assert rewritten(spark, card) == [(refill(card, body + check), ["card"])]
+    first = datetime.date(2000, 1, 1)
+    day = datetime.date(2024, 2, 29)
+    moved = first + datetime.timedelta(days=Plain("k", "date").moved((day - first).days, 75, 487))
+    assert rewritten(spark, day.isoformat(), "29.02.2024") == [
+        (moved.isoformat(), ["date"]), (moved.strftime("%d.%m.%Y"), ["date"]),
+    ]
+    ip = Plain("k", "ip").moved(int.from_bytes(bytes([192, 168, 10, 255])), 65536, 65536)
+    assert rewritten(spark, "192.168.10.255") == [(".".join(map(str, ip.to_bytes(4))), ["ip"])]
 
 
 def test_query_leaves_nothing_behind(spark):

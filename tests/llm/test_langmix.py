@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import zlib
 
 from support import docs, table
@@ -53,6 +54,62 @@ def test_accepted_keeps_rows_whole(spark):
     assert kept.count() >= 195
 
 
+def test_accepted_looks_at_the_whole_set(spark):
+    rows = table(spark, "documents", SF).orderBy("doc_id").collect()
+    langs = sorted({r.lang for r in rows if r.lang})[:3]
+    parts = [next(r.text for r in rows if r.lang == x and 900 < len(r.text) < 1500)[:900] for x in langs]
+    draw = random.Random(1)
+    noise = "".join(chr(draw.choice((0x1400, 0xA000)) + draw.randrange(500)) for _ in range(900))
+    extra = docs(spark, "\n".join(parts), noise, "12 34", None, ids=[-1, -2, -3, -4]).withColumn("lang", langmix.F.lit(None).cast("string"))
+    given = table(spark, "documents", SF).select("doc_id", "text", "lang")
+    kept = langmix.accepted(given.union(extra.select("doc_id", "text", "lang"))).where("doc_id < 0").collect()
+    assert [r.doc_id for r in kept] == [-1]
+
+
+def test_against_plain_expectation_maximisation():
+    """Shares of the best set, by a search over the same sets with plain loops."""
+    import math
+
+    import numpy as np
+
+    draw = np.random.default_rng(3)
+    likelihood = np.full((1 << langmix.GRAM_BITS, 3), 1.0, np.float32)
+    likelihood[:30] = draw.choice([2.5, 0.4, 0.1], (30, 3)).astype(np.float32)
+    model = langmix.Model(list("abc"), likelihood)
+    for n in (5, 40, 200):
+        text = draw.choice(30, n)
+
+        def turn(mix):
+            new = [0.0] * 3
+            for g in text:
+                parts = [m * float(p) for m, p in zip(mix, likelihood[g])]
+                for k in range(3):
+                    new[k] += parts[k] / sum(parts) / n
+            return new
+
+        mix = [1 / 3] * 3
+        for _ in range(langmix.ROUNDS):
+            mix = turn(mix)
+        order = sorted(range(3), key=lambda k: -mix[k])
+        best, chosen = -math.inf, None
+        for size in (1, 2, 3):
+            some = [max(mix[k], 1e-6) if k in order[:size] else 0.0 for k in range(3)]
+            some = [x / sum(some) for x in some]
+            for _ in range(2 if size > 1 else 0):
+                some = turn(some)
+            value = sum(math.log(sum(m * float(p) for m, p in zip(some, likelihood[g]))) for g in text)
+            value -= math.log(n) / 2 * (size - 1)
+            if value > best + 1e-6:
+                best, chosen = value, some
+        found = langmix.mixtures(model, np.zeros(n, np.int64), text, 1)[0]
+        assert np.allclose(found, chosen, atol=1e-3)
+
+
+def test_many_languages(spark):
+    frame = spark.range(600).selectExpr("id as doc_id", "concat('w', id, ' text of its own ', char(97 + id % 26)) as text", "concat('l', id) as lang")
+    assert len(langmix.fit(frame).languages) == 600
+
+
 def test_set_does_not_depend_on_other_texts():
     import numpy as np
 

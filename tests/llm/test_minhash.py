@@ -40,6 +40,38 @@ def test_family_of_variants(spark):
     assert {r[0]: tuple(r) for r in minhash.classes(docs(spark, *texts)).collect()} == brute(rows)
 
 
+def test_pairs_compared_in_growing_families(spark, monkeypatch):
+    """Look-alikes with up to eight changed words each: what is compared grows with the family, not with its square."""
+    counted = []
+    made = minhash._verifier
+
+    def counting(narrow, percent):
+        verify = made(narrow, percent)
+
+        def test(pairs):
+            counted.append(pairs.count())
+            return verify(pairs)
+
+        return test
+
+    monkeypatch.setattr(minhash, "_verifier", counting)
+    base = prose(1, 160)
+    totals = {}
+    for size in (100, 400):
+        draw = random.Random(size)
+        texts = []
+        for i in range(size):
+            w = list(base)
+            for _ in range(draw.randrange(9)):
+                w[draw.randrange(len(w))] = f"x{i}{draw.randrange(1000)}"
+            texts.append(" ".join(w))
+        counted.clear()
+        assert {r[0]: tuple(r) for r in minhash.classes(docs(spark, *texts)).collect()} == brute(list(enumerate(texts)))
+        totals[size] = sum(counted)
+    print(totals)
+    assert totals[400] <= 6 * totals[100], totals
+
+
 def test_short_templates_against_brute_force(spark):
     """Templates with endings of their own, below the threshold, but for one pair at it that shares no more than the template."""
     texts, wanted = [], []
