@@ -131,20 +131,24 @@ def revenue_by_state(fact: DataFrame, customers: DataFrame) -> DataFrame:
 def seller_revenue_rating(fact: DataFrame, reviews: DataFrame) -> DataFrame:
     """Revenue and mean rating per seller.
 
-    A review rates its order and so every seller in it, once. Items are summed per seller and order,
-    so the fact is read once and each score meets one row per seller in the order.
+    A review rates its order and so every seller in it, once. Items meet the sums of their order's reviews first and are
+    then summed per seller and order, so the fact is read once. What an order's reviews say is the same for all its items, and is
+    one value of a struct: such groups are formed by sorting, without a hash table of all pairs of seller and order in a task.
     """
-    in_order = fact.groupBy("seller_id", "order_id").agg(F.sum("price").alias("price"))
     per_order = reviews.groupBy("order_id").agg(
         F.sum("review_score").alias("score"), F.count("review_score").alias("reviews")
     )
+    in_order = (
+        fact.join(per_order.select("order_id", F.struct("score", "reviews").alias("rated")), "order_id", "left")
+        .groupBy("order_id", "seller_id")
+        .agg(F.sum("price").alias("price"), F.any_value("rated").alias("rated"))
+    )
     return (
-        in_order.join(per_order, "order_id", "left")
-        .groupBy("seller_id")
+        in_order.groupBy("seller_id")
         .agg(
             _revenue(),
-            mean(F.sum("score"), F.sum("reviews")).alias("avg_review_score"),
-            F.coalesce(F.sum("reviews"), F.lit(0)).cast("bigint").alias("review_count"),
+            mean(F.sum("rated.score"), F.sum("rated.reviews")).alias("avg_review_score"),
+            F.coalesce(F.sum("rated.reviews"), F.lit(0)).cast("bigint").alias("review_count"),
         )
     )
 

@@ -95,6 +95,17 @@ def test_rating_does_not_multiply_revenue(spark):
     ]
 
 
+def test_rating_of_missing_keys_and_repeated_rows(spark):
+    fact = spark.createDataFrame(
+        [("s1", "o1", money("10")), ("s1", "o1", money("10")), ("s1", None, money("2")), (None, "o1", None), ("s2", "o3", None)],
+        "seller_id STRING, order_id STRING, price DECIMAL(10,2)",
+    )
+    reviews = spark.createDataFrame([("o1", 4), ("o1", 4), ("o1", None), (None, 1), ("o3", None)], "order_id STRING, review_score INT")
+    assert rows(metrics.seller_revenue_rating(fact, reviews)) == [
+        ("s1", Decimal("22.00"), 4.0, 2), ("s2", None, None, 0), (None, None, 4.0, 2)
+    ]
+
+
 def test_late_rate_and_delivery_days(spark):
     timed = spark.createDataFrame(
         [("delivered", 2, True), ("delivered", 3, False), ("shipped", None, None), ("canceled", 9, False)],

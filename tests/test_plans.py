@@ -53,3 +53,10 @@ def test_second_level_of_a_grouping_reuses_the_join_partitioning(spark):
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert plan.count("Exchange hashpartitioning(order_id") == 2
     assert "product_id" in plan and plan.count("Exchange hashpartitioning(order_date_id") == 1
+
+
+def test_pairs_of_seller_and_order_are_sorted_not_hashed(spark):
+    """A hash table of all pairs, built twice in one task, took most of the task's memory."""
+    plan = _plan(contract.queries()["seller_revenue_rating"](spark, SF_DIR))
+    by_pair = [line for line in plan.splitlines() if "Aggregate(key" in line and "seller_id" in line and "order_id" in line]
+    assert by_pair and all("SortAggregate" in line for line in by_pair)
