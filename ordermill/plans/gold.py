@@ -9,25 +9,23 @@ from ..functions.dates import event_moment, utc_wall_time
 from ..functions.money import AMOUNT, mean, order_amount
 
 
-def order_analytics_gold(fact: DataFrame, customers: DataFrame, products: DataFrame) -> DataFrame:
-    """Items with the state of their customer and the category of their product."""
+_EVENT = ("order_status", "review_score", "created_at")
+
+
+def order_analytics_gold(fact: DataFrame, customers: DataFrame, products: DataFrame, *more: str) -> DataFrame:
+    """Items with the state of their customer and the category of their product; ``more`` columns of the items follow."""
     return (
         fact.join(customers.select("customer_id", "customer_state"), "customer_id")
         .join(products.select("product_id", "product_category_name"), "product_id")
         .select(
             "order_id", "customer_id", "customer_state", "product_id", "product_category_name",
-            "price", "freight_value", order_amount().alias("total_order_amount"),
+            "price", "freight_value", order_amount().alias("total_order_amount"), *more,
         )
     )
 
 
-def enrich_with_events(gold: DataFrame, events: DataFrame, *more: str) -> DataFrame:
-    """Gold rows of orders seen in the stream, one row per item and event; ``more`` event columns follow.
-
-    Works for a batch of events and for a stream of them.
-    """
-    seen = events.select("order_id", "order_status", "review_score", "created_at", *more)
-    return seen.join(gold, "order_id").select(
+def _as_enriched(rows: DataFrame, *more: str) -> DataFrame:
+    return rows.select(
         "order_id", "customer_state", "product_category_name", "total_order_amount",
         F.col("order_status").alias("status_on_s3"),
         F.col("review_score").alias("streaming_review_score"),
@@ -35,6 +33,25 @@ def enrich_with_events(gold: DataFrame, events: DataFrame, *more: str) -> DataFr
     )
 
 
+def enrich_with_events(gold: DataFrame, events: DataFrame, *more: str) -> DataFrame:
+    """Gold rows of orders seen in the stream, one row per item and event; ``more`` event columns follow.
+
+    Works for a batch of events and for a stream of them.
+    """
+    seen = events.select("order_id", *_EVENT, *more)
+    return _as_enriched(seen.join(gold, "order_id"), *more)
+
+
+def enriched_items(fact: DataFrame, customers: DataFrame, products: DataFrame, latest: DataFrame) -> DataFrame:
+    """The gold rows of ``fact`` enriched with events of which no order has more than one, as by ``enrich_with_events``.
+
+    The events meet the items first, while these still lie by order after their join with the order headers. Items are then not moved by
+    order a second time, and those of orders that the stream has not seen travel to neither customers nor products.
+    """
+    seen = latest.select("order_id", *_EVENT).join(fact, "order_id")
+    return _as_enriched(order_analytics_gold(seen, customers, products, *_EVENT))
+
+
 def newest_first(enriched: DataFrame) -> DataFrame:
     """By event time; the order inside one second keeps that second from landing in one task."""
     return enriched.orderBy(

@@ -247,7 +247,7 @@ def gold_stream_enrich(spark: SparkSession, sf: str) -> DataFrame:
 
 def gold_stream_latest(spark: SparkSession, sf: str) -> DataFrame:
     latest = gold.latest_event_per_order(star.order_events(spark, sf))
-    return gold.enrich_with_events(_gold(spark, sf), latest)
+    return gold.enriched_items(_fact_items(spark, sf), _dim_customers(spark, sf), _staged(spark, sf, "stg_products"), latest)
 
 
 def gold_latest_event(spark: SparkSession, sf: str) -> DataFrame:

@@ -106,6 +106,23 @@ def test_rating_of_missing_keys_and_repeated_rows(spark):
     ]
 
 
+def test_items_enriched_first_are_the_gold_rows_enriched(spark):
+    fact = spark.createDataFrame(
+        [("o1", "c1", "p1", "1"), ("o1", "c1", "p1", "1"), ("o1", None, "p1", "2"), ("o2", "c1", "p9", "3"), ("o3", "c2", "p1", "4"), (None, "c1", "p1", "5")],
+        "order_id STRING, customer_id STRING, product_id STRING, price STRING",
+    ).select("order_id", "customer_id", "product_id", F.col("price").cast("decimal(10,2)"), F.lit(1).cast("decimal(10,2)").alias("freight_value"))
+    customers = spark.createDataFrame([("c1", "SP"), ("c1", "RJ"), ("c2", None)], "customer_id STRING, customer_state STRING")
+    products = spark.createDataFrame([("p1", None), (None, "x")], "product_id STRING, product_category_name STRING")
+    events = spark.createDataFrame(
+        [("o1", "created", 4, "2024-01-01T00:00:00Z"), ("o1", "shipped", None, "2024-01-02T00:00:00Z"), ("o3", "x", 1, None), (None, "x", 1, None)], EVENTS
+    )
+    latest = gold.latest_event_per_order(events)
+    expected = gold.enrich_with_events(gold.order_analytics_gold(fact, customers, products), latest)
+    found = gold.enriched_items(fact, customers, products, latest)
+    assert found.dtypes == expected.dtypes
+    assert rows(found) == rows(expected) and len(rows(found)) == 5
+
+
 def test_late_rate_and_delivery_days(spark):
     timed = spark.createDataFrame(
         [("delivered", 2, True), ("delivered", 3, False), ("shipped", None, None), ("canceled", 9, False)],

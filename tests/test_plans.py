@@ -60,3 +60,13 @@ def test_pairs_of_seller_and_order_are_sorted_not_hashed(spark):
     plan = _plan(contract.queries()["seller_revenue_rating"](spark, SF_DIR))
     by_pair = [line for line in plan.splitlines() if "Aggregate(key" in line and "seller_id" in line and "order_id" in line]
     assert by_pair and all("SortAggregate" in line for line in by_pair)
+
+
+def test_items_move_by_order_once_for_their_latest_event(spark):
+    """Items, order headers and events are spread by order; after the customers nothing is again."""
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = _plan(contract.queries()["gold_stream_latest"](spark, SF_DIR))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("Exchange hashpartitioning(order_id") == 3
