@@ -54,8 +54,12 @@ def publish_table(df: DataFrame, table: str, sort_by: list[str] | None = None) -
 
 
 def store_raw(df: DataFrame, name: str, layer: str = RAW_LAYER) -> None:
-    """Replace a raw table in one step; the rebalance hint gives evenly sized files."""
-    versions.publish(df.hint("rebalance"), table_in(layer, name))
+    """Replace a raw table in one step.
+
+    Rows are written by the tasks that read them: a table is not moved just to be stored, and rows that came together, as those
+    of one order, stay together for the sums and joins that follow.
+    """
+    versions.publish(df, table_in(layer, name))
 
 
 def column_statistics(spark: SparkSession, table: str, columns: list[str]) -> DataFrame:

@@ -1,7 +1,8 @@
 from __future__ import annotations
 
 import pytest
-from helpers import at, money, raw_rows
+from helpers import at, money, raw_rows, rows
+from pyspark.sql import functions as F
 
 from ordermill.operators.quality import QualityError
 from ordermill.plans import pipeline
@@ -62,6 +63,22 @@ def test_staging_views_are_there_for_other_sessions_and_follow_the_raw_tables(sp
         spark.sql(f"DROP DATABASE IF EXISTS {staging} CASCADE")
 
 
+def test_raw_rows_are_stored_by_the_tasks_that_read_them(spark, layer):
+    store_raw(spark.range(0, 4000, 1, 4), "ids", layer)
+    spans = spark.table(f"{layer}.ids").groupBy(F.input_file_name().alias("file")).agg(F.min("id"), F.max("id"))
+    assert rows(spans.drop("file")) == [(0, 999), (1000, 1999), (2000, 2999), (3000, 3999)]
+
+
+def test_daily_mart_moves_the_items_once_before_the_dimensions(spark, layer):
+    stored = pipeline.run(spark, _raw(spark), layer)
+    daily = pipeline.daily_mart(stored)
+    plan = daily._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "Exchange hashpartitioning(order_date_id" in line]
+    assert sum("REPARTITION_BY_NUM" in line for line in moved) == 1
+    assert not [line for line in moved if "product_id" in line]
+    assert rows(daily) == rows(stored["mart_revenue_daily"])
+
+
 def test_failing_staging_check_stops_before_the_marts(spark, layer):
     with pytest.raises(QualityError, match="order_status accepted_values"):
         pipeline.run(spark, _raw(spark, status="lost"), layer)
