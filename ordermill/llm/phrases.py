@@ -9,8 +9,10 @@ every phrase of up to ``DEPTH`` words comes with its count in the shard, and sha
 Only phrases found ``least`` times in all can matter, and a phrase is never more frequent than its parts. Shards therefore extend
 only words, then pairs, then triples that passed that limit. They are told by a bit table of fixed size for each length (``FILTER_BITS``): it may let
 others through, which then fail the limit themselves, but never holds one back. Its size bounds what is broadcast, not what is counted; where
-it fills up, more phrases are shuffled and the result is the same. While lengths are sifted, phrases are summed by 64-bit keys; the
-texts of those that pass are summed once more, exactly.
+it fills up, more phrases are shuffled and the result is the same. Pairs and triples are summed by 80 bits of hashes, which a shard sends as
+arrays, one for each of ``BUCKETS`` ranges of keys. A frequent phrase stands in most shards, so its text is told by one of them only, the one with the
+smallest number that holds it; another bit table tells the shards what they are asked for. Phrases of ``DEPTH`` words, which few
+shards share, are summed by their texts.
 
 A candidate is a phrase of two words or more found ``least`` times. Each cut into two parts found l and r times gives
 ``scale * a // (l + r)``, exact beyond 64 bits, and the lowest is its score (ties: the shortest first part). It is dropped if some longer candidate that holds
@@ -22,8 +24,10 @@ phrase in byte order. Repeated rows count each. Other columns are left alone; an
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -48,11 +52,15 @@ FILTER_BITS = 1 << 24
 GROUP = 2
 #: Words that are hashed at once.
 AT_ONCE = 1 << 15
+#: Ranges of keys that a shard's counts are sent by.
+BUCKET_BITS = 11
+BUCKETS = 1 << BUCKET_BITS
 #: Parts that a language's ranking is spread over.
 SPREAD = 64
 
 _NEXT = np.uint64(0x9E3779B97F4A7C15)
 _LANG = np.uint64(0xD6E8FEB86659FD93)
+_CHECK, _CHECK_NEXT = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 _BREAKS = np.zeros(256, bool)
 _BREAKS[[ord(c) for c in ".,;:!?"]] = True
 _BREAKS[0x0A:0x0E] = True
@@ -60,9 +68,14 @@ _BETWEEN = _BREAKS.copy()
 _BETWEEN[[0x20, 0x09]] = True
 
 _INDEX = pa.schema(
-    [("lang", pa.string()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int32())), ("left", pa.binary()), ("right", pa.binary())]
+    [
+        ("lang", pa.string()), ("shard", pa.int64()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int32())),
+        ("left", pa.binary()), ("right", pa.binary()),
+    ]
+)
+_COUNTED = pa.schema(
+    [("lang", pa.string()), ("phrase", pa.string()), ("size", pa.int32()), ("f", pa.int64()), ("key", pa.int64()), ("check", pa.int16()), ("shard", pa.int64())]
 )
-_COUNTED = pa.schema([("lang", pa.string()), ("phrase", pa.string()), ("size", pa.int32()), ("f", pa.int64())])
 
 
 def pieces(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
@@ -129,7 +142,7 @@ class _Shard:
         opens = np.flatnonzero(np.concatenate(self.opens))
         sequence = np.append(np.insert(number + 1, opens, 0), 0)  # separators are 0
         row = {
-            "lang": self.lang, "words": [self.known[v] for v in different.tolist()], "counts": counts.astype(np.int32),
+            "lang": self.lang, "shard": uuid.uuid4().int >> 65, "words": [self.known[v] for v in different.tolist()], "counts": counts.astype(np.int32),
             "left": transform(sequence).tobytes(), "right": transform(sequence[::-1]).tobytes(),
         }
         return pa.RecordBatch.from_pylist([row], _INDEX)
@@ -156,16 +169,17 @@ def _indexed(shard_words: int):
 
 @dataclass
 class Phrases:
-    """Phrases of one length in a shard: their interval in both transforms, the numbers of their words, and a hash of these words."""
+    """Phrases of one length in a shard: their interval in both transforms, the numbers of their words, and two hashes of these words."""
 
     left: np.ndarray
     right: np.ndarray
     size: np.ndarray
     words: np.ndarray  # one row per phrase
     value: np.ndarray
+    check: np.ndarray
 
     def where(self, chosen: np.ndarray) -> Phrases:
-        return Phrases(self.left[chosen], self.right[chosen], self.size[chosen], self.words[chosen], self.value[chosen])
+        return Phrases(*(x[chosen] for x in (self.left, self.right, self.size, self.words, self.value, self.check)))
 
 
 class Index:
@@ -173,6 +187,7 @@ class Index:
 
     def __init__(self, words: pa.Array, counts: np.ndarray, left: bytes, right: bytes):
         self.words, self.hashes = words, word_hashes(words)
+        self.checks = mixed(self.hashes ^ _CHECK)
         self.before = {"left": np.frombuffer(left, np.int32), "right": np.frombuffer(right, np.int32)}
         self.counts = counts.astype(np.int64)
         self.step: dict[str, np.ndarray] = {}
@@ -181,7 +196,7 @@ class Index:
         """All words: their intervals follow the one of the separator in both transforms."""
         separators = len(self.before["left"]) - int(self.counts.sum())
         begin = separators + np.concatenate(([0], np.cumsum(self.counts)[:-1])).astype(np.int64)
-        return Phrases(begin, begin, self.counts, np.arange(len(self.counts), dtype=np.int32)[:, None], self.hashes)
+        return Phrases(begin, begin, self.counts, np.arange(len(self.counts), dtype=np.int32)[:, None], self.hashes, self.checks)
 
     def _rows(self, side: str) -> np.ndarray:
         """Row that a backward step leads to from each row."""
@@ -214,11 +229,13 @@ class Index:
         alive = np.cumsum(alive) > 0
         good = (added > 0) & alive[to]
         owner, added, to, there, size = (x[good] for x in (owner, added, to, there, size))
-        one, words, value = added - 1, phrases.words[owner], phrases.value[owner]
+        one, words, value, check = added - 1, phrases.words[owner], phrases.value[owner], phrases.check[owner]
         if side == "left":
-            return Phrases(to, there, size, np.column_stack([one, words]), self.hashes[one] + _NEXT * value)
-        power = np.uint64(pow(int(_NEXT), words.shape[1], 1 << 64))
-        return Phrases(there, to, size, np.column_stack([words, one]), value + power * self.hashes[one])
+            value, check = self.hashes[one] + _NEXT * value, self.checks[one] + _CHECK_NEXT * check
+            return Phrases(to, there, size, np.column_stack([one, words]), value, check)
+        power, other_power = (np.uint64(pow(int(x), words.shape[1], 1 << 64)) for x in (_NEXT, _CHECK_NEXT))
+        value, check = value + power * self.hashes[one], check + other_power * self.checks[one]
+        return Phrases(there, to, size, np.column_stack([words, one]), value, check)
 
     def texts(self, phrases: Phrases) -> pa.Array:
         """The words of every phrase, joined by a blank."""
@@ -243,6 +260,11 @@ def _keys(lang: str, value: np.ndarray) -> np.ndarray:
     return mixed(value + _LANG * word_hashes(pa.array([lang + " "]))).view(np.int64)
 
 
+def _checks(check: np.ndarray) -> np.ndarray:
+    """16 bits more, for phrases that have a key in common."""
+    return (mixed(check) >> np.uint64(48)).astype(np.uint16).view(np.int16)
+
+
 def _word_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         langs = batch.column("lang")
@@ -260,41 +282,63 @@ def _table(keys: DataFrame, bits: int) -> np.ndarray:
     return table
 
 
+def _inside(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
+    bit = keys & (64 * len(table) - 1)
+    return (table[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1)) == 1
+
+
 def _passing(lang: str, phrases: Phrases, table: np.ndarray) -> Phrases:
-    bit = _keys(lang, phrases.value) & (64 * len(table) - 1)
-    return phrases.where((table[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1)) == 1)
+    return phrases.where(_inside(_keys(lang, phrases.value), table))
 
 
-def _levels(batch: pa.RecordBatch, tables: list) -> Iterator[tuple[Index, str, int, Phrases]]:
+def _levels(batch: pa.RecordBatch, tables: list) -> Iterator[tuple[Index, str, int, int, Phrases]]:
     """Phrases of 2 words up to one more than there are tables, made of phrases that pass theirs, for every shard of a batch."""
     for i in range(batch.num_rows):
-        lang = batch.column("lang")[i].as_py()
+        lang, shard = (batch.column(c)[i].as_py() for c in ("lang", "shard"))
         words, counts = (batch.column(c)[i].values for c in ("words", "counts"))
         index = Index(words, counts.to_numpy(), *(batch.column(c)[i].as_buffer() for c in ("left", "right")))
         found = index.single()
         for size, table in enumerate(tables, 2):
             found = index.extended(_passing(lang, found, table.value), "right" if size % 2 else "left")
-            yield index, lang, size, found
+            yield index, lang, shard, size, found
+
+
+def _by_range(lang: str, shard: int, found: Phrases) -> pa.RecordBatch:
+    """A shard's counts, one row per range of keys: the arrays of keys, checks and counts."""
+    keys = _keys(lang, found.value).view(np.uint64)
+    order = np.argsort(keys)
+    keys = keys[order]
+    bucket = (keys >> np.uint64(64 - BUCKET_BITS)).astype(np.int32)
+    first = np.flatnonzero(np.diff(bucket, prepend=-1))
+    offsets = pa.array(np.append(first, len(keys)).astype(np.int32))
+    lists = (keys.view(np.int64), _checks(found.check[order]), found.size[order].astype(np.int32))
+    columns = [pa.array(bucket[first]), pa.array(np.full(len(first), shard, np.int64)), *(pa.ListArray.from_arrays(offsets, pa.array(x)) for x in lists)]
+    return pa.RecordBatch.from_arrays(columns, names=["bucket", "shard", "keys", "checks", "counts"])
 
 
 def _counted_keys(tables: list):
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for _, lang, size, found in _levels(batch, tables):
+            for _, lang, shard, size, found in _levels(batch, tables):
                 if size == len(tables) + 1:
-                    yield pa.RecordBatch.from_arrays([pa.array(_keys(lang, found.value)), pa.array(found.size)], names=["key", "f"])
+                    yield _by_range(lang, shard, found)
 
     return made
 
 
-def _counted_phrases(tables: list):
+def _told_phrases(tables: list, asked: list):
+    """Texts: of phrases shorter than ``DEPTH``, those that the shard is asked for; of the others all, with their counts."""
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for index, lang, size, found in _levels(batch, tables):
+            for index, lang, shard, size, found in _levels(batch, tables):
                 if size <= len(tables):
                     found = _passing(lang, found, tables[size - 1].value)
+                    found = found.where(_inside(_keys(lang, found.value) ^ np.int64(shard), asked[size - 2].value))
                 n = len(found.size)
-                columns = [pa.array([lang] * n, pa.string()), index.texts(found).cast(pa.string()), pa.array(np.full(n, size, np.int32)), pa.array(found.size)]
+                columns = [
+                    pa.array([lang] * n, pa.string()), index.texts(found).cast(pa.string()), pa.array(np.full(n, size, np.int32)), pa.array(found.size),
+                    pa.array(_keys(lang, found.value)), pa.array(_checks(found.check)), pa.array(np.full(n, shard, np.int64)),
+                ]
                 yield pa.RecordBatch.from_arrays(columns, schema=_COUNTED)
 
     return made
@@ -303,7 +347,7 @@ def _counted_phrases(tables: list):
 def _indexes(narrow: DataFrame, shard_words: int) -> DataFrame:
     """One row per shard, stored in row groups of few shards, so that a task reads no more of them than a file split has room for."""
     spark = narrow.sparkSession
-    schema = "lang string, words array<string>, counts array<int>, left binary, right binary"
+    schema = "lang string, shard long, words array<string>, counts array<int>, left binary, right binary"
     path = fresh_path(spark, "index")
     narrow.mapInArrow(_indexed(shard_words), schema).write.option("parquet.block.row.count.limit", GROUP).parquet(path)
     return spark.read.schema(schema).parquet(path)
@@ -327,15 +371,24 @@ def frequent_phrases(
     )
     totals = single.groupBy("lang").agg(F.sum("f").alias("n"))
     words = kept(summed(single, F.lit(1)), "words")
-    keys, tables = words.select("lang", "phrase").mapInArrow(_word_keys, "key long"), []
+    keys, tables, asked, sums = words.select("lang", "phrase").mapInArrow(_word_keys, "key long"), [], [], []
     while True:
         tables.append(spark.sparkContext.broadcast(_table(keys, filter_bits)))
         if len(tables) == DEPTH - 1:
             break
-        counted = index.mapInArrow(_counted_keys(list(tables)), "key long, f long")
-        keys = counted.groupBy("key").agg(F.sum("f").alias("f")).where(F.col("f") >= least)
-    longer = index.mapInArrow(_counted_phrases(tables), "lang string, phrase string, size int, f long")
-    return words.union(kept(summed(longer, F.col("size")), "longer")), totals
+        counted = index.mapInArrow(_counted_keys(list(tables)), "bucket int, shard long, keys array<long>, checks array<short>, counts array<int>")
+        each = counted.repartition("bucket").select("bucket", "shard", "checks", "counts", F.posexplode("keys").alias("i", "key")).select(
+            "bucket", "shard", "key", F.get("checks", F.col("i")).alias("check"), F.get("counts", F.col("i")).cast("long").alias("f")
+        )
+        total = each.groupBy("bucket", "key", "check").agg(F.sum("f").alias("f"), F.min("shard").alias("shard"))
+        keys = kept(total.where(F.col("f") >= least).select("key", "check", "shard", "f"), "keys")
+        sums.append(keys.withColumn("size", F.lit(len(tables) + 1)))
+        asked.append(spark.sparkContext.broadcast(_table(keys.select(F.expr("key ^ shard").alias("key")), filter_bits)))
+    schema = "lang string, phrase string, size int, f long, key long, check short, shard long"
+    told = kept(index.mapInArrow(_told_phrases(tables, asked), schema), "told")
+    short = told.where(F.col("size") < DEPTH).drop("f").join(reduce(DataFrame.union, sums), ["size", "key", "check", "shard"])
+    longest = summed(told.where(F.col("size") == DEPTH), F.col("size"))
+    return reduce(DataFrame.union, [words, kept(short.select("lang", "phrase", "size", "f"), "longer"), kept(longest, "longest")]), totals
 
 
 def _whole(name: str) -> Column:

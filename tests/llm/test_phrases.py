@@ -120,3 +120,35 @@ def test_score_beyond_64_bits(spark):
     row = spark.range(1).selectExpr("5000000000000L AS a", "5000000000001L AS l", "5000000000002L AS r")
     exact = "cast(a as decimal(20,0)) * 2000000 div (cast(l as decimal(20,0)) + cast(r as decimal(20,0)))"
     assert row.selectExpr(exact).first()[0] == 2_000_000 * 5_000_000_000_000 // 10_000_000_000_003
+
+
+def test_text_of_a_pair_is_told_by_one_shard(spark, monkeypatch):
+    """However many shards hold a frequent pair or triple, one of them sends its text; the counts are those of all shards."""
+    rows = [("en", t) for t in texts(4, 400, 5)]
+    stored, kept = {}, phrases.kept
+
+    def watched(df, label="step"):
+        stored[label] = kept(df, label)
+        return stored[label]
+
+    monkeypatch.setattr(phrases, "kept", watched)
+    frame = spark.createDataFrame(spark.sparkContext.parallelize(rows, 16), "lang string, text string")
+    frequent, _ = phrases.frequent_phrases(frame, 10, shard_words=50)
+    expected = frequent.where("size in (2, 3)").count()
+    shards = stored["told"].select("shard").distinct().count()
+    assert shards > 10 and expected > 20
+    # Another bit table says which shard is asked, so a few more may be sent.
+    assert expected <= stored["told"].where("size < 4").count() <= 1.1 * expected
+
+
+def test_counts_by_range_are_all_counts():
+    shard = phrases._Shard("en")
+    shard.add(pa.array(texts(7, 40)))
+    row = shard.index().to_pylist()[0]
+    index = phrases.Index(pa.array(row["words"]), np.array(row["counts"]), row["left"], row["right"])
+    pairs = index.extended(index.single(), "right")
+    sent = phrases._by_range("en", row["shard"], pairs).to_pylist()
+    got = {k: (c, f) for r in sent for k, c, f in zip(r["keys"], r["checks"], r["counts"])}
+    keys, checks = phrases._keys("en", pairs.value).tolist(), phrases._checks(pairs.check).tolist()
+    assert got == {k: (c, f) for k, c, f in zip(keys, checks, pairs.size.tolist())} and len(got) == len(pairs.size) > 50
+    assert all(r["bucket"] == (k % 2**64) >> (64 - phrases.BUCKET_BITS) for r in sent for k in r["keys"])
