@@ -12,6 +12,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 SLICE_BYTES = 1 << 21
 SLICE_ROWS = 1024
@@ -132,3 +134,12 @@ def shingle_sets(w: Words) -> list[np.ndarray]:
         else:
             sets.append(value[:0])
     return sets
+
+
+def bit_table(keys: DataFrame, bits: int) -> np.ndarray:
+    """Bit table of the 64-bit numbers ``key``: a fixed size, whatever their number."""
+    at = F.expr(f"shiftright(key & {bits - 1}L, 6)").alias("at")
+    found = keys.groupBy(at).agg(F.bit_or(F.expr("shiftleft(1L, cast(key & 63L as int))")).alias("bits")).toArrow()
+    table = np.zeros(bits // 64, np.uint64)
+    table[found.column("at").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
+    return table

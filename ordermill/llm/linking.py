@@ -85,6 +85,19 @@ def components(edges: DataFrame) -> DataFrame:
     return labels
 
 
+def ends_joined(pairs: DataFrame, own: DataFrame, columns: tuple[str, ...]) -> DataFrame:
+    """Pairs (a, b) with each of the ``columns`` of both nodes, as ``c_a`` and ``c_b``.
+
+    The rows of a side are cut to the nodes of the pairs before they move: few pairs are broadcast for that, so that
+    a round of few pairs moves few rows.
+    """
+    def side(end: str) -> DataFrame:
+        asked = own.join(pairs.select(F.col(end).alias("node")), "node", "left_semi")
+        return asked.select(F.col("node").alias(end), *(F.col(c).alias(f"{c}_{end}") for c in columns))
+
+    return pairs.join(side("a"), "a").join(side("b"), "b")
+
+
 class Gathered:
     """Rows about nodes, made for the nodes of a pair when it first asks for them and stored for later ones."""
 

@@ -33,17 +33,20 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .batches import mixed, shingle_sets, slices, words
-from .linking import Gathered, Verify, connect, kept, stored
+from .batches import bit_table, mixed, shingle_sets, slices, words
+from .linking import Gathered, Verify, connect, ends_joined, kept, stored
 from .shipping import ready
 
 BANDS, BAND_SIZE = 40, 8  # at the default threshold; the estimate always rests on this many registers
 MISS = 3e-6
 REGISTERS = BANDS * BAND_SIZE
 MANTISSA = 10
+#: Nodes whose ids are sent to the tasks that read their texts; of more, a bit table of 2 MB.
+FEW_NODES, NODE_BITS = 1 << 15, 24
 PERCENT = 85
 SIGMAS = 6.0
 #: Constant of the published approximation of accidental register collisions.
@@ -138,15 +141,23 @@ def _listed(rows: np.ndarray) -> pa.ListArray:
 
 
 def _per_node(column: str, make):
-    """Batches of (node, n, column) from batches of (doc_id, text)."""
-    def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for part in slices(batch, "text"):
-                sets = shingle_sets(words(part.column("text"), lower=True))
-                sizes = pa.array([len(s) for s in sets], pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), sizes, make(sets)], names=["node", "n", column])
+    """Batches of (node, n, column) from batches of (doc_id, text); if a bit table of ids is given, for rows inside only."""
+    def reading(table=None):
+        def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                if table is not None:
+                    ids = batch.column("doc_id")
+                    known = pc.is_valid(ids)
+                    asked = _inside(pc.fill_null(ids, 0).to_numpy(), table.value)
+                    batch = batch.filter(pc.and_(known, pa.array(asked)))
+                for part in slices(batch, "text"):
+                    sets = shingle_sets(words(part.column("text"), lower=True))
+                    sizes = pa.array([len(s) for s in sets], pa.int64())
+                    yield pa.RecordBatch.from_arrays([part.column("doc_id"), sizes, make(sets)], names=["node", "n", column])
 
-    return made
+        return made
+
+    return reading
 
 
 _registers_of = _per_node("regs", lambda sets: pa.array([r.tobytes() for r in registers(sets)], pa.binary()))
@@ -210,7 +221,7 @@ def _confirmed(percent: int):
     def passing(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
-            for x, y in zip(batch.column("x"), batch.column("y")):
+            for x, y in zip(batch.column("shingles_a"), batch.column("shingles_b")):
                 x, y = (np.frombuffer(s.as_buffer(), np.uint64) for s in (x, y))
                 both = len(np.intersect1d(x, y, assume_unique=True))
                 keep.append(100 * both >= percent * (len(x) + len(y) - both))
@@ -221,23 +232,42 @@ def _confirmed(percent: int):
 
 def _verifier(narrow: DataFrame, percent: int) -> Verify:
     """Test of pairs: estimate from the registers, then the full sets of those that are left."""
-    sketches = Gathered(lambda nodes: _of(narrow, nodes).mapInArrow(_registers_of, "node long, n long, regs binary"), "registers")
-    sets = Gathered(lambda nodes: _of(narrow, nodes).mapInArrow(_shingles_of, "node long, n long, shingles binary"), "sets")
-
-    def side(table: DataFrame, end: str, **columns: str) -> DataFrame:
-        return table.select(F.col("node").alias(end), *(F.col(c).alias(n) for n, c in columns.items()))
+    sketches = Gathered(lambda nodes: _made_of(narrow, nodes, _registers_of, "node long, n long, regs binary"), "registers")
+    sets = Gathered(lambda nodes: _made_of(narrow, nodes, _shingles_of, "node long, n long, shingles binary"), "sets")
 
     def verify(pairs: DataFrame) -> DataFrame:
         regs = sketches.of(pairs)
-        near = pairs.join(side(regs, "a", n_a="n", regs_a="regs"), "a").join(side(regs, "b", n_b="n", regs_b="regs"), "b")
+        near = ends_joined(pairs, regs, ("n", "regs"))
         likely = kept(near.mapInArrow(_likely(percent), "a long, b long").distinct())
         full = sets.of(likely)
-        both = likely.join(side(full, "a", x="shingles"), "a").join(side(full, "b", y="shingles"), "b")
+        both = ends_joined(likely, full, ("shingles",))
         return both.mapInArrow(_confirmed(percent), "a long, b long").distinct()
 
     return verify
 
 
+def _slot(node: str) -> str:
+    """Bit of a node: neighbouring ids have different ones."""
+    return f"({node} ^ shiftrightunsigned({node}, {NODE_BITS}))"
+
+
+def _inside(ids: np.ndarray, table: np.ndarray) -> np.ndarray:
+    bit = (ids ^ (ids.view(np.uint64) >> np.uint64(NODE_BITS)).view(np.int64)) & ((1 << NODE_BITS) - 1)
+    return (table[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1)) == 1
+
+
+def _made_of(narrow: DataFrame, nodes: DataFrame, make, schema: str) -> DataFrame:
+    """Rows (node, ...) that ``make`` gives for the texts of at least all ``nodes``.
+
+    The texts are read in place: of few nodes the ids go to the tasks, of more a bit table of fixed size, by which a few
+    other texts may be read too. So no text is moved.
+    """
+    if nodes.count() <= FEW_NODES:
+        return _of(narrow, F.broadcast(nodes)).mapInArrow(make(), schema)
+    table = narrow.sparkSession.sparkContext.broadcast(bit_table(nodes.select(F.expr(_slot("node")).alias("key")), 1 << NODE_BITS))
+    return narrow.mapInArrow(make(table), schema)
+
+
 def _of(narrow: DataFrame, nodes: DataFrame) -> DataFrame:
     return narrow.join(nodes.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
 
@@ -263,8 +293,8 @@ def classes(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         return F.least(n, m) * 100 >= F.greatest(n, m) * percent
 
     def fine(nodes: DataFrame) -> DataFrame:
-        sets = _of(narrow, nodes).mapInArrow(_shingle_lists_of, "node long, n long, shingles array<long>")
-        return prefixes(sets, percent)
+        sets = _made_of(narrow, nodes, _shingle_lists_of, "node long, n long, shingles array<long>")
+        return prefixes(sets.join(nodes, "node", "left_semi"), percent)
 
     labels = connect(shown, marks, _verifier(narrow, percent), similar_size, fine, reachable(percent))
     found = named.join(labels, "node", "left").select("set_id", F.coalesce("comp", "node").alias("component_id"))

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import fresh_path
-from .batches import _BYTE, _LOWER, _powers, mixed, raw, slices
+from .batches import _BYTE, _LOWER, _powers, bit_table, mixed, raw, slices
 from .linking import kept
 from .shipping import ready
 
@@ -273,15 +273,6 @@ def _word_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(_keys(lang, word_hashes(some)))], names=["key"])
 
 
-def _table(keys: DataFrame, bits: int) -> np.ndarray:
-    """Bit table of the frequent phrases' keys: a fixed size, whatever their number."""
-    at = F.expr(f"shiftright(key & {bits - 1}L, 6)").alias("at")
-    found = keys.groupBy(at).agg(F.bit_or(F.expr("shiftleft(1L, cast(key & 63L as int))")).alias("bits")).toArrow()
-    table = np.zeros(bits // 64, np.uint64)
-    table[found.column("at").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
-    return table
-
-
 def _inside(keys: np.ndarray, table: np.ndarray) -> np.ndarray:
     bit = keys & (64 * len(table) - 1)
     return (table[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1)) == 1
@@ -373,7 +364,7 @@ def frequent_phrases(
     words = kept(summed(single, F.lit(1)), "words")
     keys, tables, asked, sums = words.select("lang", "phrase").mapInArrow(_word_keys, "key long"), [], [], []
     while True:
-        tables.append(spark.sparkContext.broadcast(_table(keys, filter_bits)))
+        tables.append(spark.sparkContext.broadcast(bit_table(keys, filter_bits)))
         if len(tables) == DEPTH - 1:
             break
         counted = index.mapInArrow(_counted_keys(list(tables)), "bucket int, shard long, keys array<long>, checks array<short>, counts array<int>")
@@ -383,7 +374,7 @@ def frequent_phrases(
         total = each.groupBy("bucket", "key", "check").agg(F.sum("f").alias("f"), F.min("shard").alias("shard"))
         keys = kept(total.where(F.col("f") >= least).select("key", "check", "shard", "f"), "keys")
         sums.append(keys.withColumn("size", F.lit(len(tables) + 1)))
-        asked.append(spark.sparkContext.broadcast(_table(keys.select(F.expr("key ^ shard").alias("key")), filter_bits)))
+        asked.append(spark.sparkContext.broadcast(bit_table(keys.select(F.expr("key ^ shard").alias("key")), filter_bits)))
     schema = "lang string, phrase string, size int, f long, key long, check short, shard long"
     told = kept(index.mapInArrow(_told_phrases(tables, asked), schema), "told")
     short = told.where(F.col("size") < DEPTH).drop("f").join(reduce(DataFrame.union, sums), ["size", "key", "check", "shard"])

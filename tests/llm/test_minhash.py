@@ -5,7 +5,7 @@ import random
 import numpy as np
 from support import SF, UPPER, docs, prose, roots, shared, table, white_words
 
-from ordermill.llm import batches, minhash
+from ordermill.llm import batches, linking, minhash
 from ordermill.llm.queries import QUERIES
 
 
@@ -127,3 +127,26 @@ def test_slices_are_bounded():
     parts = list(batches.slices(batch, "text"))
     assert sum(p.num_rows for p in parts) == 3003
     assert all(p.num_rows <= batches.SLICE_ROWS for p in parts) and parts[0].num_rows == 1
+
+
+def test_texts_are_read_in_place(spark, monkeypatch):
+    """Of many nodes a bit table finds the texts: no row of text is moved, and no asked node is missed, ids of all kinds."""
+    ids = [*range(300), -1, -(2**63), 2**63 - 1, 2**24, 2**24 + 1, 5, None]
+    frame = docs(spark, *(" ".join(prose(i, 12)) for i in range(len(ids))), ids=ids).select("doc_id", "text")
+    nodes = spark.createDataFrame([(i,) for i in ids[2:306:3] + [5, -(2**63)]], "node long").distinct()
+    schema = "node long, n long, shingles binary"
+    few = minhash._made_of(frame, nodes, minhash._shingles_of, schema)
+    monkeypatch.setattr(minhash, "FEW_NODES", 0)
+    many = minhash._made_of(frame, nodes, minhash._shingles_of, schema)
+    assert "Exchange" not in many._jdf.queryExecution().toString()
+    rows = sorted(tuple(r) for r in few.collect())
+    assert sorted(tuple(r) for r in many.join(nodes, "node", "left_semi").collect()) == rows and len(rows) > 100
+
+
+def test_few_pairs_move_few_rows(spark):
+    """Both ends of the pairs get their columns; rows of other nodes are cut before they are joined."""
+    own = spark.createDataFrame([(i, f"t{i}") for i in range(50)], "node long, text string")
+    pairs = spark.createDataFrame([(1, 2), (1, 3), (7, 60)], "a long, b long")
+    joined = linking.ends_joined(pairs, own, ("text",))
+    assert sorted(map(tuple, joined.select("a", "b", "text_a", "text_b").collect())) == [(1, 2, "t1", "t2"), (1, 3, "t1", "t3")]
+    assert joined._jdf.queryExecution().optimizedPlan().toString().count("LeftSemi") == 2
