@@ -25,6 +25,8 @@ Near = Callable[[Column, Column], Column]
 
 GROWTH = 4
 LARGE = 16
+#: Pairs that are broadcast; 16 bytes each.
+FEW_PAIRS = 1 << 14
 
 
 def release(spark: SparkSession) -> None:
@@ -86,13 +88,15 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def ends_joined(pairs: DataFrame, own: DataFrame, columns: tuple[str, ...]) -> DataFrame:
-    """Pairs (a, b) with each of the ``columns`` of both nodes, as ``c_a`` and ``c_b``.
+    """Pairs (a, b), read from files, with each of the ``columns`` of both nodes, as ``c_a`` and ``c_b``.
 
-    The rows of a side are cut to the nodes of the pairs before they move: few pairs are broadcast for that, so that
-    a round of few pairs moves few rows.
+    Few pairs are broadcast to cut the rows of either side to their nodes before these move, so that a round of
+    few pairs moves few rows.
     """
+    few = pairs.count() <= FEW_PAIRS
+
     def side(end: str) -> DataFrame:
-        asked = own.join(pairs.select(F.col(end).alias("node")), "node", "left_semi")
+        asked = own.join(F.broadcast(pairs.select(F.col(end).alias("node"))), "node", "left_semi") if few else own
         return asked.select(F.col("node").alias(end), *(F.col(c).alias(f"{c}_{end}") for c in columns))
 
     return pairs.join(side("a"), "a").join(side("b"), "b")
