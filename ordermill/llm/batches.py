@@ -43,13 +43,14 @@ def _powers(n: int) -> np.ndarray:
     return mixed(np.arange(1, n + 1, dtype=np.uint64) * _STEP) | np.uint64(1)
 
 
-def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch of at most ``SLICE_BYTES`` of text, or of one row."""
+def slices(batch: pa.RecordBatch, column: str, most: int | None = None, rows: int | None = None) -> Iterator[pa.RecordBatch]:
+    """Parts of a batch of at most ``SLICE_BYTES`` of text and ``SLICE_ROWS`` rows unless told otherwise, or of one row."""
+    most, rows = most or SLICE_BYTES, rows or SLICE_ROWS
     sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False)
     first = 0
     total = 0
     for i, size in enumerate(sizes):
-        if i > first and (total + size > SLICE_BYTES or i - first >= SLICE_ROWS):
+        if i > first and (total + size > most or i - first >= rows):
             yield batch.slice(first, i - first)
             first, total = i, 0
         total += size

@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from .batches import slices
 from .linking import stored
 from .shipping import ready
-from .tokens import Encoder, public_path
+from .tokens import LIST_BYTES, LIST_ROWS, encoder, public_path
 
 MAX_LENGTH = 2048
 BUCKETS = 12
@@ -37,10 +37,10 @@ def token_counts(docs: DataFrame, tokenizer: str | None = None) -> DataFrame:
     path = tokenizer or public_path()
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(path)
+        texts = encoder(path)
         for batch in batches:
-            for part in slices(batch, "text"):
-                _, counts = encoder.encode(part.column("text").to_pylist())
+            for part in slices(batch, "text", LIST_BYTES, LIST_ROWS):
+                _, counts = texts.encode(part.column("text"))
                 yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(counts + 1)], names=["doc_id", "n_tokens"])
 
     narrow = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
