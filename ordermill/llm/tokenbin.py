@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from .batches import mixed, slices
 from .shipping import ready
-from .tokens import Encoder, public_path
+from .tokens import LIST_BYTES, LIST_ROWS, encoder, public_path
 
 END = 0
 MAGIC = b"TBX1"
@@ -167,14 +167,14 @@ def find(index: bytes, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def _payload_writer(folder: str, tokenizer: str):
     def written(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(tokenizer)
-        kind = np.dtype(f"<u{encoder.width}")
+        texts = encoder(tokenizer)
+        kind = np.dtype(f"<u{texts.width}")
         shard = TaskContext.get().partitionId()
         name = f"{folder}/payload/ids-{shard:06d}-{uuid.uuid4().hex}"
         out, offset, last, ordinal = None, 0, None, -1
         for batch in batches:
-            for part in slices(batch, "text"):
-                ids, counts = encoder.encode(part.column("text").to_pylist())
+            for part in slices(batch, "text", LIST_BYTES, LIST_ROWS):
+                ids, counts = texts.encode(part.column("text"))
                 whole = np.insert(ids, np.cumsum(counts), END)
                 counts = counts + 1
                 out = out or _open(name, write=True)
